@@ -129,9 +129,12 @@ def merge(
         norm_key(F.col(spec.key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_t"),
     )
+    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
+    # exact duplicates), so the key alone cannot tell two target rows apart.
+    t_ided = t.withColumn("_tid", F.monotonically_increasing_id())
 
     keys, small = broadcast_if_small(s.select("_i", "_k"), max_broadcast_rows)
-    t_probe = t.join(keys, ["_i", "_k"], "left_semi") if small else t
+    t_probe = t_ided.join(keys, ["_i", "_k"], "left_semi") if small else t_ided
     pairs = s.join(t_probe, ["_i", "_k"], "left")
 
     matched = F.col("_t").isNotNull()
@@ -141,7 +144,7 @@ def merge(
         .when(fingerprint_changed(items, mode), F.lit(UPDATE))
         .otherwise(F.lit(UNCHANGED))
     )
-    row = Window.partitionBy("_i", "_k", T + spec.row_id)
+    row = Window.partitionBy("_i", "_k", "_tid")
     classified = (
         pairs.withColumn("_action", action)
         .withColumn("_n_upd", F.sum((F.col("_action") == UPDATE).cast("int")).over(row))
@@ -152,7 +155,7 @@ def merge(
                 F.raise_error(
                     F.concat(
                         F.lit(f"{spec.entity}: several source rows update one target row, key="),
-                        F.coalesce(F.col(T + spec.row_id), F.lit("NULL")),
+                        F.coalesce(x.t(spec.key).cast("string"), F.lit("NULL")),
                     )
                 ),
             ).otherwise(F.lit(True))

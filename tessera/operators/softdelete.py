@@ -49,13 +49,15 @@ def mark_deleted(
     miss = t.join(keys_b, ["_i", "_k"], "left_anti").select(*cols)
     snapshot = miss.unionByName(hit)
 
-    # One row per (id, target row); a target row hit by two ids is an error.
-    pairs = t.select("_i", "_k", F.col(spec.key).alias("_tk")).join(keys_b, ["_i", "_k"], "inner")
-    per_row = Window.partitionBy("_i", "_k", "_tk")
-    classified = pairs.withColumn("_hits", F.count(F.lit(1)).over(per_row)).filter(
+    # One row per (id, target row).  Every target row with key k is hit by every
+    # id row with key k, so "a target row hit twice" is "k listed twice and present".
+    counted = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_i", "_k")))
+    counted_b, _ = broadcast_if_small(counted, max_broadcast_rows)
+    pairs = t.select("_i", "_k").join(counted_b, ["_i", "_k"], "inner")
+    classified = pairs.filter(
         F.when(
-            F.col("_hits") > 1,
-            F.raise_error(F.concat(F.lit(f"{spec.entity}: id list hits one row twice, key="), F.col("_tk"))),
+            F.col("_n") > 1,
+            F.raise_error(F.concat(F.lit(f"{spec.entity}: id list hits one row twice, key="), F.col("_k"))),
         ).otherwise(F.lit(True))
     )
     delta = classified.select(

@@ -62,16 +62,11 @@ class MergeSpec:
     src_key: str | None = None
     key_mode: str = "trim"
     tenant: str = TENANT
-    identity: str | None = None  # target column that identifies a stored row (G10)
 
     @property
     def source_key(self) -> str:
         return self.src_key or self.key
 
-    @property
-    def row_id(self) -> str:
-        return self.identity or self.key
-
     def column_names(self) -> list[str]:
         return [f.name for f in self.fields]
 
