@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import differs, fingerprint_changed, form, norm_key
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from tessera.plans.specs import DeltaField, Field, MergeSpec
 
 S, T = "s__", "t__"
@@ -106,12 +106,19 @@ def merge(
     spec: MergeSpec,
     as_of: dt.datetime | None = None,
     mode: str = "collapse",
+    batch_small: bool | None = None,
+    batch_keys: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> MergeResult:
     """Merge a staged batch into a snapshot; return new snapshot, delta and the classified pairs.
 
     ``mode`` picks the fingerprint comparison: ``collapse`` (reference-faithful
     NULL handling) or ``null_safe`` (every operand compared on its own).
+    ``batch_small`` is the caller's bounded row count of the batch (taken on the
+    raw input, before staging); when ``None`` the staged keys are counted here.
+    ``batch_keys`` is the raw batch before staging: staging keeps every input row
+    and its key, so its keys are the staged keys, without re-running the lookups
+    for the target probe and the anti join.
     """
     now = clock(as_of)
     tenant = spec.tenant
@@ -133,7 +140,15 @@ def merge(
     # exact duplicates), so the key alone cannot tell two target rows apart.
     t_ided = t.withColumn("_tid", F.monotonically_increasing_id())
 
-    keys, small = broadcast_if_small(s.select("_i", "_k"), max_broadcast_rows)
+    if batch_keys is not None:
+        keys = batch_keys.select(
+            F.col(tenant).alias("_i"), norm_key(F.col(spec.source_key), spec.key_mode).alias("_k")
+        )
+    else:
+        keys = s.select("_i", "_k")
+    small = batch_small if batch_small is not None else row_count_at_most(keys, max_broadcast_rows)
+    if small:
+        keys = F.broadcast(keys)
     t_probe = t_ided.join(keys, ["_i", "_k"], "left_semi") if small else t_ided
     pairs = s.join(t_probe, ["_i", "_k"], "left")
 

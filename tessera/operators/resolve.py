@@ -7,8 +7,17 @@
   an aggregate of the dim by its match key (count + value), then a left join;
   the aggregate makes the right side unique, so no input row is multiplied.
 
-Lookup sides are broadcast only behind a row bound (``broadcast_if_small``);
-past it Spark shuffles both sides on ``(tenant, key)`` and AQE splits skewed keys.
+Plan shape:
+
+* reference lists (locations, providers, reasons, insurers) are per-tenant
+  lists: a plain left join, which Spark broadcasts when the list's estimated
+  size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles
+  on ``(tenant, key)`` (AQE splits skewed keys);
+* a lookup into a table that grows with the data (the patient snapshot) can be
+  given ``probe``: the batch's own keys, already checked to be under the
+  broadcast bound by the caller.  The dim is first cut down to those keys by a
+  semi join against the *broadcast keys* - a scan plus a hash probe, the dim is
+  never shuffled - and only the matching dim rows move.
 """
 
 from __future__ import annotations
@@ -19,7 +28,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import norm_key
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from tessera.plans.specs import TENANT
 
 _seq = itertools.count()
@@ -33,7 +41,7 @@ def lookup(
     take: dict[str, str],
     key_mode: str = "trim",
     tenant: str = TENANT,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join ``dim`` on ``(tenant, key_mode(df[on]) = key_mode(dim[dim_key]))``.
 
@@ -47,11 +55,14 @@ def lookup(
         norm_key(F.col(dim_key), key_mode).alias(lk),
         *[F.col(c).alias(alias) for c, alias in take.items()],
     )
-    d, _ = broadcast_if_small(d, max_broadcast_rows)
+    if probe is not None:
+        keys = probe.select(F.col(tenant).alias(li), norm_key(F.col(on), key_mode).alias(lk))
+        d = d.join(F.broadcast(keys), [li, lk], "left_semi")
     cond = (F.col(tenant) == F.col(li)) & (norm_key(F.col(on), key_mode) == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 
 
+
 def scalar_lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -60,7 +71,6 @@ def scalar_lookup(
     dim_value: str,
     out: str,
     tenant: str = TENANT,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``out`` (the matching ``dim_value``) and ``out + '_n'`` (how many dim rows match).
 
@@ -70,12 +80,8 @@ def scalar_lookup(
     """
     n = next(_seq)
     li, lk = f"_s{n}_i", f"_s{n}_k"
-    d = (
-        dim.select(F.col(tenant).alias(li), F.trim(F.col(dim_match)).alias(lk), F.col(dim_value).alias(out))
-        .groupBy(li, lk)
-        .agg(F.count(F.lit(1)).alias(out + "_n"), F.min(out).alias(out))
-    )
-    d, _ = broadcast_if_small(d, max_broadcast_rows)
+    d = dim.select(F.col(tenant).alias(li), F.trim(F.col(dim_match)).alias(lk), F.col(dim_value).alias(out))
+    d = d.groupBy(li, lk).agg(F.count(F.lit(1)).alias(out + "_n"), F.min(out).alias(out))
     cond = (F.col(tenant) == F.col(li)) & (F.trim(on) == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 

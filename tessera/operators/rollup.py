@@ -21,7 +21,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from tessera.operators.merge import clock
 from tessera.plans.specs import TENANT
 
@@ -60,11 +59,16 @@ def apply_patient_facts(
     patient: DataFrame,
     facts: DataFrame,
     as_of: dt.datetime | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    batch_small: bool | None = None,
 ) -> DataFrame:
-    """Patient snapshot after the rollups (same columns, same row count)."""
+    """Patient snapshot after the rollups (same columns, same row count).
+
+    ``facts`` has at most one row per distinct patient key of the batch (every
+    stored id that matched one trimmed input id trims to that same value), so
+    when the batch is under the broadcast bound, so are the facts.
+    """
     now = clock(as_of)
-    f, _ = broadcast_if_small(facts, max_broadcast_rows)
+    f = F.broadcast(facts) if batch_small else facts
     p = patient.withColumn("_i", F.col(TENANT)).withColumn("_k", F.trim(F.col("PmsPatientId")))
     j = p.join(f, ["_i", "_k"], "left")
     lens = F.coalesce(F.col("_lens"), F.lit(False))

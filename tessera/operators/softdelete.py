@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from tessera.operators.merge import DELETE, MergeResult, clock
 from tessera.plans.specs import SoftDeleteSpec
 
@@ -35,7 +35,8 @@ def mark_deleted(
     tenant = spec.tenant
     t = target.withColumn("_i", F.col(tenant)).withColumn("_k", F.trim(F.col(spec.key)))
     keys = ids.select(F.col(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
-    keys_b, _ = broadcast_if_small(keys, max_broadcast_rows)
+    small = row_count_at_most(ids, max_broadcast_rows)
+    keys_b = F.broadcast(keys) if small else keys
 
     cols = target.columns
     hit = t.join(keys_b, ["_i", "_k"], "left_semi").select(
@@ -52,7 +53,7 @@ def mark_deleted(
     # One row per (id, target row).  Every target row with key k is hit by every
     # id row with key k, so "a target row hit twice" is "k listed twice and present".
     counted = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_i", "_k")))
-    counted_b, _ = broadcast_if_small(counted, max_broadcast_rows)
+    counted_b = F.broadcast(counted) if small else counted
     pairs = t.select("_i", "_k").join(counted_b, ["_i", "_k"], "inner")
     classified = pairs.filter(
         F.when(

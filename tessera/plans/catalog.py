@@ -110,23 +110,27 @@ for _name, (_target, _ids) in _SOFT.items():
 # ------------------------------------------------------------------ staging
 
 
-def _stage(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+_STAGE_ARGS = {
+    "appointment_block": (entities.stage_appointment_block, "appointment_block_in", "location", "provider", "resource"),
+    "appointment": (entities.stage_appointment, "appointment_in", "location", "provider", "patient", "appointment_reason"),
+    "patient": (entities.stage_patient, "patient_wide_in", "location", "provider", "insurer"),
+    "product_pickup": (entities.stage_product_pickup, "product_pickup_in", "location", "provider", "patient"),
+    "recall": (entities.stage_recall, "recall_in", "location", "provider", "patient", "recall_reason"),
+    "visit": (entities.stage_visit, "visit_in", "location", "provider", "patient"),
+}
+
+
+def _staged(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, bool, DataFrame]:
+    """Staged batch of ``entity``, whether the raw batch is under the broadcast bound, the raw batch."""
     v = _views(spark, sf_dir)
-    if entity == "appointment_block":
-        return entities.stage_appointment_block(v("appointment_block_in"), v("location"), v("provider"), v("resource"))
-    if entity == "appointment":
-        return entities.stage_appointment(
-            v("appointment_in"), v("location"), v("provider"), v("patient"), v("appointment_reason")
-        )
-    if entity == "patient":
-        return entities.stage_patient(v("patient_wide_in"), v("location"), v("provider"), v("insurer"))
-    if entity == "product_pickup":
-        return entities.stage_product_pickup(v("product_pickup_in"), v("location"), v("provider"), v("patient"))
-    if entity == "recall":
-        return entities.stage_recall(v("recall_in"), v("location"), v("provider"), v("patient"), v("recall_reason"))
-    if entity == "visit":
-        return entities.stage_visit(v("visit_in"), v("location"), v("provider"), v("patient"))
-    raise KeyError(entity)
+    fn, inp, *dims = _STAGE_ARGS[entity]
+    raw = v(inp)
+    small = entities._small(raw, None)
+    return fn(raw, *[v(d) for d in dims], batch_small=small), small, raw
+
+
+def _stage(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    return _staged(spark, sf_dir, entity)[0]
 
 
 for _e in stg.SQL:
@@ -151,8 +155,8 @@ _FACT = {
 def _fact_merge(entity: str, spec: specs.MergeSpec, target: str) -> None:
     def run(kind: str):
         def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-            staged = _stage(spark, sf_dir, entity)
-            r = entities.merge(spark.table(target), staged, spec, AS_OF)
+            staged, small, raw = _staged(spark, sf_dir, entity)
+            r = entities.merge(spark.table(target), staged, spec, AS_OF, batch_small=small, batch_keys=raw)
             return r.snapshot if kind == "snapshot" else r.delta
 
         return fn
@@ -187,8 +191,8 @@ def _rollup(name: str, entity: str, lens: bool, exam: bool) -> None:
     from tessera.operators.rollup import apply_patient_facts, patient_facts
 
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged = _stage(spark, sf_dir, entity)
-        return apply_patient_facts(spark.table("patient"), patient_facts(staged, lens, exam), AS_OF)
+        staged, small, _ = _staged(spark, sf_dir, entity)
+        return apply_patient_facts(spark.table("patient"), patient_facts(staged, lens, exam), AS_OF, batch_small=small)
 
     lens_sql = (
         "EXISTS (SELECT 1 FROM st WHERE st.PmsInstanceId = p.PmsInstanceId AND trim(st.PmsPatientId) = trim(p.PmsPatientId) "

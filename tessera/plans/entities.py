@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import is_blank
 from tessera.operators.diff import slot_mark_deleted, snapshot_diff
+from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from tessera.operators.merge import MergeResult, merge
 from tessera.operators.purge import PurgeResult, purge_tenant
 from tessera.operators.resolve import lookup, one_row, scalar_lookup
@@ -33,8 +34,20 @@ I = TENANT
 # ------------------------------------------------------------------ staging
 
 
-def stage_appointment_block(inp: DataFrame, location: DataFrame, provider: DataFrame, resource: DataFrame) -> DataFrame:
+def _small(inp: DataFrame, known: bool | None) -> bool:
+    """One bounded row count of the raw batch per call decides the plan shape."""
+    return known if known is not None else row_count_at_most(inp, DEFAULT_MAX_BROADCAST_ROWS)
+
+
+def stage_appointment_block(
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    resource: DataFrame,
+    batch_small: bool | None = None,
+) -> DataFrame:
     """Three trimmed lookups; unresolved references become ``'0'``."""
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(df, resource, "PmsResourceId", "PmsResourceId", {"PmsResourceId": "_res"})
@@ -48,16 +61,24 @@ def stage_appointment_block(inp: DataFrame, location: DataFrame, provider: DataF
 
 
 def stage_appointment(
-    inp: DataFrame, location: DataFrame, provider: DataFrame, patient: DataFrame, reason: DataFrame
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    patient: DataFrame,
+    reason: DataFrame,
+    batch_small: bool | None = None,
 ) -> DataFrame:
     """Trimmed lookups (default ``'0'``), raw resource id, reason by id when given else by name.
 
     The reference also joins ``Resource`` but takes no column from it; the join is
     left out (it could only duplicate rows).
     """
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
-    df = lookup(df, patient, "PmsPatientId", "PmsPatientId", {"PmsPatientId": "_pat"})
+    df = lookup(
+        df, patient, "PmsPatientId", "PmsPatientId", {"PmsPatientId": "_pat"}, probe=inp if small else None
+    )
     df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsReasonId", "_rsn")
     df = scalar_lookup(df, reason, F.col("PmsReasonId"), "PmsReasonId", "PmsReasonId", "_rsi")
     reason_id = F.when(is_blank(F.col("PmsReasonId")), one_row("_rsn", "reason by name")).otherwise(
@@ -79,9 +100,16 @@ def stage_appointment(
 _INSURER_SLOTS = ("Primary", "Secondary", "Tertiary")
 
 
-def stage_patient(inp: DataFrame, location: DataFrame, provider: DataFrame, insurer: DataFrame) -> DataFrame:
+def stage_patient(
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    insurer: DataFrame,
+    batch_small: bool | None = None,
+) -> DataFrame:
     """Raw-key lookups for location/provider (default ``'0'``), three insurers by id
     when given else by name, ``Deleted`` forced to 0."""
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
     for slot in _INSURER_SLOTS:
@@ -114,15 +142,23 @@ def _fallback(blank_col: str, from_patient: str, from_lookup: str, trim: bool):
     return F.when(is_blank(F.col(blank_col)), pat).otherwise(look)
 
 
-def stage_product_pickup(inp: DataFrame, location: DataFrame, provider: DataFrame, patient: DataFrame) -> DataFrame:
+def stage_product_pickup(
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    patient: DataFrame,
+    batch_small: bool | None = None,
+) -> DataFrame:
     """Raw-key lookups; blank location/provider fall back to the patient's; patient id
     is the stored one (NULL when unknown)."""
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
         key_mode="rtrim",
+        probe=inp if small else None,
     )
     return df.select(
         I, "PmsOrderId",
@@ -136,14 +172,21 @@ def stage_product_pickup(inp: DataFrame, location: DataFrame, provider: DataFram
 
 
 def stage_recall(
-    inp: DataFrame, location: DataFrame, provider: DataFrame, patient: DataFrame, reason: DataFrame
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    patient: DataFrame,
+    reason: DataFrame,
+    batch_small: bool | None = None,
 ) -> DataFrame:
     """Trimmed lookups with patient fallback; recall reason by id when given else by name."""
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
+        probe=inp if small else None,
     )
     df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsRecallReasonId", "_rsn")
     df = scalar_lookup(df, reason, F.col("PmsRecallReasonId"), "PmsRecallReasonId", "PmsRecallReasonId", "_rsi")
@@ -161,13 +204,21 @@ def stage_recall(
     )
 
 
-def stage_visit(inp: DataFrame, location: DataFrame, provider: DataFrame, patient: DataFrame) -> DataFrame:
+def stage_visit(
+    inp: DataFrame,
+    location: DataFrame,
+    provider: DataFrame,
+    patient: DataFrame,
+    batch_small: bool | None = None,
+) -> DataFrame:
     """Trimmed lookups with untrimmed patient fallback.  Feeds the rollups only."""
+    small = _small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
+        probe=inp if small else None,
     )
     return df.select(
         I, "PmsVisitId",
@@ -209,29 +260,35 @@ def recall_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse"
 
 
 def appointment_block_upsert(block, inp, location, provider, resource, as_of=None, mode="collapse") -> MergeResult:
-    staged = stage_appointment_block(inp, location, provider, resource)
+    small = _small(inp, None)
+    staged = stage_appointment_block(inp, location, provider, resource, small)
     return merge(block, staged, specs.APPOINTMENT_BLOCK, as_of, mode)
 
 
 def appointment_upsert(appointment, inp, location, provider, patient, reason, as_of=None, mode="collapse"):
-    staged = stage_appointment(inp, location, provider, patient, reason)
+    small = _small(inp, None)
+    staged = stage_appointment(inp, location, provider, patient, reason, small)
     return merge(appointment, staged, specs.APPOINTMENT, as_of, mode)
 
 
 def patient_upsert(patient, inp, location, provider, insurer, as_of=None, mode="collapse") -> MergeResult:
-    staged = stage_patient(inp, location, provider, insurer)
+    small = _small(inp, None)
+    staged = stage_patient(inp, location, provider, insurer, small)
     return merge(patient, staged, specs.PATIENT, as_of, mode)
 
 
 def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None, mode="collapse"):
     """Returns ``(MergeResult, patient_after_lens_rollup)``: two independent statements."""
-    staged = stage_product_pickup(inp, location, provider, patient)
-    patient_after = apply_patient_facts(patient, patient_facts(staged, lens=True, exam=False), as_of)
+    small = _small(inp, None)
+    staged = stage_product_pickup(inp, location, provider, patient, small)
+    facts = patient_facts(staged, lens=True, exam=False)
+    patient_after = apply_patient_facts(patient, facts, as_of)
     return merge(pickup, staged, specs.PRODUCT_PICKUP, as_of, mode), patient_after
 
 
 def recall_upsert(recall, inp, location, provider, patient, reason, as_of=None, mode="collapse") -> MergeResult:
-    staged = stage_recall(inp, location, provider, patient, reason)
+    small = _small(inp, None)
+    staged = stage_recall(inp, location, provider, patient, reason, small)
     return merge(recall, staged, specs.RECALL, as_of, mode)
 
 
@@ -241,7 +298,8 @@ def visit_upsert(visit, inp, location, provider, patient, as_of=None, mode="coll
     The rollups read the staged rows; the visit merge reads the raw input, as the
     reference does (``use_staged=True`` merges the resolved rows instead).
     """
-    staged = stage_visit(inp, location, provider, patient)
+    small = _small(inp, None)
+    staged = stage_visit(inp, location, provider, patient, small)
     patient_after = apply_patient_facts(patient, patient_facts(staged), as_of)
     return merge(visit, staged if use_staged else inp, specs.VISIT, as_of, mode), patient_after
 

@@ -15,6 +15,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Building the wide merge projections is thousands of Column calls; the
+    # per-call Python call-site capture (a debugging aid) multiplies their cost.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -23,18 +23,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+_registered: dict[int, str] = {}
+
+
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     """Register base tables and every fixture view as session temp views.
 
     Views are lazy: nothing is read until a query runs, and Catalyst prunes the
     columns and pushes the filters of each view body into the parquet scans.
-    Re-registering for another ``sf_dir`` replaces the views; DataFrames built
-    earlier keep the plan they were analysed with.
+    Registering for another ``sf_dir`` replaces the views; DataFrames built
+    earlier keep the plan they were analysed with.  Registering the same
+    ``sf_dir`` again in the same session is a no-op (unless a view went missing).
     """
+    key = id(spark._jsparkSession)
+    if _registered.get(key) == sf_dir and spark.catalog.tableExists(list(FIXTURE_VIEWS)[-1]):
+        return
     for name in FIXTURE_BASE_TABLES:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
     for name, body in FIXTURE_VIEWS.items():
         spark.sql(body).createOrReplaceTempView(name)
+    _registered[key] = sf_dir
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
