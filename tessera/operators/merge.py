@@ -6,7 +6,7 @@ Plan, for a staged source ``S`` and a snapshot ``T`` both keyed by
     pairs      = S  LEFT JOIN  T'            (T' = T, or T semi-joined to S's keys)
     classified = pairs + action + one window over each matched target row
     untouched  = T  LEFT ANTI  keys(S)
-    snapshot   = untouched  UNION ALL  matched rows (updated or kept)  UNION ALL  inserts
+    snapshot   = untouched  UNION ALL  (matched rows, updated or kept, and inserts: one projection)
     delta      = classified rows with action 1 or 2, projected
 
 * ``action`` is 1 (insert: no target row), 2 (update: fingerprint changed) or 0.
@@ -184,16 +184,20 @@ def merge(
     untouched = t.join(keys, ["_i", "_k"], "left_anti").select(
         *[x.t(f.name).alias(f.name) for f in spec.fields]
     )
-    kept_or_updated = classified.filter(matched & (F.col("_rn") == 1)).select(
+    # One pass over the classified rows yields both the matched target rows (kept
+    # or updated, once per target row) and the inserted rows.
+    touched = classified.filter((matched & (F.col("_rn") == 1)) | (act == INSERT)).select(
         *[
-            typed(f.name, F.when(act == UPDATE, _update_value(f, x, now)).otherwise(x.t(f.name)))
+            typed(
+                f.name,
+                F.when(act == INSERT, _insert_value(f, x, now))
+                .when(act == UPDATE, _update_value(f, x, now))
+                .otherwise(x.t(f.name)),
+            )
             for f in spec.fields
         ]
     )
-    inserts = classified.filter(act == INSERT).select(
-        *[typed(f.name, _insert_value(f, x, now)) for f in spec.fields]
-    )
-    snapshot = untouched.unionByName(kept_or_updated).unionByName(inserts)
+    snapshot = untouched.unionByName(touched)
 
     delta = classified.filter(act.isin(INSERT, UPDATE)).select(
         *[_delta_value(d, x, now, act).alias(d.name) for d in spec.delta]
