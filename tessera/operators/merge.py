@@ -53,11 +53,22 @@ def clock(as_of: dt.datetime | None) -> Column:
 
 
 class _Sides:
-    """Case-insensitive access to the prefixed source and target columns."""
+    """Case-insensitive access to the prefixed source and target columns.
 
-    def __init__(self, source_cols: list[str], target_cols: list[str]):
-        self._s = {c.lower(): S + c for c in source_cols}
-        self._t = {c.lower(): T + c for c in target_cols}
+    ``cmp_s`` / ``cmp_t`` give the value as the change tests see it: with
+    ``time_resolution`` (e.g. ``"minute"``) timestamps are truncated first (the
+    reference's default datetime-to-text conversion has minute resolution); the
+    text form is then compared under ``collation`` when one is given (e.g.
+    ``UTF8_LCASE_RTRIM``: case and trailing blanks do not count).
+    """
+
+    def __init__(self, source: DataFrame, target: DataFrame, collation=None, time_resolution=None):
+        self._s = {c.lower(): S + c for c in source.columns}
+        self._t = {c.lower(): T + c for c in target.columns}
+        self._ts = {f.name.lower(): f.dataType.typeName() for f in source.schema.fields}
+        self._tt = {f.name.lower(): f.dataType.typeName() for f in target.schema.fields}
+        self.collation = collation
+        self.time_resolution = time_resolution
 
     def s(self, name: str) -> Column:
         return F.col(self._s[name.lower()])
@@ -65,6 +76,20 @@ class _Sides:
     def t(self, name: str) -> Column:
         return F.col(self._t[name.lower()])
 
+    def _cmp(self, c: Column, type_name: str | None, form_name: str) -> Column:
+        if self.time_resolution and type_name in ("timestamp", "timestamp_ntz"):
+            c = F.date_trunc(self.time_resolution, c)
+        v = form(form_name, c)
+        if self.collation and (type_name == "string" or form_name in ("text", "ttext")):
+            v = F.collate(v.cast("string"), self.collation)
+        return v
+
+    def cmp_s(self, name: str, form_name: str) -> Column:
+        return self._cmp(self.s(name), self._ts.get(name.lower()), form_name)
+
+    def cmp_t(self, name: str, form_name: str) -> Column:
+        return self._cmp(self.t(name), self._tt.get(name.lower()), form_name)
+
 
 def _update_value(f: Field, x: _Sides, now: Column) -> Column:
     rule = f.update
@@ -78,7 +103,8 @@ def _update_value(f: Field, x: _Sides, now: Column) -> Column:
     if rule.startswith("cw:"):
         _, test, new, old = rule.split(":")
         s, t = x.s(f.source), x.t(f.name)
-        return F.when(differs(form(test, s), form(test, t)), form(new, s)).otherwise(form(old, t))
+        changed = differs(x.cmp_s(f.source, test), x.cmp_t(f.name, test))
+        return F.when(changed, form(new, s)).otherwise(form(old, t))
     return form(rule, x.s(f.source))
 
 
@@ -93,10 +119,9 @@ def _delta_value(d: DeltaField, x: _Sides, now: Column, action: Column) -> Colum
         return action
     if d.rule.startswith("sp:"):
         _, ins, test, upd = d.rule.split(":")
-        s, t = x.s(d.source), x.t(d.source)
-        return F.when(action == INSERT, form(ins, s)).when(
-            (action == UPDATE) & differs(form(test, s), form(test, t)), form(upd, s)
-        )
+        s = x.s(d.source)
+        changed = differs(x.cmp_s(d.source, test), x.cmp_t(d.source, test))
+        return F.when(action == INSERT, form(ins, s)).when((action == UPDATE) & changed, form(upd, s))
     return form(d.rule, x.s(d.source))
 
 
@@ -109,6 +134,8 @@ def merge(
     batch_small: bool | None = None,
     batch_keys: DataFrame | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    collation: str | None = None,
+    time_resolution: str | None = None,
 ) -> MergeResult:
     """Merge a staged batch into a snapshot; return new snapshot, delta and the classified pairs.
 
@@ -119,10 +146,12 @@ def merge(
     ``batch_keys`` is the raw batch before staging: staging keeps every input row
     and its key, so its keys are the staged keys, without re-running the lookups
     for the target probe and the anti join.
+    ``collation`` / ``time_resolution`` change what counts as a change (see
+    ``_Sides``); the default compares full values exactly.
     """
     now = clock(as_of)
     tenant = spec.tenant
-    x = _Sides(source.columns, target.columns)
+    x = _Sides(source, target, collation, time_resolution)
     tschema = {f.name.lower(): f.dataType for f in target.schema.fields}
 
     s = source.select(
@@ -153,7 +182,7 @@ def merge(
     pairs = s.join(t_probe, ["_i", "_k"], "left")
 
     matched = F.col("_t").isNotNull()
-    items = [[(form(f, x.s(c)), form(f, x.t(c))) for c, f in item] for item in spec.fingerprint]
+    items = [[(x.cmp_s(c, f), x.cmp_t(c, f)) for c, f in item] for item in spec.fingerprint]
     action = (
         F.when(~matched, F.lit(INSERT))
         .when(fingerprint_changed(items, mode), F.lit(UPDATE))

@@ -152,3 +152,27 @@ def test_visit_date_never_goes_back(spark):
     null_t = df(VisitDate=None, VisitReason="old")
     r2 = merge(null_t, earlier, specs.VISIT, AS_OF)
     assert rows(r2.snapshot, "VisitDate") == [(None,)]
+
+
+def test_collation_option_ignores_case_and_trailing_blanks(spark):
+    t = _loc(spark, [("T", "1", "Main St", "UTC")])
+    s = _loc_in(spark, [("T", "1", "MAIN ST", "utc")])
+    assert _actions(merge(t, s, specs.LOCATION, AS_OF)) == {"1": 2}
+    assert _actions(merge(t, s, specs.LOCATION, AS_OF, collation="UTF8_LCASE_RTRIM")) == {}
+
+
+def test_minute_resolution_option(spark):
+    cols = [f.name for f in specs.APPOINTMENT.fields]
+    types = {"StartDate": "date", "Length": "int", "ShowedUp": "int", "Deleted": "int", "SpendAmt": "decimal(15,2)"}
+    schema = ", ".join(
+        f"{c} {types.get(c, 'timestamp' if c.endswith('Date') and c != 'StartDate' else 'string')}" for c in cols
+    )
+    base = {c: "x" for c in cols}
+    base.update(StartDate=dt.date(2000, 1, 1), Length=30, ShowedUp=1, Deleted=0, SpendAmt=decimal.Decimal("1.00"),
+                PmsCreatedDate=OLD, PmsLastModifiedDate=OLD, UTCCreatedDate=OLD, UTCLastModifiedDate=OLD)
+    t = spark.createDataFrame([tuple(base[c] for c in cols)], schema)
+    later = dict(base, PmsLastModifiedDate=OLD + dt.timedelta(seconds=20))
+    s = spark.createDataFrame([tuple(later[c] for c in cols)], schema)
+    full = merge(t, s, specs.APPOINTMENT, AS_OF)
+    assert rows(full.delta, "ActionPerformed", "PmsLastModifiedDate", "PmsPatientId") == [(2, later["PmsLastModifiedDate"], None)]
+    assert merge(t, s, specs.APPOINTMENT, AS_OF, time_resolution="minute").delta.count() == 0
