@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _registered: dict[int, str] = {}
 
+# The fixture text replicates rows per tenant with ``CROSS JOIN tenant t`` (a
+# 3-row constant).  Spark gets the same rows from a generator instead of a join
+# operator: ``LATERAL VIEW explode(array(<tenants>))``.  DuckDB keeps the text.
+_TENANTS = re.findall(r"'([^']+)'", FIXTURE_VIEWS["tenant"])
+_CROSS_TENANT = re.compile(r"CROSS JOIN tenant t\b")
+_EXPLODE_TENANT = (
+    "LATERAL VIEW explode(array(" + ", ".join(f"'{t}'" for t in _TENANTS) + ")) t AS PmsInstanceId"
+)
+
+
+def spark_body(name: str) -> str:
+    """A fixture body as Spark runs it (tenant replication as a generator)."""
+    return _CROSS_TENANT.sub(_EXPLODE_TENANT, FIXTURE_VIEWS[name])
+
 
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     """Register base tables and every fixture view as session temp views.
@@ -40,8 +55,8 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
         return
     for name in FIXTURE_BASE_TABLES:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-    for name, body in FIXTURE_VIEWS.items():
-        spark.sql(body).createOrReplaceTempView(name)
+    for name in FIXTURE_VIEWS:
+        spark.sql(spark_body(name)).createOrReplaceTempView(name)
     _registered[key] = sf_dir
 
 
@@ -75,6 +90,4 @@ def oracle_with(*names: str) -> str:
 
 
 def _reads(body: str, view: str) -> bool:
-    import re
-
     return re.search(rf"\b(FROM|JOIN)\s+{view}\b", body) is not None
