@@ -2,11 +2,14 @@
 
 ``F.broadcast`` ships a whole relation to every executor.  That is right for a
 batch of ids or a per-tenant reference list and wrong for anything that grows
-with the data.  The check here is a bounded row count: ``limit(n + 1).count()``
-reads at most ``n + 1`` rows (Spark scans partitions incrementally for a limit),
-so it is cheap even when the answer is "too big".  Beyond the bound the caller
-gets the plain relation and Spark plans a shuffle join (with AQE free to
-re-plan it at runtime from real statistics).
+with the data.  The check here is an exact row count of the (batch-sized)
+relation.  ``count()`` is a partial aggregation: every task sends one number,
+nothing else moves.  (``limit(n + 1).count()`` looks cheaper but plans a
+single-partition exchange after a per-partition limit, so on thousands of
+partitions up to ``n`` rows from *each* would funnel into one task.)  The batch
+is scanned once more; the target never is.  Beyond the bound the caller gets
+the plain relation and Spark plans a shuffle join (with AQE free to re-plan it
+at runtime from real statistics).
 """
 
 from __future__ import annotations
@@ -21,8 +24,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows (one distributed count)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:

@@ -179,6 +179,25 @@ def _visit_merge(kind: str):
     return fn
 
 
+def _visit_staged_merge(kind: str):
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged, small, raw = _staged(spark, sf_dir, "visit")
+        r = entities.merge(spark.table("visit"), staged, specs.VISIT, AS_OF, batch_small=small, batch_keys=raw)
+        return r.snapshot if kind == "snapshot" else r.delta
+
+    return fn
+
+
+_vs = oracle_with("visit", *stg.VIEWS["visit"])
+_register(
+    "visit_upsert_staged_snapshot", _visit_staged_merge("snapshot"),
+    oracle.merge_snapshot_sql(_vs, specs.VISIT, "visit", stg.SQL["visit"]),
+)
+_register(
+    "visit_upsert_staged_delta", _visit_staged_merge("delta"),
+    oracle.merge_delta_sql(_vs, specs.VISIT, "visit", stg.SQL["visit"]),
+)
+
 _vp = oracle_with("visit", "visit_in")
 _register("visit_upsert_snapshot", _visit_merge("snapshot"), oracle.merge_snapshot_sql(_vp, specs.VISIT, "visit", "SELECT * FROM visit_in"))
 _register("visit_upsert_delta", _visit_merge("delta"), oracle.merge_delta_sql(_vp, specs.VISIT, "visit", "SELECT * FROM visit_in"))

@@ -67,3 +67,22 @@ def test_large_batch_uses_shuffle_joins(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rollup_aggregates_map_side_before_the_shuffle(spark):
+    from tessera.operators.rollup import patient_facts
+
+    # One patient holds a third of all visits: the partial aggregate collapses it
+    # to one row per map task before any exchange.
+    staged = spark.range(30000).selectExpr(
+        "'T0' AS PmsInstanceId",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS PmsPatientId",
+        "CASE WHEN id % 2 = 0 THEN 'Contact Lenses' ELSE 'Frames' END AS ProductType",
+        "'Exam' AS VisitType",
+        "TIMESTAMP '2000-01-01 00:00:00' + make_interval(0, 0, 0, CAST(id % 400 AS INT)) AS VisitDate",
+    )
+    facts = patient_facts(staged)
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+    hot = facts.filter("_k = 'hot'").collect()
+    assert len(hot) == 1 and hot[0]["_lens"] is True
