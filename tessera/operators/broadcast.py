@@ -14,13 +14,17 @@ at runtime from real statistics).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a join key set / lookup list we are willing to broadcast.  Key rows are
 # narrow (tenant id + business id, ~80 bytes), so 2M rows stay well under the
 # 8 GB hard broadcast limit and typical executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# ``TESSERA_MAX_BROADCAST_ROWS`` overrides it (0 forces the shuffle plans, as the
+# tests do to check both plan shapes against the oracle).
+DEFAULT_MAX_BROADCAST_ROWS = int(os.environ.get("TESSERA_MAX_BROADCAST_ROWS", 2_000_000))
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:

@@ -1,25 +1,28 @@
 """Upsert with change feed (MERGE ... OUTPUT), as one Spark plan.
 
-Plan, for a staged source ``S`` and a snapshot ``T`` both keyed by
-``(tenant, normalised key)``::
-
-    pairs      = S  LEFT JOIN  T'            (T' = T, or T semi-joined to S's keys)
-    classified = pairs + action + one window over each matched target row
-    untouched  = T  LEFT ANTI  keys(S)
-    snapshot   = untouched  UNION ALL  (matched rows, updated or kept, and inserts: one projection)
-    delta      = classified rows with action 1 or 2, projected
-
-* ``action`` is 1 (insert: no target row), 2 (update: fingerprint changed) or 0.
-* The window over the target row identity enforces the MERGE rule that one
-  target row may be updated by at most one source row (``raise_error``
-  otherwise) and keeps a matched target row once when several source rows hit it.
-* Small batch (checked row bound on the batch keys): the keys are broadcast, so
-  neither ``T'`` nor ``untouched`` shuffles the snapshot; both are a scan plus a
-  hash probe.  Large batch: sort-merge joins on ``(_i, _k)``; the snapshot side is
-  hash-partitioned the same way for the outer join and the anti join, so Spark
-  reuses one exchange of ``T``.
-* The tenant never partitions alone: the business key is always in the join key,
-  so one huge tenant spreads over all partitions.
+Every batch row gets an action: 1 (insert: no target row), 2 (update:
+fingerprint changed) or 0 (unchanged).  One target row may be updated by at
+most one batch row (``raise_error`` otherwise, the MERGE rule), and a target
+row hit by several batch rows is kept once.  Two plan shapes, chosen by one
+row count of the batch:
+
+Small batch (under the broadcast bound) - the target is never shuffled::
+
+    pairs      = S  LEFT JOIN  (T  SEMI JOIN  broadcast(keys S))
+    classified = pairs + action + window over each matched target row (batch-sized)
+    snapshot   = (T  ANTI JOIN  broadcast(keys S))  UNION ALL  project(classified)
+    delta      = project(classified where action in (1, 2))
+
+Large batch - the target's rows are shuffled once, its key columns twice::
+
+    J          = T  LEFT JOIN  S        on (tenant, key); + action + per-row window
+                 (J keeps T's hash partitioning, so the window adds only a sort)
+    inserts    = S  ANTI JOIN  keys(T)
+    snapshot   = project(J, one row per target row)  UNION ALL  project(inserts)
+    delta      = project(J where action = 2)  UNION ALL  project(inserts)
+
+The tenant never partitions alone: the business key is always in the join key,
+so one huge tenant spreads over all partitions; AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -158,16 +161,17 @@ def merge(
         *[F.col(c).alias(S + c) for c in source.columns],
         F.col(tenant).alias("_i"),
         norm_key(F.col(spec.source_key), spec.key_mode).alias("_k"),
+        F.lit(True).alias("_s"),
     )
+    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
+    # exact duplicates), so the key alone cannot tell two target rows apart.
     t = target.select(
         *[F.col(c).alias(T + c) for c in target.columns],
         F.col(tenant).alias("_i"),
         norm_key(F.col(spec.key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_t"),
+        F.monotonically_increasing_id().alias("_tid"),
     )
-    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
-    # exact duplicates), so the key alone cannot tell two target rows apart.
-    t_ided = t.withColumn("_tid", F.monotonically_increasing_id())
 
     if batch_keys is not None:
         keys = batch_keys.select(
@@ -176,59 +180,83 @@ def merge(
     else:
         keys = s.select("_i", "_k")
     small = batch_small if batch_small is not None else row_count_at_most(keys, max_broadcast_rows)
-    if small:
-        keys = F.broadcast(keys)
-    t_probe = t_ided.join(keys, ["_i", "_k"], "left_semi") if small else t_ided
-    pairs = s.join(t_probe, ["_i", "_k"], "left")
 
-    matched = F.col("_t").isNotNull()
+    in_s, in_t = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     items = [[(x.cmp_s(c, f), x.cmp_t(c, f)) for c, f in item] for item in spec.fingerprint]
     action = (
-        F.when(~matched, F.lit(INSERT))
+        F.when(~in_t, F.lit(INSERT))
+        .when(~in_s, F.lit(None).cast("int"))  # target row no batch row touches
         .when(fingerprint_changed(items, mode), F.lit(UPDATE))
         .otherwise(F.lit(UNCHANGED))
     )
-    row = Window.partitionBy("_i", "_k", "_tid")
-    classified = (
-        pairs.withColumn("_action", action)
-        .withColumn("_n_upd", F.sum((F.col("_action") == UPDATE).cast("int")).over(row))
-        .withColumn("_rn", F.row_number().over(row.orderBy(F.col("_action").desc())))
-        .filter(
-            F.when(
-                F.col("_n_upd") > 1,
-                F.raise_error(
-                    F.concat(
-                        F.lit(f"{spec.entity}: several source rows update one target row, key="),
-                        F.coalesce(x.t(spec.key).cast("string"), F.lit("NULL")),
-                    )
-                ),
-            ).otherwise(F.lit(True))
-        )
-    )
     act = F.col("_action")
 
+    def one_update_per_row(df: DataFrame) -> DataFrame:
+        """Per matched target row: fail on two updating batch rows, number the matches."""
+        # Both functions share one partitioning and order: one Window operator, one sort.
+        row = Window.partitionBy("_i", "_k", "_tid").orderBy(act.desc())
+        whole = row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return (
+            df.withColumn("_n_upd", F.sum((act == UPDATE).cast("int")).over(whole))
+            .withColumn("_rn", F.row_number().over(row))
+            .filter(
+                F.when(
+                    F.col("_n_upd") > 1,
+                    F.raise_error(
+                        F.concat(
+                            F.lit(f"{spec.entity}: several source rows update one target row, key="),
+                            F.coalesce(x.t(spec.key).cast("string"), F.lit("NULL")),
+                        )
+                    ),
+                ).otherwise(F.lit(True))
+            )
+        )
+
     def typed(name: str, c: Column) -> Column:
         return c.cast(tschema[name.lower()]).alias(name)
 
-    untouched = t.join(keys, ["_i", "_k"], "left_anti").select(
-        *[x.t(f.name).alias(f.name) for f in spec.fields]
-    )
-    # One pass over the classified rows yields both the matched target rows (kept
-    # or updated, once per target row) and the inserted rows.
-    touched = classified.filter((matched & (F.col("_rn") == 1)) | (act == INSERT)).select(
-        *[
-            typed(
-                f.name,
-                F.when(act == INSERT, _insert_value(f, x, now))
-                .when(act == UPDATE, _update_value(f, x, now))
-                .otherwise(x.t(f.name)),
-            )
-            for f in spec.fields
-        ]
-    )
-    snapshot = untouched.unionByName(touched)
+    def snapshot_rows(df: DataFrame) -> DataFrame:
+        return df.select(
+            *[
+                typed(
+                    f.name,
+                    F.when(act == INSERT, _insert_value(f, x, now))
+                    .when(act == UPDATE, _update_value(f, x, now))
+                    .otherwise(x.t(f.name)),
+                )
+                for f in spec.fields
+            ]
+        )
 
-    delta = classified.filter(act.isin(INSERT, UPDATE)).select(
-        *[_delta_value(d, x, now, act).alias(d.name) for d in spec.delta]
-    )
+    def delta_rows(df: DataFrame) -> DataFrame:
+        return df.filter(act.isin(INSERT, UPDATE)).select(
+            *[_delta_value(d, x, now, act).alias(d.name) for d in spec.delta]
+        )
+
+    if small:
+        # Batch keys broadcast: the target is scanned and probed, never shuffled.
+        kb = F.broadcast(keys)
+        t_probe = t.join(kb, ["_i", "_k"], "left_semi")
+        classified = one_update_per_row(s.join(t_probe, ["_i", "_k"], "left").withColumn("_action", action))
+        untouched = t.join(kb, ["_i", "_k"], "left_anti").select(
+            *[x.t(f.name).alias(f.name) for f in spec.fields]
+        )
+        touched = snapshot_rows(classified.filter((in_t & (F.col("_rn") == 1)) | (act == INSERT)))
+        snapshot = untouched.unionByName(touched)
+        delta = delta_rows(classified)
+    else:
+        # Target rows keep their side: T LEFT JOIN S is hash-partitioned on the
+        # target's (tenant, key), so the per-row window needs no new exchange (a
+        # local sort).  New keys come from S ANTI JOIN keys(T): only the two key
+        # columns of the target move a second time.
+        j = one_update_per_row(t.join(s, ["_i", "_k"], "left").withColumn("_action", action))
+        inserts = s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti").select(
+            "*",
+            *[F.lit(None).cast(f.dataType).alias(T + f.name) for f in target.schema.fields],
+            F.lit(None).cast("boolean").alias("_t"),
+            F.lit(INSERT).alias("_action"),
+        )
+        classified = j.unionByName(inserts, allowMissingColumns=True)
+        snapshot = snapshot_rows(j.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
+        delta = delta_rows(j).unionByName(delta_rows(inserts))
     return MergeResult(snapshot=snapshot, delta=delta, classified=classified)

@@ -42,3 +42,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "ActionPerformed" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if "_upsert_" in n))
+def test_merge_queries_match_oracle_on_shuffle_plans(spark, sf_dir, duck, name, monkeypatch):
+    """The same merges with the batch treated as large (sort-merge plans)."""
+    import tessera.plans.entities as ent
+
+    monkeypatch.setattr(ent, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    df = E.queries()[name](spark, sf_dir)
+    got = canon(df.columns, [tuple(r) for r in df.collect()])
+    res = duck.execute(SQL[name])
+    want = canon([d[0] for d in res.description], res.fetchall())
+    assert got == want
