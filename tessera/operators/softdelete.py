@@ -6,9 +6,10 @@
   id from the list;
 * an id list that hits one target row twice is rejected (MERGE rule).
 
-The id list is the small side: broadcast behind a row bound, so the snapshot is
-split into hit / not-hit rows by a scan and a hash probe, never shuffled.  Past
-the bound, semi/anti joins on ``(tenant, trimmed key)`` shuffle both sides.
+The id list is the small side: broadcast behind a row bound, so hit rows are
+found by a scan and a hash probe and the snapshot is never shuffled.  Past the
+bound, one sort-merge join on ``(tenant, trimmed key)`` (the target's rows move
+once; the delta's inner join moves only its two key columns).
 """
 
 from __future__ import annotations
@@ -36,19 +37,23 @@ def mark_deleted(
     t = target.withColumn("_i", F.col(tenant)).withColumn("_k", F.trim(F.col(spec.key)))
     keys = ids.select(F.col(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
     small = row_count_at_most(ids, max_broadcast_rows)
-    keys_b = F.broadcast(keys) if small else keys
 
-    cols = target.columns
-    hit = t.join(keys_b, ["_i", "_k"], "left_semi").select(
+    # One left join with the distinct id keys marks the hit rows: broadcast when the
+    # id list is under the bound (the target is scanned, not shuffled), else one
+    # sort-merge join (the target shuffled once).
+    flags = keys.distinct().withColumn("_hit", F.lit(True))
+    flags = F.broadcast(flags) if small else flags
+    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    snapshot = t.join(flags, ["_i", "_k"], "left").select(
         *[
-            F.lit(1).cast(target.schema[c].dataType).alias(c) if c.lower() == "deleted"
-            else now.alias(c) if c.lower() == "utclastmodifieddate"
+            F.when(hit, F.lit(1)).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+            if c.lower() == "deleted"
+            else F.when(hit, now).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+            if c.lower() == "utclastmodifieddate"
             else F.col(c)
-            for c in cols
+            for c in target.columns
         ]
     )
-    miss = t.join(keys_b, ["_i", "_k"], "left_anti").select(*cols)
-    snapshot = miss.unionByName(hit)
 
     # One row per (id, target row).  Every target row with key k is hit by every
     # id row with key k, so "a target row hit twice" is "k listed twice and present".

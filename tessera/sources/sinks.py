@@ -30,7 +30,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.broadcast import row_count_at_most
 from tessera.plans.specs import TENANT
+
+MAX_TENANTS_BROADCAST = 100_000
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -71,7 +74,10 @@ def publish(
     s_snap, s_delta = os.path.join(stage, "snapshot"), os.path.join(stage, "delta")
     if not (_exists(spark, s_snap) and _exists(spark, s_delta)):
         tenants = touched.select(tenant).distinct()
-        part = snapshot.join(F.broadcast(tenants), tenant, "left_semi")
+        # Tenants of one batch are few; broadcast them only when that holds.
+        if row_count_at_most(tenants, MAX_TENANTS_BROADCAST):
+            tenants = F.broadcast(tenants)
+        part = snapshot.join(tenants, tenant, "left_semi")
         part.write.mode("overwrite").partitionBy(tenant).parquet(s_snap)
         delta.write.mode("overwrite").parquet(s_delta)
     (
