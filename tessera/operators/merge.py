@@ -163,15 +163,17 @@ def merge(
         norm_key(F.col(spec.source_key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_s"),
     )
-    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
-    # exact duplicates), so the key alone cannot tell two target rows apart.
     t = target.select(
         *[F.col(c).alias(T + c) for c in target.columns],
         F.col(tenant).alias("_i"),
         norm_key(F.col(spec.key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_t"),
-        F.monotonically_increasing_id().alias("_tid"),
     )
+    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
+    # exact duplicates), so the key alone cannot tell two target rows apart.
+    # Only the joins that feed the per-row window carry it (a non-deterministic
+    # column blocks filter pushdown, so the other target scans stay without it).
+    t_ided = t.withColumn("_tid", F.monotonically_increasing_id())
 
     if batch_keys is not None:
         keys = batch_keys.select(
@@ -236,7 +238,7 @@ def merge(
     if small:
         # Batch keys broadcast: the target is scanned and probed, never shuffled.
         kb = F.broadcast(keys)
-        t_probe = t.join(kb, ["_i", "_k"], "left_semi")
+        t_probe = t_ided.join(kb, ["_i", "_k"], "left_semi")
         classified = one_update_per_row(s.join(t_probe, ["_i", "_k"], "left").withColumn("_action", action))
         untouched = t.join(kb, ["_i", "_k"], "left_anti").select(
             *[x.t(f.name).alias(f.name) for f in spec.fields]
@@ -249,11 +251,12 @@ def merge(
         # target's (tenant, key), so the per-row window needs no new exchange (a
         # local sort).  New keys come from S ANTI JOIN keys(T): only the two key
         # columns of the target move a second time.
-        j = one_update_per_row(t.join(s, ["_i", "_k"], "left").withColumn("_action", action))
+        j = one_update_per_row(t_ided.join(s, ["_i", "_k"], "left").withColumn("_action", action))
         inserts = s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti").select(
             "*",
             *[F.lit(None).cast(f.dataType).alias(T + f.name) for f in target.schema.fields],
             F.lit(None).cast("boolean").alias("_t"),
+            F.lit(None).cast("long").alias("_tid"),
             F.lit(INSERT).alias("_action"),
         )
         classified = j.unionByName(inserts, allowMissingColumns=True)
