@@ -125,7 +125,7 @@ def _staged(spark: SparkSession, sf_dir: str, entity: str) -> tuple[DataFrame, b
     v = _views(spark, sf_dir)
     fn, inp, *dims = _STAGE_ARGS[entity]
     raw = v(inp)
-    small = entities._small(raw, None)
+    small = entities.batch_is_small(raw)
     return fn(raw, *[v(d) for d in dims], batch_small=small), small, raw
 
 

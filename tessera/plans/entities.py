@@ -34,7 +34,7 @@ I = TENANT
 # ------------------------------------------------------------------ staging
 
 
-def _small(inp: DataFrame, known: bool | None) -> bool:
+def batch_is_small(inp: DataFrame, known: bool | None = None) -> bool:
     """One bounded row count of the raw batch per call decides the plan shape."""
     return known if known is not None else row_count_at_most(inp, DEFAULT_MAX_BROADCAST_ROWS)
 
@@ -47,7 +47,7 @@ def stage_appointment_block(
     batch_small: bool | None = None,
 ) -> DataFrame:
     """Three trimmed lookups; unresolved references become ``'0'``."""
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(df, resource, "PmsResourceId", "PmsResourceId", {"PmsResourceId": "_res"})
@@ -73,7 +73,7 @@ def stage_appointment(
     The reference also joins ``Resource`` but takes no column from it; the join is
     left out (it could only duplicate rows).
     """
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(
@@ -109,7 +109,7 @@ def stage_patient(
 ) -> DataFrame:
     """Raw-key lookups for location/provider (default ``'0'``), three insurers by id
     when given else by name, ``Deleted`` forced to 0."""
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
     for slot in _INSURER_SLOTS:
@@ -151,7 +151,7 @@ def stage_product_pickup(
 ) -> DataFrame:
     """Raw-key lookups; blank location/provider fall back to the patient's; patient id
     is the stored one (NULL when unknown)."""
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
     df = lookup(
@@ -180,7 +180,7 @@ def stage_recall(
     batch_small: bool | None = None,
 ) -> DataFrame:
     """Trimmed lookups with patient fallback; recall reason by id when given else by name."""
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(
@@ -212,7 +212,7 @@ def stage_visit(
     batch_small: bool | None = None,
 ) -> DataFrame:
     """Trimmed lookups with untrimmed patient fallback.  Feeds the rollups only."""
-    small = _small(inp, batch_small)
+    small = batch_is_small(inp, batch_small)
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(
@@ -260,26 +260,26 @@ def recall_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse"
 
 
 def appointment_block_upsert(block, inp, location, provider, resource, as_of=None, mode="collapse") -> MergeResult:
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_appointment_block(inp, location, provider, resource, small)
     return merge(block, staged, specs.APPOINTMENT_BLOCK, as_of, mode)
 
 
 def appointment_upsert(appointment, inp, location, provider, patient, reason, as_of=None, mode="collapse"):
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_appointment(inp, location, provider, patient, reason, small)
     return merge(appointment, staged, specs.APPOINTMENT, as_of, mode)
 
 
 def patient_upsert(patient, inp, location, provider, insurer, as_of=None, mode="collapse") -> MergeResult:
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_patient(inp, location, provider, insurer, small)
     return merge(patient, staged, specs.PATIENT, as_of, mode)
 
 
 def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None, mode="collapse"):
     """Returns ``(MergeResult, patient_after_lens_rollup)``: two independent statements."""
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_product_pickup(inp, location, provider, patient, small)
     facts = patient_facts(staged, lens=True, exam=False)
     patient_after = apply_patient_facts(patient, facts, as_of)
@@ -287,7 +287,7 @@ def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None,
 
 
 def recall_upsert(recall, inp, location, provider, patient, reason, as_of=None, mode="collapse") -> MergeResult:
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_recall(inp, location, provider, patient, reason, small)
     return merge(recall, staged, specs.RECALL, as_of, mode)
 
@@ -298,7 +298,7 @@ def visit_upsert(visit, inp, location, provider, patient, as_of=None, mode="coll
     The rollups read the staged rows; the visit merge reads the raw input, as the
     reference does (``use_staged=True`` merges the resolved rows instead).
     """
-    small = _small(inp, None)
+    small = batch_is_small(inp, None)
     staged = stage_visit(inp, location, provider, patient, small)
     patient_after = apply_patient_facts(patient, patient_facts(staged), as_of)
     return merge(visit, staged if use_staged else inp, specs.VISIT, as_of, mode), patient_after

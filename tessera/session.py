@@ -21,6 +21,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(largest_shuffle_bytes: int, executor_cores: int, executors: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the largest shuffle of a call.
+
+    A large-batch merge shuffles the target's rows once; the shuffle is cut into
+    partitions of about ``partition_bytes`` (AQE coalesces the small ones and
+    splits skewed ones), and never fewer partitions than task slots.  Example:
+    100 TB over 1000 executors x 8 cores -> 400k shuffle partitions of 256 MB.
+    """
+    slots = executor_cores * executors
+    parts = max(slots, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # Spark broadcasts on its own only what its estimate proves small.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
     b = (

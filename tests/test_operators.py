@@ -140,3 +140,22 @@ def test_purge_keeps_other_and_null_tenants(spark):
     assert rows(r.report) == [("visit", 2500, 3)]
     slot = purge_tenant(_slots(spark, [("A", "L", "P", 30, "A")]), "A", "availability_slot", is_slot_table=True)
     assert slot.delta is None and slot.archive.count() == 1 and len(slot.archive.columns) == 10
+
+
+def test_cluster_conf_sizes_partitions():
+    from tessera.session import cluster_conf
+
+    conf = cluster_conf(100 * (1 << 40), executor_cores=8, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(1 << 20, 8, 10)["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_purge_removed_plus_kept_is_everything(spark, sf_dir):
+    from tessera.sources.tables import fixture
+
+    visit = fixture(spark, sf_dir, "visit")
+    for tenant in ("T0", "T1", "T2", "nobody"):
+        r = purge_tenant(visit, tenant, "visit")
+        assert r.kept.count() + r.delta.count() == visit.count()
+        assert r.kept.filter(F.col("PmsInstanceId") == tenant).count() == 0
