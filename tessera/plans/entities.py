@@ -47,7 +47,7 @@ def stage_appointment_block(
     batch_small: bool | None = None,
 ) -> DataFrame:
     """Three trimmed lookups; unresolved references become ``'0'``."""
-    small = batch_is_small(inp, batch_small)
+    del batch_small  # no lookup into a table that grows with the data
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
     df = lookup(df, resource, "PmsResourceId", "PmsResourceId", {"PmsResourceId": "_res"})
@@ -109,7 +109,7 @@ def stage_patient(
 ) -> DataFrame:
     """Raw-key lookups for location/provider (default ``'0'``), three insurers by id
     when given else by name, ``Deleted`` forced to 0."""
-    small = batch_is_small(inp, batch_small)
+    del batch_small  # no lookup into a table that grows with the data
     df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
     df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
     for slot in _INSURER_SLOTS:
