@@ -2,8 +2,12 @@
 
 Storage layout (parquet, paths supplied by the caller):
 
-* snapshot: partitioned by tenant.  A call rewrites only the tenants present in
-  its batch (``partitionOverwriteMode=dynamic``); a tenant purge drops one.
+* snapshot: partitioned by tenant, and optionally by ``_bucket`` = a hash of the
+  normalised business key modulo ``buckets``.  A call rewrites only the
+  partitions its batch touches (``partitionOverwriteMode=dynamic``): whole
+  tenants without buckets, ``(tenant, bucket)`` pairs with them - so a tenant
+  holding a third of all rows is not rewritten whole for a small batch.  A
+  tenant purge drops the tenant.
 * delta:    partitioned by ``batch_id``; re-publishing a batch overwrites its own
   partition, so a retried batch never duplicates change rows.
 
@@ -27,13 +31,20 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.broadcast import row_count_at_most
 from tessera.plans.specs import TENANT
 
-MAX_TENANTS_BROADCAST = 100_000
+MAX_PARTITIONS_BROADCAST = 1_000_000
+BUCKET = "_bucket"
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The published snapshot without the layout column."""
+    df = spark.read.parquet(path)
+    return df.drop(BUCKET) if BUCKET in df.columns else df
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -59,26 +70,36 @@ def publish(
     snapshot_path: str,
     delta_path: str,
     tenant: str = TENANT,
+    key: Column | None = None,
+    buckets: int = 0,
 ) -> bool:
     """Publish one batch's snapshot and delta; returns False when it was already committed.
 
-    ``touched`` holds the tenants whose snapshot partitions are rewritten (the
-    batch's tenants).  The snapshot is filtered to them by a semi join against
-    the broadcast tenant list, which Spark turns into partition pruning of the
-    snapshot scan when the snapshot is stored partitioned by tenant.
+    ``touched`` holds the batch rows; their tenants (and key buckets, when
+    ``buckets`` > 0 and ``key`` gives the normalised key expression) name the
+    snapshot partitions that are rewritten.  The snapshot is filtered to them
+    by a semi join against the (bounded, broadcast) partition list, which Spark
+    turns into partition pruning of the stored snapshot's scan.
     """
     marker = os.path.join(snapshot_path, "_committed", f"batch={batch_id}")
     if _exists(spark, marker):
         return False
     stage = stage_dir(spark, name, batch_id)
     s_snap, s_delta = os.path.join(stage, "snapshot"), os.path.join(stage, "delta")
+    part_cols = [tenant]
+    if buckets > 0:
+        if key is None:
+            raise ValueError("a bucketed layout needs the key expression")
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
+        touched, snapshot = touched.withColumn(BUCKET, bucket), snapshot.withColumn(BUCKET, bucket)
+        part_cols.append(BUCKET)
     if not (_exists(spark, s_snap) and _exists(spark, s_delta)):
-        tenants = touched.select(tenant).distinct()
-        # Tenants of one batch are few; broadcast them only when that holds.
-        if row_count_at_most(tenants, MAX_TENANTS_BROADCAST):
-            tenants = F.broadcast(tenants)
-        part = snapshot.join(tenants, tenant, "left_semi")
-        part.write.mode("overwrite").partitionBy(tenant).parquet(s_snap)
+        parts = touched.select(*part_cols).distinct()
+        # Partitions of one batch are few; broadcast them only when that holds.
+        if row_count_at_most(parts, MAX_PARTITIONS_BROADCAST):
+            parts = F.broadcast(parts)
+        part = snapshot.join(parts, part_cols, "left_semi")
+        part.write.mode("overwrite").partitionBy(*part_cols).parquet(s_snap)
         delta.write.mode("overwrite").parquet(s_delta)
     (
         spark.read.parquet(s_delta)
@@ -92,7 +113,7 @@ def publish(
         spark.read.parquet(s_snap)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(tenant)
+        .partitionBy(*part_cols)
         .parquet(snapshot_path)
     )
     spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)

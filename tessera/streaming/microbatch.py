@@ -17,12 +17,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tessera.operators.merge import MergeResult
-from tessera.sources.sinks import publish
+from tessera.sources.sinks import publish, read_snapshot
 
 MergeFn = Callable[[DataFrame, DataFrame, dt.datetime], MergeResult]
 
@@ -36,12 +36,21 @@ def upsert_batch(
     snapshot_path: str,
     delta_path: str,
     as_of: dt.datetime | None = None,
+    key: Column | None = None,
+    buckets: int = 0,
 ) -> bool:
-    """Merge one batch into the published snapshot and publish the result."""
-    snapshot = spark.read.parquet(snapshot_path)
+    """Merge one batch into the published snapshot and publish the result.
+
+    With ``buckets`` > 0 the snapshot is laid out by (tenant, hash bucket of
+    ``key``), ``key`` being the normalised key expression of the entity.
+    """
+    snapshot = read_snapshot(spark, snapshot_path)
     clock = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     result = merge_fn(snapshot, batch, clock)
-    return publish(spark, name, batch_id, result.snapshot, result.delta, batch, snapshot_path, delta_path)
+    return publish(
+        spark, name, batch_id, result.snapshot, result.delta, batch, snapshot_path, delta_path,
+        key=key, buckets=buckets,
+    )
 
 
 def start_upsert_stream(
