@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import differs, fingerprint_changed, form, norm_key
+from tessera.functions.exprs import concat_text, differs, fingerprint_changed, form, norm_key
 from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from tessera.plans.specs import DeltaField, Field, MergeSpec
 
@@ -199,7 +199,7 @@ def merge(
         row = Window.partitionBy("_i", "_k", "_tid").orderBy(act.desc())
         whole = row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return (
-            df.withColumn("_n_upd", F.sum((act == UPDATE).cast("int")).over(whole))
+            df.withColumn("_n_upd", F.sum(F.when(act == UPDATE, F.col("_mult")).otherwise(0)).over(whole))
             .withColumn("_rn", F.row_number().over(row))
             .filter(
                 F.when(
@@ -235,31 +235,53 @@ def merge(
             *[_delta_value(d, x, now, act).alias(d.name) for d in spec.delta]
         )
 
+    # The batch collapsed to one row per (key, distinct change fingerprint) with
+    # its multiplicity: rows with equal fingerprints act alike against any target
+    # row (all no-ops, or several updates = the MERGE error), so the per-target-row
+    # window sees a handful of rows even when one key holds a third of the batch,
+    # and the aggregate is partial on the map side.  Inserts use the raw batch.
+    if mode == "collapse":
+        fp = [concat_text([x.cmp_s(c, f) for c, f in item]) for item in spec.fingerprint]
+    else:
+        fp = [x.cmp_s(c, f) for item in spec.fingerprint for c, f in item]
+    payload = [c for c in s.columns if c not in ("_i", "_k")]
+    s_one = (
+        s.groupBy("_i", "_k", *[e.alias(f"_f{n}") for n, e in enumerate(fp)])
+        .agg(F.count(F.lit(1)).alias("_mult"), F.first(F.struct(*payload)).alias("_row"))
+        .select("_i", "_k", "_mult", "_row.*")
+    )
+
+    def with_null_target(df: DataFrame) -> DataFrame:
+        return df.select(
+            "*",
+            *[F.lit(None).cast(f.dataType).alias(T + f.name) for f in target.schema.fields],
+            F.lit(None).cast("boolean").alias("_t"),
+            F.lit(None).cast("long").alias("_tid"),
+            F.lit(1).cast("long").alias("_mult"),
+            F.lit(INSERT).alias("_action"),
+        )
+
     if small:
         # Batch keys broadcast: the target is scanned and probed, never shuffled.
         kb = F.broadcast(keys)
         t_probe = t_ided.join(kb, ["_i", "_k"], "left_semi")
-        classified = one_update_per_row(s.join(t_probe, ["_i", "_k"], "left").withColumn("_action", action))
+        classified = one_update_per_row(s_one.join(t_probe, ["_i", "_k"], "inner").withColumn("_action", action))
         untouched = t.join(kb, ["_i", "_k"], "left_anti").select(
             *[x.t(f.name).alias(f.name) for f in spec.fields]
         )
-        touched = snapshot_rows(classified.filter((in_t & (F.col("_rn") == 1)) | (act == INSERT)))
-        snapshot = untouched.unionByName(touched)
-        delta = delta_rows(classified)
+        inserts = with_null_target(s.join(t_probe.select("_i", "_k"), ["_i", "_k"], "left_anti"))
+        snapshot = (
+            untouched.unionByName(snapshot_rows(classified.filter(F.col("_rn") == 1)))
+            .unionByName(snapshot_rows(inserts))
+        )
     else:
         # Target rows keep their side: T LEFT JOIN S is hash-partitioned on the
         # target's (tenant, key), so the per-row window needs no new exchange (a
         # local sort).  New keys come from S ANTI JOIN keys(T): only the two key
         # columns of the target move a second time.
-        j = one_update_per_row(t_ided.join(s, ["_i", "_k"], "left").withColumn("_action", action))
-        inserts = s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti").select(
-            "*",
-            *[F.lit(None).cast(f.dataType).alias(T + f.name) for f in target.schema.fields],
-            F.lit(None).cast("boolean").alias("_t"),
-            F.lit(None).cast("long").alias("_tid"),
-            F.lit(INSERT).alias("_action"),
-        )
-        classified = j.unionByName(inserts, allowMissingColumns=True)
-        snapshot = snapshot_rows(j.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
-        delta = delta_rows(j).unionByName(delta_rows(inserts))
+        classified = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "left").withColumn("_action", action))
+        inserts = with_null_target(s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti"))
+        snapshot = snapshot_rows(classified.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
+    delta = delta_rows(classified).unionByName(delta_rows(inserts))
+    classified = classified.unionByName(inserts, allowMissingColumns=True)
     return MergeResult(snapshot=snapshot, delta=delta, classified=classified)

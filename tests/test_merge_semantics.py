@@ -203,3 +203,27 @@ def test_rerun_of_the_same_batch_changes_nothing(spark, sf_dir):
         first = fn(fixture(spark, sf_dir, target), fixture(spark, sf_dir, inp), as_of=AS_OF)
         snap = spark.createDataFrame(first.snapshot.collect(), first.snapshot.schema)
         assert fn(snap, fixture(spark, sf_dir, inp), as_of=AS_OF).delta.count() == 0
+
+
+@pytest.mark.parametrize("batch_small", [True, False])
+def test_hot_key_third_of_batch(spark, batch_small):
+    from pyspark.sql import functions as F
+
+    t = spark.range(2000).selectExpr(
+        "'T' AS PmsInstanceId", "CAST(id AS STRING) AS PmsLocationId", "'n' || CAST(id AS STRING) AS LocationName",
+        "'UTC' AS TimeZone", "TIMESTAMP '1995-01-01 00:00:00' AS UtcCreatedDate",
+        "TIMESTAMP '1995-01-01 00:00:00' AS UtcLastModifiedDate",
+    )
+    # 1,000 copies of key '7' that change nothing, plus 2,000 ordinary rows.
+    hot = spark.range(1000).selectExpr("'T' AS PmsInstanceId", "'7' AS PmsLocationId", "' n7 ' AS LocationName", "'UTC' AS TimeZone")
+    rest = spark.range(1000, 3000).selectExpr(
+        "'T' AS PmsInstanceId", "CAST(id AS STRING) AS PmsLocationId", "'m' || CAST(id AS STRING) AS LocationName",
+        "'UTC' AS TimeZone",
+    )
+    r = merge(t, hot.unionByName(rest), specs.LOCATION, AS_OF, batch_small=batch_small)
+    assert r.snapshot.count() == 3000
+    assert dict(rows(r.delta.groupBy("ActionPerformed").count())) == {1: 1000, 2: 1000}
+    assert r.snapshot.filter(F.col("PmsLocationId") == "7").select("LocationName").first()[0] == "n7"
+    changing = spark.range(1000).selectExpr("'T' AS PmsInstanceId", "'7' AS PmsLocationId", "'new' AS LocationName", "'UTC' AS TimeZone")
+    with pytest.raises(PySparkException, match="several source rows update one target row"):
+        merge(t, changing, specs.LOCATION, AS_OF, batch_small=batch_small).delta.collect()
