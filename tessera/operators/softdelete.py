@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
@@ -38,13 +38,14 @@ def mark_deleted(
     keys = ids.select(F.col(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
     small = row_count_at_most(ids, max_broadcast_rows)
 
-    # One left join with the distinct id keys marks the hit rows: broadcast when the
-    # id list is under the bound (the target is scanned, not shuffled), else one
-    # sort-merge join (the target shuffled once).
-    flags = keys.distinct().withColumn("_hit", F.lit(True))
-    flags = F.broadcast(flags) if small else flags
-    hit = F.coalesce(F.col("_hit"), F.lit(False))
-    snapshot = t.join(flags, ["_i", "_k"], "left").select(
+    # The id list counted per key (a partial aggregation: an id listed a million
+    # times is one row per map task before the shuffle).  One left join with it
+    # marks the hit rows: broadcast when the id list is under the bound (the
+    # target is scanned, not shuffled), else one sort-merge join.
+    counted = keys.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    counted = F.broadcast(counted) if small else counted
+    hit = F.col("_n").isNotNull()
+    snapshot = t.join(counted, ["_i", "_k"], "left").select(
         *[
             F.when(hit, F.lit(1)).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
             if c.lower() == "deleted"
@@ -55,11 +56,10 @@ def mark_deleted(
         ]
     )
 
-    # One row per (id, target row).  Every target row with key k is hit by every
-    # id row with key k, so "a target row hit twice" is "k listed twice and present".
-    counted = keys.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_i", "_k")))
-    counted_b = F.broadcast(counted) if small else counted
-    pairs = t.select("_i", "_k").join(counted_b, ["_i", "_k"], "inner")
+    # One delta row per (id row, target row).  Every target row with key k is hit
+    # by every id row with key k, so "a target row hit twice" is "k listed twice
+    # and present" - then the call fails; otherwise each hit row has one id row.
+    pairs = t.select("_i", "_k").join(counted, ["_i", "_k"], "inner")
     classified = pairs.filter(
         F.when(
             F.col("_n") > 1,

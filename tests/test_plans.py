@@ -43,14 +43,24 @@ def test_small_batch_probes_target_by_broadcast(spark):
     try:
         r = merge(t, s, specs.RESOURCE, AS_OF, batch_small=True)
         plan = r.snapshot._jdf.queryExecution().executedPlan().toString()
-        # Every join that reads the full target is a broadcast hash join on the
-        # batch keys (semi join for the probe, anti join for untouched rows); what
-        # is shuffled afterwards are only target rows whose key is in the batch.
-        joins = [ln.strip() for ln in plan.splitlines() if "Join" in ln]
-        semi = [j for j in joins if "LeftSemi" in j]
-        anti = [j for j in joins if "LeftAnti" in j]
-        assert semi and all("BroadcastHashJoin" in j and "BuildRight" in j for j in semi)
-        assert anti and all("BroadcastHashJoin" in j and "BuildRight" in j for j in anti)
+        # Every shuffle whose input contains the target scan (Range 0..2000) has the
+        # broadcast semi join on the batch keys below it: only target rows whose
+        # key is in the batch are ever shuffled.
+        lines = plan.splitlines()
+
+        def subtree(i):
+            depth = len(lines[i]) - len(lines[i].lstrip(" :+-"))
+            out = [lines[i]]
+            for ln in lines[i + 1:]:
+                if len(ln) - len(ln.lstrip(" :+-")) <= depth:
+                    break
+                out.append(ln)
+            return "\n".join(out)
+
+        exchanges = [subtree(i) for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+        over_target = [e for e in exchanges if "Range (0, 2000" in e]
+        assert all("LeftSemi" in e and "BroadcastHashJoin" in e for e in over_target)
+        assert any("LeftAnti, BuildRight" in ln and "BroadcastHashJoin" in ln for ln in lines)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
