@@ -6,20 +6,24 @@ most one batch row (``raise_error`` otherwise, the MERGE rule), and a target
 row hit by several batch rows is kept once.  Two plan shapes, chosen by one
 row count of the batch:
 
+First the batch ``S`` is collapsed to ``S1``: one row per (tenant, key,
+distinct change fingerprint) with its multiplicity (a partial aggregation), so
+a key that holds a third of the batch never forms one large group.
+
 Small batch (under the broadcast bound) - the target is never shuffled::
 
-    pairs      = S  LEFT JOIN  (T  SEMI JOIN  broadcast(keys S))
-    classified = pairs + action + window over each matched target row (batch-sized)
-    snapshot   = (T  ANTI JOIN  broadcast(keys S))  UNION ALL  project(classified)
-    delta      = project(classified where action in (1, 2))
+    matched   = S1  JOIN  (T  SEMI JOIN  broadcast(keys S))  + action + per-row window
+    inserts   = S  ANTI JOIN  keys(matched targets)
+    snapshot  = (T  ANTI JOIN  broadcast(keys S))  UNION ALL  project(matched)  UNION ALL  project(inserts)
+    delta     = project(matched where action = 2)  UNION ALL  project(inserts)
 
 Large batch - the target's rows are shuffled once, its key columns twice::
 
-    J          = T  LEFT JOIN  S        on (tenant, key); + action + per-row window
-                 (J keeps T's hash partitioning, so the window adds only a sort)
-    inserts    = S  ANTI JOIN  keys(T)
-    snapshot   = project(J, one row per target row)  UNION ALL  project(inserts)
-    delta      = project(J where action = 2)  UNION ALL  project(inserts)
+    J         = T  LEFT JOIN  S1       on (tenant, key); + action + per-row window
+                (J keeps T's hash partitioning, so the window adds only a sort)
+    inserts   = S  ANTI JOIN  keys(T)
+    snapshot  = project(J, one row per target row)  UNION ALL  project(inserts)
+    delta     = project(J where action = 2)  UNION ALL  project(inserts)
 
 The tenant never partitions alone: the business key is always in the join key,
 so one huge tenant spreads over all partitions; AQE splits skewed keys.
