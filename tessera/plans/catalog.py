@@ -152,22 +152,27 @@ _FACT = {
 }
 
 
-def _fact_merge(entity: str, spec: specs.MergeSpec, target: str) -> None:
+def _fact_merge(entity: str, spec: specs.MergeSpec, target: str, mode: str = "collapse") -> None:
     def run(kind: str):
         def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
             staged, small, raw = _staged(spark, sf_dir, entity)
-            r = entities.merge(spark.table(target), staged, spec, AS_OF, batch_small=small, batch_keys=raw)
+            r = entities.merge(spark.table(target), staged, spec, AS_OF, mode, batch_small=small, batch_keys=raw)
             return r.snapshot if kind == "snapshot" else r.delta
 
         return fn
 
+    name = f"{entity}_upsert" if mode == "collapse" else f"{entity}_upsert_{mode}"
     prefix = oracle_with(target, *stg.VIEWS[entity])
-    _register(f"{entity}_upsert_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, stg.SQL[entity]))
-    _register(f"{entity}_upsert_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, stg.SQL[entity]))
+    src = stg.SQL[entity]
+    _register(f"{name}_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, src, mode))
+    _register(f"{name}_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, src, mode))
 
 
 for _e, (_spec, _target) in _FACT.items():
     _fact_merge(_e, _spec, _target)
+# The same merges comparing every fingerprint operand on its own (NULL-safe).
+_fact_merge("appointment_block", specs.APPOINTMENT_BLOCK, "appointment_block", mode="null_safe")
+_fact_merge("patient", specs.PATIENT, "patient_wide", mode="null_safe")
 
 
 def _visit_merge(kind: str):
