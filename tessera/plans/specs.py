@@ -26,6 +26,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+# Column names of the entity tables (tenant, keys, payload) are
+# the stored tables' names and appear as plain strings throughout the specs.
 TENANT = "PmsInstanceId"
 
 
@@ -344,7 +346,8 @@ APPOINTMENT = MergeSpec(
     ),
 )
 
-# Patient: 75 non-key columns, grouped by rule class.
+# The patient table's column names (they must equal the stored
+# table's), listed in the table's column order and grouped by rule class.
 PATIENT_STRINGS_A = (
     "PatientNumber", "FirstName", "LastName", "PrimaryPhone", "PrimaryPhoneType", "SecondaryPhone",
     "SecondaryPhoneType", "CellPhone", "Email", "Address1", "Address2", "City", "State", "Country", "Zip",
