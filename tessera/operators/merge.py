@@ -76,12 +76,28 @@ class _Sides:
         self._tt = {f.name.lower(): f.dataType.typeName() for f in target.schema.fields}
         self.collation = collation
         self.time_resolution = time_resolution
+        self._cache: dict = {}
 
+    # Column objects are built once per name / form and reused: every Column call
+    # is a round trip to the JVM, and the wide specs reuse each column many times.
     def s(self, name: str) -> Column:
-        return F.col(self._s[name.lower()])
+        return self._memo(("s", name.lower()), lambda: F.col(self._s[name.lower()]))
 
     def t(self, name: str) -> Column:
-        return F.col(self._t[name.lower()])
+        return self._memo(("t", name.lower()), lambda: F.col(self._t[name.lower()]))
+
+    def fs(self, form_name: str, name: str) -> Column:
+        """Source column ``name`` in a value form."""
+        return self._memo(("fs", form_name, name.lower()), lambda: form(form_name, self.s(name)))
+
+    def ft(self, form_name: str, name: str) -> Column:
+        """Target column ``name`` in a value form."""
+        return self._memo(("ft", form_name, name.lower()), lambda: form(form_name, self.t(name)))
+
+    def _memo(self, key, build):
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
 
     def _cmp(self, c: Column, type_name: str | None, form_name: str) -> Column:
         if self.time_resolution and type_name in ("timestamp", "timestamp_ntz"):
@@ -92,10 +108,14 @@ class _Sides:
         return v
 
     def cmp_s(self, name: str, form_name: str) -> Column:
-        return self._cmp(self.s(name), self._ts.get(name.lower()), form_name)
+        return self._memo(
+            ("cs", form_name, name.lower()), lambda: self._cmp(self.s(name), self._ts.get(name.lower()), form_name)
+        )
 
     def cmp_t(self, name: str, form_name: str) -> Column:
-        return self._cmp(self.t(name), self._tt.get(name.lower()), form_name)
+        return self._memo(
+            ("ct", form_name, name.lower()), lambda: self._cmp(self.t(name), self._tt.get(name.lower()), form_name)
+        )
 
 
 def _update_value(f: Field, x: _Sides, now: Column) -> Column:
@@ -109,27 +129,27 @@ def _update_value(f: Field, x: _Sides, now: Column) -> Column:
         return F.when(s > t, s).otherwise(t)
     if rule.startswith("cw:"):
         _, test, new, old = rule.split(":")
-        s, t = x.s(f.source), x.t(f.name)
         changed = differs(x.cmp_s(f.source, test), x.cmp_t(f.name, test))
-        return F.when(changed, form(new, s)).otherwise(form(old, t))
-    return form(rule, x.s(f.source))
+        return F.when(changed, x.fs(new, f.source)).otherwise(x.ft(old, f.name))
+    return x.fs(rule, f.source)
 
 
 def _insert_value(f: Field, x: _Sides, now: Column) -> Column:
-    return now if f.insert == "clock" else form(f.insert, x.s(f.source))
+    return now if f.insert == "clock" else x.fs(f.insert, f.source)
 
 
-def _delta_value(d: DeltaField, x: _Sides, now: Column, action: Column) -> Column:
+def _delta_value(
+    d: DeltaField, x: _Sides, now: Column, action: Column, is_insert: Column, is_update: Column
+) -> Column:
     if d.rule == "clock":
         return now
     if d.rule == "action":
         return action
     if d.rule.startswith("sp:"):
         _, ins, test, upd = d.rule.split(":")
-        s = x.s(d.source)
         changed = differs(x.cmp_s(d.source, test), x.cmp_t(d.source, test))
-        return F.when(action == INSERT, form(ins, s)).when((action == UPDATE) & changed, form(upd, s))
-    return form(d.rule, x.s(d.source))
+        return F.when(is_insert, x.fs(ins, d.source)).when(is_update & changed, x.fs(upd, d.source))
+    return x.fs(d.rule, d.source)
 
 
 def merge(
@@ -221,23 +241,25 @@ def merge(
     def typed(name: str, c: Column) -> Column:
         return c.cast(tschema[name.lower()]).alias(name)
 
-    def snapshot_rows(df: DataFrame) -> DataFrame:
-        return df.select(
-            *[
-                typed(
-                    f.name,
-                    F.when(act == INSERT, _insert_value(f, x, now))
-                    .when(act == UPDATE, _update_value(f, x, now))
-                    .otherwise(x.t(f.name)),
-                )
-                for f in spec.fields
-            ]
+    # Each projection is built once and applied to every branch that needs it.
+    is_insert, is_update = act == INSERT, act == UPDATE
+    snapshot_cols = [
+        typed(
+            f.name,
+            F.when(is_insert, _insert_value(f, x, now))
+            .when(is_update, _update_value(f, x, now))
+            .otherwise(x.t(f.name)),
         )
+        for f in spec.fields
+    ]
+    delta_cols = [_delta_value(d, x, now, act, is_insert, is_update).alias(d.name) for d in spec.delta]
+    is_change = act.isin(INSERT, UPDATE)
+
+    def snapshot_rows(df: DataFrame) -> DataFrame:
+        return df.select(*snapshot_cols)
 
     def delta_rows(df: DataFrame) -> DataFrame:
-        return df.filter(act.isin(INSERT, UPDATE)).select(
-            *[_delta_value(d, x, now, act).alias(d.name) for d in spec.delta]
-        )
+        return df.filter(is_change).select(*delta_cols)
 
     # The batch collapsed to one row per (key, distinct change fingerprint) with
     # its multiplicity: rows with equal fingerprints act alike against any target
