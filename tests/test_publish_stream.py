@@ -66,3 +66,24 @@ def test_bucketed_layout_rewrites_only_touched_buckets(spark, sf_dir):
     # Only bucket 3 was rewritten: the other buckets' files are the originals.
     stamps = {r[0] for r in spark.read.parquet(snap).filter("_bucket <> 3").select("UtcLastModifiedDate").distinct().collect()}
     assert AS_OF not in stamps
+
+
+def test_read_batch_with_declared_schema(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.schemas import INPUT_SCHEMAS, read_batch
+
+    base = tempfile.mkdtemp(prefix="tessera-batch-")
+    batch = fixture(spark, sf_dir, "resource_in")
+    batch.write.parquet(os.path.join(base, "resource"))
+    got = read_batch(spark, os.path.join(base, "resource"), "resource")
+    assert got.schema == INPUT_SCHEMAS["resource"]
+    r = entities.resource_upsert(fixture(spark, sf_dir, "resource"), got, as_of=AS_OF)
+    assert rows(r.delta) == rows(entities.resource_upsert(fixture(spark, sf_dir, "resource"), batch, as_of=AS_OF).delta)
+    # A batch file without a column reads it as NULL instead of failing.
+    batch.drop("ResourceName").write.parquet(os.path.join(base, "narrow"))
+    narrow = read_batch(spark, os.path.join(base, "narrow"), "resource")
+    assert narrow.filter(F.col("ResourceName").isNotNull()).count() == 0
+    # Every declared patient column is one the patient merge spec knows.
+    names = {f.name for f in INPUT_SCHEMAS["patient"].fields}
+    assert {f.source for f in entities.specs.PATIENT.fields if f.insert != "clock"} <= names
