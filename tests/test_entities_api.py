@@ -59,3 +59,23 @@ def test_deletes_diff_purge(spark, sf_dir, v):
     p = entities.batch_delete_tenant(v("slot"), "T1", "availability_slot", AS_OF)
     _same(p.archive, q["purge_slot_archive"](spark, sf_dir))
     assert p.delta is None
+
+
+def test_slot_refresh_flow(spark, sf_dir, v):
+    """Purge a tenant's slots into the archive, reload, diff against the archive."""
+    from pyspark.sql import functions as F
+
+    previous = v("slot_cleared")
+    purged = entities.batch_delete_tenant(previous, "T1", "availability_slot", AS_OF)
+    assert purged.kept.filter(F.col("PmsInstanceId") == "T1").count() == 0
+    # The archive keeps the 10 slot columns; the diff reads audit columns as NULL there.
+    archive = purged.archive.select(
+        "*", *[F.lit(None).cast("timestamp").alias(c) for c in
+               ("PmsCreatedDate", "PmsLastModifiedDate", "UtcCreatedDate", "UtcLastModifiedDate")]
+    )
+    reloaded = v("slot").filter(F.col("PmsInstanceId") == "T1")
+    diff = entities.availability_slot_compare(reloaded, archive)
+    whole = entities.availability_slot_compare(v("slot"), previous).filter(F.col("PmsInstanceId") == "T1")
+    key = ["PmsInstanceId", "PmsLocationId", "PmsProviderId", "StartDateTime", "Length", "SwimLanes", "SlotType",
+           "ActionPerformed"]
+    assert rows(diff, *key) == rows(whole, *key)
