@@ -64,6 +64,8 @@ def start_upsert_stream(
     checkpoint_location: str,
     max_files_per_trigger: int | None = None,
     trigger_available_now: bool = True,
+    key: Column | None = None,
+    buckets: int = 0,
 ) -> StreamingQuery:
     """Stream parquet input batches from ``source_dir`` into the snapshot at ``snapshot_path``."""
     reader = spark.readStream.schema(schema)
@@ -72,7 +74,7 @@ def start_upsert_stream(
     stream = reader.parquet(source_dir)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(spark, name, batch, batch_id, merge_fn, snapshot_path, delta_path)
+        upsert_batch(spark, name, batch, batch_id, merge_fn, snapshot_path, delta_path, key=key, buckets=buckets)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
