@@ -50,9 +50,9 @@ def _list_merge(name: str, spec: specs.MergeSpec, target: str, source: str, mode
 
         return fn
 
-    prefix = oracle_with(target, source)
-    _register(f"{name}_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, f"SELECT * FROM {source}", mode))
-    _register(f"{name}_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, f"SELECT * FROM {source}", mode))
+    prefix, src = oracle_with(target, source), f"SELECT * FROM {source}"
+    _register(f"{name}_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, src, mode))
+    _register(f"{name}_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, src, mode))
 
 
 _list_merge("resource_upsert", specs.RESOURCE, "resource", "resource_in")
@@ -89,7 +89,10 @@ def _soft_delete(name: str, entity: str, target: str, ids: str) -> None:
         return fn
 
     prefix = oracle_with(target, ids)
-    hit = f"EXISTS (SELECT 1 FROM {ids} d WHERE d.PmsInstanceId = t.PmsInstanceId AND trim(d.PmsId) = trim(t.{spec.key}))"
+    hit = (
+        f"EXISTS (SELECT 1 FROM {ids} d WHERE d.PmsInstanceId = t.PmsInstanceId "
+        f"AND trim(d.PmsId) = trim(t.{spec.key}))"
+    )
     snap = (
         f"{prefix}\nSELECT * REPLACE (CASE WHEN {hit} THEN 1 ELSE Deleted END AS Deleted, "
         f"CASE WHEN {hit} THEN {AS_OF_SQL} ELSE UtcLastModifiedDate END AS UtcLastModifiedDate) FROM {target} t"
@@ -112,7 +115,9 @@ for _name, (_target, _ids) in _SOFT.items():
 
 _STAGE_ARGS = {
     "appointment_block": (entities.stage_appointment_block, "appointment_block_in", "location", "provider", "resource"),
-    "appointment": (entities.stage_appointment, "appointment_in", "location", "provider", "patient", "appointment_reason"),
+    "appointment": (
+        entities.stage_appointment, "appointment_in", "location", "provider", "patient", "appointment_reason"
+    ),
     "patient": (entities.stage_patient, "patient_wide_in", "location", "provider", "insurer"),
     "product_pickup": (entities.stage_product_pickup, "product_pickup_in", "location", "provider", "patient"),
     "recall": (entities.stage_recall, "recall_in", "location", "provider", "patient", "recall_reason"),
@@ -204,8 +209,9 @@ _register(
 )
 
 _vp = oracle_with("visit", "visit_in")
-_register("visit_upsert_snapshot", _visit_merge("snapshot"), oracle.merge_snapshot_sql(_vp, specs.VISIT, "visit", "SELECT * FROM visit_in"))
-_register("visit_upsert_delta", _visit_merge("delta"), oracle.merge_delta_sql(_vp, specs.VISIT, "visit", "SELECT * FROM visit_in"))
+_vin = "SELECT * FROM visit_in"
+_register("visit_upsert_snapshot", _visit_merge("snapshot"), oracle.merge_snapshot_sql(_vp, specs.VISIT, "visit", _vin))
+_register("visit_upsert_delta", _visit_merge("delta"), oracle.merge_delta_sql(_vp, specs.VISIT, "visit", _vin))
 
 
 # ------------------------------------------------------------------ rollups into patient
@@ -219,7 +225,8 @@ def _rollup(name: str, entity: str, lens: bool, exam: bool) -> None:
         return apply_patient_facts(spark.table("patient"), patient_facts(staged, lens, exam), AS_OF, batch_small=small)
 
     lens_sql = (
-        "EXISTS (SELECT 1 FROM st WHERE st.PmsInstanceId = p.PmsInstanceId AND trim(st.PmsPatientId) = trim(p.PmsPatientId) "
+        "EXISTS (SELECT 1 FROM st WHERE st.PmsInstanceId = p.PmsInstanceId "
+        "AND trim(st.PmsPatientId) = trim(p.PmsPatientId) "
         "AND trim(st.ProductType) = 'Contact Lenses')"
         if lens else "FALSE"
     )
