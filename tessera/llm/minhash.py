@@ -29,10 +29,10 @@ from tessera.llm.components import connected_components
 
 K, BANDS, ROWS, PERCENT = 5, 36, 3, 75
 #: Pairs whose signatures agree on less than this share are dropped before the exact check:
-#: six standard deviations of the estimate (108 minima) under a similarity of 0.75.
-SLACK = 0.25
+#: five standard deviations of the estimate (108 minima) under a similarity of 0.75.
+SLACK = 0.21
 #: Members of a bucket that one task of the exact rest compares with as many others.
-BLOCK = 256
+BLOCK = 2048
 _CHUNK = 4096
 
 
@@ -116,33 +116,41 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataF
     return both.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b").distinct()
 
 
-def _rest(keys: DataFrame, split: DataFrame, sigs: DataFrame, least: float, block: int) -> DataFrame:
+def _rest(members: DataFrame, split: DataFrame, sigs: DataFrame, least: float, rows: int, block: int) -> DataFrame:
     """Pairs of different components within the buckets ``split (key, n)``, compared block by block.
 
     A bucket of n members is cut into ceil(n / block) blocks by a hash of the
-    member; each pair of blocks is a group of about two blocks of rows.
+    member; each pair of blocks is a group of about two blocks of rows.  A pair
+    that meets in several buckets is told by the one of its first common band.
     """
+    short = F.transform(
+        F.sequence(F.lit(0), F.length("sig") / 4 - 1), lambda i: F.substring(F.col("sig"), (i * 4 + 1).cast("int"), F.lit(2))
+    )
+    sigs = sigs.select("node", F.array_join(F.transform(short, F.hex), "").alias("sig")).select("node", F.unhex("sig").alias("sig"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members = keys.join(split, "key").withColumn("blocks", blocks).withColumn("own", own)
-    placed = members.join(sigs, "node").select(
-        "key", "node", "component", "own", "sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    placed = members.join(split, "key").withColumn("blocks", blocks).withColumn("own", own).join(sigs, "node")
+    placed = placed.select(
+        "key", "band", "node", "component", "own", "sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    groups = placed.select(
+        "key", "band", "node", "component", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    groups = placed.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
 
     def run(_, group):
-        first = group[group.own == group.i]
-        second = group[group.own == group.j]
+        import pandas as pd
+
+        band = int(group.band.iloc[0])
+        first, second = group[group.own == group.i], group[group.own == group.j]
         out = []
         if len(first) and len(second):
-            xs = np.stack([np.frombuffer(s, "<u4") for s in first.sig])
-            ys = np.stack([np.frombuffer(s, "<u4") for s in second.sig])
+            ys = np.stack([np.frombuffer(s, "<u2") for s in second.sig])
             nodes, parts = second.node.to_numpy(), second.component.to_numpy()
-            for node, part, x in zip(first.node, first.component, xs, strict=True):
-                hit = (parts != part) & (nodes != node) & ((ys == x).mean(axis=1) >= least)
-                out += [(min(node, m), max(node, m)) for m in nodes[hit]]
-        import pandas as pd
-
+            for node, part, sig in zip(first.node, first.component, first.sig, strict=True):
+                equal = ys == np.frombuffer(sig, "<u2")
+                hit = (parts != part) & (nodes != node) & (equal.mean(axis=1) >= least)
+                bands = equal[hit].reshape(hit.sum(), -1, rows).all(axis=2)
+                out += [(min(node, m), max(node, m)) for m in nodes[hit][bands.argmax(axis=1) == band]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return groups.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
@@ -171,10 +179,10 @@ def near_duplicates(
     )
     width = 4 * rows
     key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))
-    keys = sigs.select("node", F.explode(key).alias("key"))
+    keys = sigs.select("node", F.posexplode(key).alias("band", "key"))
     ends = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
-    ends = written(ends.filter("lo != hi"), "buckets")
-    near = keys.join(ends, "key").select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node != end")
+    members = written(keys.join(ends.filter("lo != hi"), "key"), "buckets")
+    near = members.select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node != end")
     pairs = near.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     pairs = written(_alike(pairs, sigs, least), "pairs")
     links = written(_confirmed(texts, pairs, k, percent), "links")
@@ -185,13 +193,13 @@ def near_duplicates(
     parts = written(connected_components(links), "components")
 
     # Buckets of up to three members have had every pair compared.
-    large = keys.join(ends.filter("n > 3").select("key", "n"), "key").join(parts, "node", "left")
-    large = large.select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    split = large.groupBy("key").agg(F.first("n").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    large = members.filter("n > 3").join(parts, "node", "left")
+    large = large.select("key", "band", "node", "n", F.coalesce("component", "node").alias("component"))
+    split = large.groupBy("key").agg(F.max("n").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     split = written(split.filter("x != y").select("key", "n"), "split")
     if not split.isEmpty():
-        members = large.select("key", "node", "component")
-        more = written(_rest(members, split, sigs, least, block).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = _rest(large.drop("n"), split, sigs, least, rows, block)
+        more = written(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
             links = links.union(written(_confirmed(texts, more, k, percent), "links"))
             parts = written(connected_components(links), "components")
