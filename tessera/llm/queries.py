@@ -4,21 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import minhash
+from tessera.llm import decontaminate, minhash, quality_rules, sentencepiece_codec
 from tessera.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.report(decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark")))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return sentencepiece_codec.digests(sentencepiece_codec.encode_documents(docs, model))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op9_minhash_near_dedup": op9_minhash_near_dedup,
-    }
+    found = (op1_quality_rules, op3_decontamination, op4_sentencepiece, op9_minhash_near_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Queries whose result SQL can state; the others are tested against brute force in tests/llm."""
+    return {"op1_quality_rules": quality_rules.oracle_sql()}
