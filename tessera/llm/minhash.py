@@ -123,10 +123,6 @@ def _rest(members: DataFrame, split: DataFrame, sigs: DataFrame, least: float, r
     member; each pair of blocks is a group of about two blocks of rows.  A pair
     that meets in several buckets is told by the one of its first common band.
     """
-    short = F.transform(
-        F.sequence(F.lit(0), F.length("sig") / 4 - 1), lambda i: F.substring(F.col("sig"), (i * 4 + 1).cast("int"), F.lit(2))
-    )
-    sigs = sigs.select("node", F.array_join(F.transform(short, F.hex), "").alias("sig")).select("node", F.unhex("sig").alias("sig"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = members.join(split, "key").withColumn("blocks", blocks).withColumn("own", own).join(sigs, "node")
@@ -144,10 +140,10 @@ def _rest(members: DataFrame, split: DataFrame, sigs: DataFrame, least: float, r
         first, second = group[group.own == group.i], group[group.own == group.j]
         out = []
         if len(first) and len(second):
-            ys = np.stack([np.frombuffer(s, "<u2") for s in second.sig])
+            ys = np.stack([np.frombuffer(s, "<u4") for s in second.sig])
             nodes, parts = second.node.to_numpy(), second.component.to_numpy()
             for node, part, sig in zip(first.node, first.component, first.sig, strict=True):
-                equal = ys == np.frombuffer(sig, "<u2")
+                equal = ys == np.frombuffer(sig, "<u4")
                 hit = (parts != part) & (nodes != node) & (equal.mean(axis=1) >= least)
                 bands = equal[hit].reshape(hit.sum(), -1, rows).all(axis=2)
                 out += [(min(node, m), max(node, m)) for m in nodes[hit][bands.argmax(axis=1) == band]]
