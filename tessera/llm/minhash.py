@@ -145,7 +145,7 @@ def _rest(members: DataFrame, split: DataFrame, sigs: DataFrame, least: float, r
             for node, part, sig in zip(first.node, first.component, first.sig, strict=True):
                 equal = ys == np.frombuffer(sig, "<u4")
                 hit = (parts != part) & (nodes != node) & (equal.mean(axis=1) >= least)
-                bands = equal[hit].reshape(hit.sum(), -1, rows).all(axis=2)
+                bands = equal[hit].reshape(hit.sum(), ys.shape[1] // rows, rows).all(axis=2)
                 out += [(min(node, m), max(node, m)) for m in nodes[hit][bands.argmax(axis=1) == band]]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
