@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import pieces_of
 
 SPACE = "▁"
-_MAX_WORDS = 300_000
+_MAX_WORDS = 700_000
 _MAX_PAIRS = 500_000
 
 
@@ -167,6 +168,12 @@ class Codec:
         return ids[:4] + b"".join([i for i, _ in found]) + ids[4:], decoded[1:] if decoded.startswith(" ") else decoded
 
 
+@lru_cache(maxsize=1)
+def codec_of(model: bytes) -> Codec:
+    """The codec of a model; a worker process keeps it, and the words it remembers, from task to task."""
+    return Codec(model)
+
+
 def read_model(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()
@@ -188,7 +195,7 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
     )
 
     def run(batches):
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for whole in batches:
             for batch in pieces_of(whole):
                 found = [codec.encode(t or "") for t in pc.struct_field(batch.column("row"), "text").to_pylist()]
