@@ -9,8 +9,8 @@ members are compared with the smallest and the largest member (linear in the
 bucket), first by signature, then on the full sets.  Links make components by
 large-star and small-star.  Buckets that still hold members of different
 components after that get the exact rest: their members are compared block by
-block, every block pair in a task of its own, and only pairs of different
-components whose signatures agree enough leave it for the confirmation.
+block, every block pair a group of its own, and a group tells only links that
+join different components.
 
 With 36 bands of 3 minima a pair at similarity 0.75 shares no band with
 probability (1 - 0.75**3)**36 = 2.7e-9.
@@ -31,6 +31,8 @@ K, BANDS, ROWS, PERCENT = 5, 36, 3, 75
 #: Pairs whose signatures agree on less than this share are dropped before the exact check:
 #: five standard deviations of the estimate (108 minima) under a similarity of 0.75.
 SLACK = 0.21
+#: Ids of candidate documents sent to every task that fetches their texts (8 MB).
+MAX_BROADCAST_IDS = 1 << 20
 #: Members of a bucket that one task of the exact rest compares with as many others.
 BLOCK = 2048
 _CHUNK = 4096
@@ -72,19 +74,26 @@ def _sets(docs: DataFrame, k: int, minima: int) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, hashes): the whole shingle set of each wanted document."""
+    """(node, hashes, short): the whole shingle set of each wanted document, and its upper halves packed.
 
-    schema = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+    Up to MAX_BROADCAST_IDS ids go to every task, more are joined by shuffle.
+    """
+    schema = pa.schema([("node", pa.int64()), ("hashes", pa.list_(pa.int64())), ("short", pa.binary())])
 
     def run(batches):
-        hashes = WordHashes()
+        words = WordHashes()
         for whole in batches:
             for batch in pieces_of(whole):
-                sets = [shingles(hashes.of(text.lower().split()), k).view(np.int64) for text in batch.column("text").to_pylist()]
-                yield pa.record_batch([batch.column("node"), pa.array(sets, schema.field(1).type)], schema=schema)
+                sets = [shingles(words.of(text.lower().split()), k) for text in batch.column("text").to_pylist()]
+                hashes = pa.array([x.view(np.int64) for x in sets], schema.field(1).type)
+                short = pa.array([(x >> np.uint64(32)).astype("<u4").tobytes() for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("node"), hashes, short], schema=schema)
 
+    nodes = written(nodes, "nodes")
+    few = nodes.count() <= MAX_BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_bytes("text").alias("text")).filter("text is not null")
-    return texts.join(nodes, "node", "left_semi").mapInArrow(run, "node long, hashes array<bigint>")
+    texts = texts.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
+    return written(texts.mapInArrow(run, "node long, hashes array<bigint>, short binary"), "sets")
 
 
 def _alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -104,10 +113,8 @@ def _alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the similarity: 100 |x & y| >= percent |x or y|."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(_full_sets(docs, nodes, k), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"
     )
@@ -116,37 +123,62 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataF
     return both.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b").distinct()
 
 
-def _rest(members: DataFrame, split: DataFrame, sigs: DataFrame, least: float, rows: int, block: int) -> DataFrame:
-    """Pairs of different components within the buckets ``split (key, n)``, compared block by block.
+class _Groups(dict):
+    """Union-find over component ids."""
+
+    def __missing__(self, x):
+        return x
+
+    def root(self, x):
+        while self[x] != x:
+            x = self[x]
+        return x
+
+
+def _rest(members: DataFrame, split: DataFrame, sets: DataFrame, least: float, rows: int, percent: int, block: int) -> DataFrame:
+    """Links that join different components within the buckets ``split (key, n)``, compared block by block.
 
     A bucket of n members is cut into ceil(n / block) blocks by a hash of the
     member; each pair of blocks is a group of about two blocks of rows.  A pair
-    that meets in several buckets is told by the one of its first common band.
+    that meets in several buckets is looked at in its first common band.  Pairs
+    whose signatures agree enough are compared on the halved hashes of their
+    sets; what a task has joined for sure (beyond what equal halves could feign)
+    it need not join again, so it tells fewer links than it has members, and
+    those that only the full sets can decide.
     """
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = members.join(split, "key").withColumn("blocks", blocks).withColumn("own", own).join(sigs, "node")
+    placed = members.join(split, "key").withColumn("blocks", blocks).withColumn("own", own).join(sets, "node")
     placed = placed.select(
-        "key", "band", "node", "component", "own", "sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
-    groups = placed.select(
-        "key", "band", "node", "component", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "key", "band", "node", "component", "own", "sig", "short", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     )
+    first, second = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    groups = placed.select("key", "band", "node", "component", "sig", "short", "own", first, second)
 
     def run(_, group):
         import pandas as pd
 
         band = int(group.band.iloc[0])
         first, second = group[group.own == group.i], group[group.own == group.j]
-        out = []
+        out, joined = [], _Groups()
         if len(first) and len(second):
             ys = np.stack([np.frombuffer(s, "<u4") for s in second.sig])
             nodes, parts = second.node.to_numpy(), second.component.to_numpy()
-            for node, part, sig in zip(first.node, first.component, first.sig, strict=True):
+            sets = [np.frombuffer(s, "<u4") for s in second.short]
+            for node, part, sig, short in zip(first.node, first.component, first.sig, first.short, strict=True):
                 equal = ys == np.frombuffer(sig, "<u4")
                 hit = (parts != part) & (nodes != node) & (equal.mean(axis=1) >= least)
                 bands = equal[hit].reshape(hit.sum(), ys.shape[1] // rows, rows).all(axis=2)
-                out += [(min(node, m), max(node, m)) for m in nodes[hit][bands.argmax(axis=1) == band]]
+                mine = np.frombuffer(short, "<u4")
+                for at in np.flatnonzero(hit)[bands.argmax(axis=1) == band]:
+                    if joined.root(part) == joined.root(parts[at]):
+                        continue
+                    n = len(np.intersect1d(mine, sets[at], assume_unique=True))
+                    total = len(mine) + len(sets[at])
+                    if 100 * n >= percent * (total - n):
+                        out.append((min(node, nodes[at]), max(node, nodes[at])))
+                        if 100 * (n - 2) >= percent * (total - n + 2):
+                            joined[joined.root(part)] = joined.root(parts[at])
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return groups.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
@@ -181,7 +213,8 @@ def near_duplicates(
     near = members.select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node != end")
     pairs = near.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     pairs = written(_alike(pairs, sigs, least), "pairs")
-    links = written(_confirmed(texts, pairs, k, percent), "links")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    links = written(_confirmed(pairs, _full_sets(texts, nodes, k), percent), "links")
     # Equal doc_ids with different sets have several class nodes: link those too.
     same = full.join(classes, "fp").filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     same = same.join(classes.select(F.col("node").alias("a")), "a", "left_semi").distinct()
@@ -194,11 +227,12 @@ def near_duplicates(
     split = large.groupBy("key").agg(F.max("n").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     split = written(split.filter("x != y").select("key", "n"), "split")
     if not split.isEmpty():
-        more = _rest(large.drop("n"), split, sigs, least, rows, block)
-        more = written(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        large = written(large.drop("n").join(split.select("key"), "key", "left_semi"), "members")
+        sets = _full_sets(texts, large.select("node").distinct(), k)
+        more = _rest(large, split, sets.select("node", "short").join(sigs, "node"), least, rows, percent, block)
+        more = written(_confirmed(written(more, "pairs"), sets, percent), "links")
         if not more.isEmpty():
-            links = links.union(written(_confirmed(texts, more, k, percent), "links"))
-            parts = written(connected_components(links), "components")
+            parts = written(connected_components(links.union(more)), "components")
 
     out = found.select("doc_id", "n_shingles", "fp").join(classes, "fp", "left").join(parts, "node", "left")
     part = F.when(F.col("fp").isNull() | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component", "node"))
