@@ -1,6 +1,7 @@
 """Secrets in texts: candidate strings, judged by a random forest.
 
-A candidate is a run of at least twelve key characters with a digit.  Its
+A candidate is a run of at least twelve key characters with a digit (or of an
+issued format that may have none).  Its
 features are its length, how often its characters change class, shares of
 digits, capitals, vowels and distinct characters, how much of it dictionary
 words cover, the path it stands in (of the file and within its own token) and
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import written
 
 _KEY = "A-Za-z0-9+/_-"
-CANDIDATE = f"(?<![{_KEY}])(?=[A-Za-z+/_-]*+[0-9])[{_KEY}]{{12,}}+={{0,2}}"
+CANDIDATE = f"(?<![{_KEY}])(?:(?=[A-Za-z+/_-]*+[0-9])|(?=A[KS]IA[A-Z]{{16}}))[{_KEY}]{{12,}}+={{0,2}}"
 BEFORE, AFTER = 48, 24  # characters of context
 #: Fixed words: names of secrets in front of them, names of harmless things, and an everyday dictionary.
 SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "private_key", "bearer", "credential")
@@ -112,14 +113,17 @@ def with_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         ),
         lambda a: a["starts"],
     )
-    df = df.select("row", "file", "strings", "parts", ends.alias("starts"))
+    # Zipped, so that each array is made once and not once per candidate.
+    n = F.size("strings")
+    zipped = F.arrays_zip(F.slice(ends, 1, n).alias("start"), F.col("strings").alias("finding"), F.slice("parts", 1, n).alias("before"), F.slice("parts", 2, n).alias("after"))
+    df = df.select("row", "file", "parts", zipped.alias("zipped"))
     near = F.transform(
-        "strings",
-        lambda s, i: F.struct(
-            F.get("starts", i).alias("start"),
-            s.alias("finding"),
-            F.substr(F.get("parts", i), F.greatest(F.length(F.get("parts", i)) - BEFORE + 1, F.lit(1))).alias("before"),
-            F.substr(F.get("parts", i + 1), F.lit(1), F.lit(AFTER)).alias("after"),
+        "zipped",
+        lambda c: F.struct(
+            c["start"].alias("start"),
+            c["finding"].alias("finding"),
+            F.substr(c["before"], F.greatest(F.length(c["before"]) - BEFORE + 1, F.lit(1))).alias("before"),
+            F.substr(c["after"], F.lit(1), F.lit(AFTER)).alias("after"),
         ),
     )
     df = df.select("row", "file", "parts", near.alias("near"))
@@ -132,12 +136,13 @@ def with_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
             F.struct(*features(c["before"], c["finding"], c["after"], F.col("file"))).alias("x"),
         ),
     )
-    return df.select("row", "parts", found.alias("found"))
+    none = F.array().cast(df.select(found.alias("found")).schema[0].dataType)
+    return df.select("row", "parts", F.coalesce(found, none).alias("found"))
 
 
 def labelled_findings(candidates: DataFrame) -> DataFrame:
     """The candidates that label themselves: ``label`` and the features, one row per finding."""
-    one = candidates.filter(F.size("found") > 0).select(F.explode("found").alias("f"))
+    one = candidates.select(F.explode("found").alias("f"))
     return one.filter("f.label is not null").select("f.label", F.col("f.finding").alias("finding"), "f.x.*")
 
 
@@ -206,10 +211,11 @@ def scan_documents(docs: DataFrame, forest: Sequence | None = None, fit: bool =
     unless one is given.  Null, empty and keyless texts have no row; rows
     without a doc_id keep their null; repeated rows are scanned one by one.
     """
-    candidates = with_candidates(docs, path)
+    candidates = with_candidates(docs, path).select(F.struct("row.doc_id").alias("row"), "found")
+    candidates = written(candidates, "candidates")  # the texts are searched once
     if fit and forest is None:
         forest = fit_forest(labelled_findings(candidates))
-    found = with_scores(candidates.filter(F.size("found") > 0), forest)
+    found = with_scores(candidates.withColumn("parts", F.lit(None)), forest)
     return found.select(F.col("row.doc_id").alias("doc_id"), F.inline("found"))
 
 
@@ -217,7 +223,7 @@ def mask_secrets(docs: DataFrame, forest: Sequence | None = None, path: str = "s
     """``docs`` with every secret in ``text`` replaced by a mask (all rows, all columns)."""
     candidates = with_candidates(docs, path)
     if forest is None:
-        forest = fit_forest(labelled_findings(candidates))
+        forest = fit_forest(labelled_findings(written(candidates.select("found"), "candidates")))
     found = with_scores(candidates, forest)
     piece = F.transform(
         "parts",

@@ -1,5 +1,6 @@
 import math
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -14,8 +15,8 @@ def counts_of(text):
     text = text or ""
     words = text.encode().split()
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-    twice = {w for w in windows if windows.count(w) > 1} if len(windows) < 3000 else None
-    places = {i + j for i, w in enumerate(windows) if w in twice for j in range(5)}
+    seen = Counter(windows)
+    places = {i + j for i, w in enumerate(windows) if seen[w] > 1 for j in range(5)}
     lines = [x for x in text.split("\n") if x.encode().split()]
     return (len(words), sum(len(w.decode()) for w in words), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(places))
 
