@@ -207,10 +207,15 @@ def judge_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept (all columns)."""
-    counts = with_counts(docs, F.struct("doc_id", F.col(stratum).alias("stratum"))).select("row.*", *COUNTS)
-    cutoffs = fit_cutoffs(written(counts, "counts"), labels, "stratum")
-    judged = with_verdict(with_counts(docs), cutoffs, f"row.{stratum}")
+    """The rows of ``docs`` that are kept (all columns).
+
+    The rows are written with their counts, so that each text is counted once
+    for both the cutoffs and the verdict.
+    """
+    counted = written(with_counts(docs), "counted")
+    counts = counted.select("row.doc_id", F.col(f"row.{stratum}").alias("stratum"), *COUNTS)
+    cutoffs = fit_cutoffs(counts, labels, "stratum")
+    judged = with_verdict(counted.withColumn("stratum", F.col(f"row.{stratum}")), cutoffs, "stratum")
     return judged.filter("kept").select("row.*")
 
 

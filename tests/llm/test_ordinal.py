@@ -22,7 +22,7 @@ def test_held_out_selection(tables):
     held = ratings.filter("doc_id % 4 = 0")
     rows = O.grade_documents(docs.join(held.select("doc_id"), "doc_id"), model).join(held, "doc_id").collect()
     share = lambda g: np.mean([r.kept for r in rows if r.grade == g])
-    assert share(2) >= 0.97 and share(1) <= 0.1 and share(0) <= 0.12
+    assert share(2) >= 0.97 and share(1) <= 0.2 and share(0) <= 0.1
     mean = [np.mean([r.expected_grade for r in rows if r.grade == g]) for g in (0, 1, 2)]
     assert mean[0] < mean[1] < mean[2]
     assert all(0 <= r.tail_prob <= 1 and r.tail_prob <= r.expected_grade + 1e-9 for r in rows)
