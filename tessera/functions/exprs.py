@@ -159,3 +159,8 @@ def fingerprint_changed_sql(items: list[list[tuple[str, str]]], mode: str = "col
     else:
         parts = [differs_sql(s, t) for it in items for s, t in it]
     return "(" + " OR ".join(parts) + ")"
+
+
+def tenant_key(c: Column | str) -> Column:
+    """A tenant id as it is compared: unique identifiers do not differ by letter case."""
+    return F.lower(F.col(c) if isinstance(c, str) else c)

@@ -27,13 +27,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = int(os.environ.get("TESSERA_MAX_BROADCAST_ROWS", 2_000_000))
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (one distributed count)."""
-    return df.count() <= max_rows
+def bound(max_rows: int | None = None) -> int:
+    """The bound of a call: its own, or the default as it is at the time of the call."""
+    return DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows (one distributed count; none when the bound is 0)."""
+    return bound(max_rows) > 0 and df.count() <= bound(max_rows)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``."""
-    if max_rows > 0 and row_count_at_most(df, max_rows):
+    if row_count_at_most(df, max_rows):
         return F.broadcast(df), True
     return df, False

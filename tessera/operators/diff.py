@@ -23,8 +23,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import fingerprint_changed, form
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from tessera.functions.exprs import fingerprint_changed, form, tenant_key
+from tessera.operators.broadcast import broadcast_if_small
 from tessera.operators.merge import DELETE, INSERT, UPDATE, MergeResult, clock
 from tessera.plans.specs import TENANT
 
@@ -45,7 +45,7 @@ _STRING_KEYS = ("PmsLocationId", "PmsProviderId")
 
 
 def _key_expr(c: str):
-    return F.rtrim(F.col(c)) if c in _STRING_KEYS else F.col(c)
+    return F.rtrim(F.col(c)) if c in _STRING_KEYS else tenant_key(c) if c == TENANT else F.col(c)
 
 
 def snapshot_diff(
@@ -93,7 +93,7 @@ def slot_mark_deleted(
     slots: DataFrame,
     ids: DataFrame,
     as_of: dt.datetime | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> MergeResult:
     """Physical delete of every slot matching an id row on the 5-column key.
 

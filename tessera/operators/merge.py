@@ -26,7 +26,8 @@ Large batch - the target's rows are shuffled once, its key columns twice::
     delta     = project(J where action = 2)  UNION ALL  project(inserts)
 
 The tenant never partitions alone: the business key is always in the join key,
-so one huge tenant spreads over all partitions; AQE splits skewed keys.
+so one huge tenant spreads over all partitions.  One hot business key is not
+split in the large shape: the per-row window rides on the join's partitioning.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import concat_text, differs, fingerprint_changed, form, norm_key
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from tessera.functions.exprs import concat_text, differs, fingerprint_changed, form, norm_key, tenant_key
+from tessera.operators.broadcast import row_count_at_most
 from tessera.plans.specs import DeltaField, Field, MergeSpec
 
 S, T = "s__", "t__"
@@ -160,7 +161,7 @@ def merge(
     mode: str = "collapse",
     batch_small: bool | None = None,
     batch_keys: DataFrame | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
     collation: str | None = None,
     time_resolution: str | None = None,
 ) -> MergeResult:
@@ -183,13 +184,13 @@ def merge(
 
     s = source.select(
         *[F.col(c).alias(S + c) for c in source.columns],
-        F.col(tenant).alias("_i"),
+        tenant_key(tenant).alias("_i"),
         norm_key(F.col(spec.source_key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_s"),
     )
     t = target.select(
         *[F.col(c).alias(T + c) for c in target.columns],
-        F.col(tenant).alias("_i"),
+        tenant_key(tenant).alias("_i"),
         norm_key(F.col(spec.key), spec.key_mode).alias("_k"),
         F.lit(True).alias("_t"),
     )
@@ -201,7 +202,7 @@ def merge(
 
     if batch_keys is not None:
         keys = batch_keys.select(
-            F.col(tenant).alias("_i"), norm_key(F.col(spec.source_key), spec.key_mode).alias("_k")
+            tenant_key(tenant).alias("_i"), norm_key(F.col(spec.source_key), spec.key_mode).alias("_k")
         )
     else:
         keys = s.select("_i", "_k")
@@ -309,5 +310,6 @@ def merge(
         inserts = with_null_target(s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti"))
         snapshot = snapshot_rows(classified.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
     delta = delta_rows(classified).unionByName(delta_rows(inserts))
-    classified = classified.unionByName(inserts, allowMissingColumns=True)
+    # The pairs are the same in either shape: target rows that no batch row touches are none.
+    classified = classified.filter(act.isNotNull()).unionByName(inserts, allowMissingColumns=True)
     return MergeResult(snapshot=snapshot, delta=delta, classified=classified)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import tenant_key
 from tessera.operators.diff import SLOT_ARCHIVE_COLUMNS
 from tessera.operators.merge import DELETE, clock
 from tessera.plans.specs import TENANT
@@ -47,9 +48,9 @@ def purge_tenant(
     as_of: dt.datetime | None = None,
 ) -> PurgeResult:
     now = clock(as_of)
-    mine = F.col(TENANT) == F.lit(tenant_id)
-    removed = table.filter(mine)
-    kept = table.filter(~F.col(TENANT).eqNullSafe(F.lit(tenant_id)))
+    own = F.lower(F.lit(tenant_id))
+    removed = table.filter(tenant_key(TENANT) == own)
+    kept = table.filter(~tenant_key(TENANT).eqNullSafe(own))
     delta = archive = None
     if is_slot_table:
         archive = removed.select(*SLOT_ARCHIVE_COLUMNS)

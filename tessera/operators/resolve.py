@@ -27,7 +27,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import norm_key
+from tessera.functions.exprs import norm_key, tenant_key
 from tessera.plans.specs import TENANT
 
 _seq = itertools.count()
@@ -51,14 +51,14 @@ def lookup(
     n = next(_seq)
     li, lk = f"_l{n}_i", f"_l{n}_k"
     d = dim.select(
-        F.col(tenant).alias(li),
+        tenant_key(tenant).alias(li),
         norm_key(F.col(dim_key), key_mode).alias(lk),
         *[F.col(c).alias(alias) for c, alias in take.items()],
     )
     if probe is not None:
-        keys = probe.select(F.col(tenant).alias(li), norm_key(F.col(on), key_mode).alias(lk))
+        keys = probe.select(tenant_key(tenant).alias(li), norm_key(F.col(on), key_mode).alias(lk))
         d = d.join(F.broadcast(keys), [li, lk], "left_semi")
-    cond = (F.col(tenant) == F.col(li)) & (norm_key(F.col(on), key_mode) == F.col(lk))
+    cond = (tenant_key(tenant) == F.col(li)) & (norm_key(F.col(on), key_mode) == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 
 
@@ -80,9 +80,9 @@ def scalar_lookup(
     """
     n = next(_seq)
     li, lk = f"_s{n}_i", f"_s{n}_k"
-    d = dim.select(F.col(tenant).alias(li), F.trim(F.col(dim_match)).alias(lk), F.col(dim_value).alias(out))
+    d = dim.select(tenant_key(tenant).alias(li), F.trim(F.col(dim_match)).alias(lk), F.col(dim_value).alias(out))
     d = d.groupBy(li, lk).agg(F.count(F.lit(1)).alias(out + "_n"), F.min(out).alias(out))
-    cond = (F.col(tenant) == F.col(li)) & (F.trim(on) == F.col(lk))
+    cond = (tenant_key(tenant) == F.col(li)) & (F.trim(on) == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 
 

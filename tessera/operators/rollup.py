@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.merge import clock
+from tessera.functions.exprs import tenant_key
 from tessera.plans.specs import TENANT
 
 # The literals the reference compares trimmed columns with.
@@ -50,7 +51,7 @@ def patient_facts(staged: DataFrame, lens: bool = True, exam: bool = True) -> Da
         wanted = e if wanted is None else (wanted | e)
     return (
         staged.filter(wanted & F.col("PmsPatientId").isNotNull())
-        .groupBy(F.col(TENANT).alias("_i"), F.trim(F.col("PmsPatientId")).alias("_k"))
+        .groupBy(tenant_key(TENANT).alias("_i"), F.trim(F.col("PmsPatientId")).alias("_k"))
         .agg(*aggs)
     )
 
@@ -69,7 +70,7 @@ def apply_patient_facts(
     """
     now = clock(as_of)
     f = F.broadcast(facts) if batch_small else facts
-    p = patient.withColumn("_i", F.col(TENANT)).withColumn("_k", F.trim(F.col("PmsPatientId")))
+    p = patient.withColumn("_i", tenant_key(TENANT)).withColumn("_k", F.trim(F.col("PmsPatientId")))
     j = p.join(f, ["_i", "_k"], "left")
     lens = F.coalesce(F.col("_lens"), F.lit(False))
     advance = F.coalesce(F.col("_exam") > F.col("LastVisitOrExamDate"), F.lit(False))

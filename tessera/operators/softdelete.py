@@ -19,7 +19,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from tessera.functions.exprs import tenant_key
+from tessera.operators.broadcast import row_count_at_most
 from tessera.operators.merge import DELETE, MergeResult, clock
 from tessera.plans.specs import SoftDeleteSpec
 
@@ -30,21 +31,26 @@ def mark_deleted(
     spec: SoftDeleteSpec,
     as_of: dt.datetime | None = None,
     id_col: str = "PmsId",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> MergeResult:
     now = clock(as_of)
     tenant = spec.tenant
-    t = target.withColumn("_i", F.col(tenant)).withColumn("_k", F.trim(F.col(spec.key)))
-    keys = ids.select(F.col(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
+    t = target.withColumn("_i", tenant_key(tenant)).withColumn("_k", F.trim(F.col(spec.key)))
+    t = t.withColumn("_own", F.col(spec.key).cast("string"))
+    keys = ids.select(F.col(tenant).alias("_t"), tenant_key(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
     small = row_count_at_most(ids, max_broadcast_rows)
 
     # The id list counted per key (a partial aggregation: an id listed a million
     # times is one row per map task before the shuffle).  One left join with it
     # marks the hit rows: broadcast when the id list is under the bound (the
     # target is scanned, not shuffled), else one sort-merge join.
-    counted = keys.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    counted = keys.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"))
     counted = F.broadcast(counted) if small else counted
-    hit = F.col("_n").isNotNull()
+    # The MERGE rule holds in both outputs: a target row hit by two id rows fails the call.
+    # (The message names the target's own key, so that the check stays above the
+    # join: an id listed twice that matches nothing is ignored.)
+    twice = F.raise_error(F.concat(F.lit(f"{spec.entity}: id list hits one row twice, key="), F.col("_own")))
+    hit = F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(F.col("_n").isNotNull())
     snapshot = t.join(counted, ["_i", "_k"], "left").select(
         *[
             F.when(hit, F.lit(1)).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
@@ -59,15 +65,9 @@ def mark_deleted(
     # One delta row per (id row, target row).  Every target row with key k is hit
     # by every id row with key k, so "a target row hit twice" is "k listed twice
     # and present" - then the call fails; otherwise each hit row has one id row.
-    pairs = t.select("_i", "_k").join(counted, ["_i", "_k"], "inner")
-    classified = pairs.filter(
-        F.when(
-            F.col("_n") > 1,
-            F.raise_error(F.concat(F.lit(f"{spec.entity}: id list hits one row twice, key="), F.col("_k"))),
-        ).otherwise(F.lit(True))
-    )
+    classified = t.select("_i", "_k", "_own").join(counted, ["_i", "_k"], "inner").filter(hit)
     delta = classified.select(
-        F.col("_i").alias(tenant),
+        F.col("_t").alias(tenant),
         F.col("_k").alias(spec.delta_key),
         now.alias("UtcCreatedDate"),
         F.lit(DELETE).alias("ActionPerformed"),

@@ -8,6 +8,7 @@ Spark and the oracle agree on the timestamps they write.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from tessera.operators.diff import SLOT_ARCHIVE_COLUMNS, SLOT_COLUMNS
 from tessera.plans import entities, oracle, specs
 from tessera.plans import staging_sql as stg
+from tessera.session import ensure_checkpoint_dir
+from tessera.sources import sinks
 from tessera.sources.tables import oracle_with, register_fixtures
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -41,27 +44,33 @@ def _views(spark: SparkSession, sf_dir: str):
 # ------------------------------------------------------------------ reference-list merges
 
 
-def _list_merge(name: str, spec: specs.MergeSpec, target: str, source: str, mode: str = "collapse"):
+def _list_merge(name, upsert, spec: specs.MergeSpec, target: str, source: str, mode: str = "collapse", **how):
     def run(kind: str):
         def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
             v = _views(spark, sf_dir)
-            r = entities.merge(v(target), v(source), spec, AS_OF, mode)
+            r = upsert(v(target), v(source), as_of=AS_OF, mode=mode, **how)
             return r.snapshot if kind == "snapshot" else r.delta
 
         return fn
 
+    name = name if mode == "collapse" else f"{name}_{mode}"
     prefix, src = oracle_with(target, source), f"SELECT * FROM {source}"
     _register(f"{name}_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, src, mode))
     _register(f"{name}_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, src, mode))
 
 
-_list_merge("resource_upsert", specs.RESOURCE, "resource", "resource_in")
-_list_merge("location_upsert", specs.LOCATION, "location", "location_in")
-_list_merge("location_upsert_null_safe", specs.LOCATION, "location", "location_in", mode="null_safe")
-_list_merge("provider_upsert", specs.PROVIDER, "provider", "provider_in")
-for _cols in (specs.INSURER_COLS, specs.APPOINTMENT_REASON_COLS, specs.RECALL_REASON_COLS):
-    for _by in ("name", "id"):
-        _list_merge(f"{_cols[0]}_upsert_by_{_by}", specs.named_list(*_cols, _by), _cols[0], f"{_cols[0]}_in")
+for _mode in ("collapse", "null_safe"):
+    _list_merge("resource_upsert", entities.resource_upsert, specs.RESOURCE, "resource", "resource_in", _mode)
+    _list_merge("location_upsert", entities.location_upsert, specs.LOCATION, "location", "location_in", _mode)
+    _list_merge("provider_upsert", entities.provider_upsert, specs.PROVIDER, "provider", "provider_in", _mode)
+    for _cols, _upsert in (
+        (specs.INSURER_COLS, entities.insurer_upsert),
+        (specs.APPOINTMENT_REASON_COLS, entities.appointment_reason_upsert),
+        (specs.RECALL_REASON_COLS, entities.recall_reason_upsert),
+    ):
+        for _by in ("name", "id"):
+            _spec, _table = specs.named_list(*_cols, _by), _cols[0]
+            _list_merge(f"{_table}_upsert_by_{_by}", _upsert, _spec, _table, f"{_table}_in", _mode, match_by=_by)
 
 
 # ------------------------------------------------------------------ soft deletes
@@ -149,77 +158,54 @@ for _e in stg.SQL:
 # ------------------------------------------------------------------ staged fact merges
 
 _FACT = {
-    "appointment_block": (specs.APPOINTMENT_BLOCK, "appointment_block"),
-    "appointment": (specs.APPOINTMENT, "appointment"),
-    "patient": (specs.PATIENT, "patient_wide"),
-    "product_pickup": (specs.PRODUCT_PICKUP, "product_pickup"),
-    "recall": (specs.RECALL, "recall"),
+    "appointment_block": (entities.appointment_block_upsert, specs.APPOINTMENT_BLOCK, "appointment_block"),
+    "appointment": (entities.appointment_upsert, specs.APPOINTMENT, "appointment"),
+    "patient": (entities.patient_upsert, specs.PATIENT, "patient_wide"),
+    "product_pickup": (entities.product_pickup_upsert, specs.PRODUCT_PICKUP, "product_pickup"),
+    "recall": (entities.recall_upsert, specs.RECALL, "recall"),
+    "visit": (entities.visit_upsert, specs.VISIT, "visit"),
 }
 
 
-def _fact_merge(entity: str, spec: specs.MergeSpec, target: str, mode: str = "collapse") -> None:
+def _fact_merge(entity: str, mode: str = "collapse", infix: str = "", src: str | None = None, **how) -> None:
+    upsert, spec, target = _FACT[entity]
+    _, inp, *dims = _STAGE_ARGS[entity]
+
     def run(kind: str):
         def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-            staged, small, raw = _staged(spark, sf_dir, entity)
-            r = entities.merge(spark.table(target), staged, spec, AS_OF, mode, batch_small=small, batch_keys=raw)
+            v = _views(spark, sf_dir)
+            r = upsert(v(target), v(inp), *[v(d) for d in dims], as_of=AS_OF, mode=mode, **how)
+            r = r[0] if isinstance(r, tuple) else r  # pickups and visits return the patients too
             return r.snapshot if kind == "snapshot" else r.delta
 
         return fn
 
-    name = f"{entity}_upsert" if mode == "collapse" else f"{entity}_upsert_{mode}"
-    prefix = oracle_with(target, *stg.VIEWS[entity])
-    src = stg.SQL[entity]
+    name = f"{entity}_upsert{infix}" if mode == "collapse" else f"{entity}_upsert{infix}_{mode}"
+    prefix = oracle_with(target, *(stg.VIEWS[entity] if src is None else (inp,)))
+    src = src or stg.SQL[entity]
     _register(f"{name}_snapshot", run("snapshot"), oracle.merge_snapshot_sql(prefix, spec, target, src, mode))
     _register(f"{name}_delta", run("delta"), oracle.merge_delta_sql(prefix, spec, target, src, mode))
 
 
-for _e, (_spec, _target) in _FACT.items():
-    _fact_merge(_e, _spec, _target)
-# The same merges comparing every fingerprint operand on its own (NULL-safe).
-_fact_merge("appointment_block", specs.APPOINTMENT_BLOCK, "appointment_block", mode="null_safe")
-_fact_merge("patient", specs.PATIENT, "patient_wide", mode="null_safe")
-
-
-def _visit_merge(kind: str):
-    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        v = _views(spark, sf_dir)
-        r = entities.merge(v("visit"), v("visit_in"), specs.VISIT, AS_OF)  # raw input, as the reference
-        return r.snapshot if kind == "snapshot" else r.delta
-
-    return fn
-
-
-def _visit_staged_merge(kind: str):
-    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        staged, small, raw = _staged(spark, sf_dir, "visit")
-        r = entities.merge(spark.table("visit"), staged, specs.VISIT, AS_OF, batch_small=small, batch_keys=raw)
-        return r.snapshot if kind == "snapshot" else r.delta
-
-    return fn
-
-
-_vs = oracle_with("visit", *stg.VIEWS["visit"])
-_register(
-    "visit_upsert_staged_snapshot", _visit_staged_merge("snapshot"),
-    oracle.merge_snapshot_sql(_vs, specs.VISIT, "visit", stg.SQL["visit"]),
-)
-_register(
-    "visit_upsert_staged_delta", _visit_staged_merge("delta"),
-    oracle.merge_delta_sql(_vs, specs.VISIT, "visit", stg.SQL["visit"]),
-)
-
-_vp = oracle_with("visit", "visit_in")
-_vin = "SELECT * FROM visit_in"
-_register("visit_upsert_snapshot", _visit_merge("snapshot"), oracle.merge_snapshot_sql(_vp, specs.VISIT, "visit", _vin))
-_register("visit_upsert_delta", _visit_merge("delta"), oracle.merge_delta_sql(_vp, specs.VISIT, "visit", _vin))
+for _mode in ("collapse", "null_safe"):  # null_safe compares every fingerprint operand on its own
+    for _e in ("appointment_block", "appointment", "patient", "product_pickup", "recall"):
+        _fact_merge(_e, _mode)
+    _fact_merge("visit", _mode, src="SELECT * FROM visit_in")  # raw input, as the reference
+    _fact_merge("visit", _mode, infix="_staged", use_staged=True)
 
 
 # ------------------------------------------------------------------ rollups into patient
 
 
-def _rollup(name: str, entity: str, lens: bool, exam: bool) -> None:
+def _rollup(name: str, entity: str, lens: bool, exam: bool, public: str | None = None) -> None:
     from tessera.operators.rollup import apply_patient_facts, patient_facts
 
+    def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v = _views(spark, sf_dir)
+        upsert, _, target = _FACT[entity]
+        _, inp, *dims = _STAGE_ARGS[entity]
+        return upsert(v(target), v(inp), *[v(d) for d in dims], as_of=AS_OF)[1]
+
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged, small, _ = _staged(spark, sf_dir, entity)
         return apply_patient_facts(spark.table("patient"), patient_facts(staged, lens, exam), AS_OF, batch_small=small)
@@ -247,12 +233,14 @@ def _rollup(name: str, entity: str, lens: bool, exam: bool) -> None:
         f"SELECT * EXCLUDE (_lens, _exam) REPLACE ({replace}) FROM f"
     )
     _register(name, fn, sql)
+    if public:  # the patients as the entity's upsert returns them
+        _register(public, whole, sql)
 
 
 _rollup("lens_wearer_rollup", "visit", lens=True, exam=False)
 _rollup("last_exam_rollup", "visit", lens=False, exam=True)
-_rollup("visit_patient_rollup", "visit", lens=True, exam=True)
-_rollup("product_pickup_lens_rollup", "product_pickup", lens=True, exam=False)
+_rollup("visit_patient_rollup", "visit", lens=True, exam=True, public="visit_upsert_patient")
+_rollup("product_pickup_lens_rollup", "product_pickup", lens=True, exam=False, public="product_pickup_upsert_patient")
 
 
 # ------------------------------------------------------------------ slots
@@ -302,13 +290,13 @@ _register("slot_diff_deleted", _slot_diff(3), f"{_sp}\n{_SLOT_DEL}")
 def _slot_delete(kind: str):
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = _views(spark, sf_dir)
-        r = entities.availability_slot_mark_deleted(v("slot"), v("slot_ids"), AS_OF)
+        r = entities.availability_slot_mark_deleted(v("slot_all"), v("slot_ids"), AS_OF)
         return r.snapshot if kind == "snapshot" else r.delta
 
     return fn
 
 
-_sd = oracle_with("slot", "slot_ids")
+_sd = oracle_with("slot_all", "slot_ids")
 _SLOT_ID_KEY = (
     "d.PmsInstanceId = s.PmsInstanceId AND rtrim(d.PmsLocationId) = rtrim(s.PmsLocationId) "
     "AND rtrim(d.PmsProviderId) = rtrim(s.PmsProviderId) AND d.Length = s.Length AND d.SwimLanes = s.SwimLanes"
@@ -316,48 +304,106 @@ _SLOT_ID_KEY = (
 _register(
     "slot_mark_deleted_snapshot",
     _slot_delete("snapshot"),
-    f"{_sd}\nSELECT s.* FROM slot s WHERE NOT EXISTS (SELECT 1 FROM slot_ids d WHERE {_SLOT_ID_KEY})",
+    f"{_sd}\nSELECT s.* FROM slot_all s WHERE NOT EXISTS (SELECT 1 FROM slot_ids d WHERE {_SLOT_ID_KEY})",
 )
 _register(
     "slot_mark_deleted_delta",
     _slot_delete("delta"),
     f"{_sd}\nSELECT s.PmsInstanceId, trim(s.PmsLocationId) AS PmsLocationId, trim(s.PmsProviderId) AS PmsProviderId, "
     f"s.StartDateTime, s.Length, s.SwimLanes, {AS_OF_SQL} AS UtcCreatedDate, 3 AS ActionPerformed "
-    f"FROM slot s JOIN slot_ids d ON {_SLOT_ID_KEY}",
+    f"FROM slot_all s JOIN slot_ids d ON {_SLOT_ID_KEY}",
 )
 
 
 # ------------------------------------------------------------------ tenant purge
 
 
-def _purge(kind: str, table: str):
+def _purge(kind: str, table: str, name: str):
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = _views(spark, sf_dir)
-        name = "availability_slot" if table == "slot" else table
         r = entities.batch_delete_tenant(v(table), PURGE_TENANT, name, AS_OF)
         return {"kept": r.kept, "delta": r.delta, "archive": r.archive, "report": r.report}[kind]
 
     return fn
 
 
-_pv, _ps = oracle_with("visit"), oracle_with("slot")
+_pv, _ps = oracle_with("visit_all"), oracle_with("slot_all")
+_KEPT_SQL = f"{_pv}\nSELECT * FROM visit_all WHERE PmsInstanceId IS DISTINCT FROM '{PURGE_TENANT}'"
+_register("purge_kept", _purge("kept", "visit_all", "visit"), _KEPT_SQL)
 _register(
-    "purge_kept", _purge("kept", "visit"),
-    f"{_pv}\nSELECT * FROM visit WHERE PmsInstanceId IS DISTINCT FROM '{PURGE_TENANT}'",
-)
-_register(
-    "purge_delta", _purge("delta", "visit"),
-    f"{_pv}\nSELECT PmsInstanceId, {AS_OF_SQL} AS UtcCreatedDate, 3 AS ActionPerformed FROM visit "
+    "purge_delta", _purge("delta", "visit_all", "visit"),
+    f"{_pv}\nSELECT PmsInstanceId, {AS_OF_SQL} AS UtcCreatedDate, 3 AS ActionPerformed FROM visit_all "
     f"WHERE PmsInstanceId = '{PURGE_TENANT}'",
 )
 _register(
-    "purge_slot_archive", _purge("archive", "slot"),
-    f"{_ps}\nSELECT {', '.join(SLOT_ARCHIVE_COLUMNS)} FROM slot WHERE PmsInstanceId = '{PURGE_TENANT}'",
+    "purge_slot_archive", _purge("archive", "slot_all", "availability_slot"),
+    f"{_ps}\nSELECT {', '.join(SLOT_ARCHIVE_COLUMNS)} FROM slot_all WHERE PmsInstanceId = '{PURGE_TENANT}'",
 )
 _register(
-    "purge_report", _purge("report", "visit"),
+    "purge_report", _purge("report", "visit_all", "visit"),
     f"{_pv}\nSELECT 'visit' AS table_name, count(*) AS rows_deleted, "
-    f"CAST(floor(count(*) / 1000) + 1 AS BIGINT) AS iterations FROM visit WHERE PmsInstanceId = '{PURGE_TENANT}'",
+    f"CAST(floor(count(*) / 1000) + 1 AS BIGINT) AS iterations FROM visit_all WHERE PmsInstanceId = '{PURGE_TENANT}'",
+)
+
+
+# ------------------------------------------------------------------ published tables, read back
+
+
+def _published_path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _published_slot_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slots after a published delete batch, as the table's readers see them."""
+    v = _views(spark, sf_dir)
+    path = _published_path(spark, "slots")
+    sinks.create_snapshot(spark, v("slot_all"), path)
+    ids = v("slot_ids")
+
+    def change(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
+        r = entities.availability_slot_mark_deleted(slots, ids, AS_OF)
+        return r.snapshot, r.delta
+
+    sinks.publish(spark, path, 0, ids, change, f"{path}-delta")
+    return sinks.read_snapshot(spark, path)
+
+
+def _published_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits after a published purge; the tenant is named in the other letter case."""
+    path = _published_path(spark, "visits")
+    sinks.create_snapshot(spark, _views(spark, sf_dir)("visit_all"), path)
+    sinks.publish_purge(spark, path, PURGE_TENANT.lower(), 0)
+    return sinks.read_snapshot(spark, path)
+
+
+_register("published_slot_delete_snapshot", _published_slot_delete, _ORACLE["slot_mark_deleted_snapshot"])
+_register("published_purge_kept", _published_purge, _KEPT_SQL)
+
+
+# ------------------------------------------------------------------ tenant ids in mixed letter case
+
+
+def _mixed_case_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resource batch with every other tenant id in lower case: the same rows match."""
+    v = _views(spark, sf_dir)
+    odd = F.length(F.trim("PmsResourceId")) % 2 == 1
+    batch = v("resource_in").withColumn(specs.TENANT, F.when(odd, F.lower(specs.TENANT)).otherwise(F.col(specs.TENANT)))
+    return entities.resource_upsert(v("resource"), batch, as_of=AS_OF).delta
+
+
+# Written from the rules, not from the spec: trimmed keys, tenant ids without letter case, the name as fingerprint.
+_register(
+    "mixed_case_tenant_upsert_delta", _mixed_case_upsert,
+    f"""{oracle_with("resource", "resource_in")},
+b AS (SELECT * REPLACE (CASE WHEN length(trim(PmsResourceId)) % 2 = 1 THEN lower(PmsInstanceId) ELSE PmsInstanceId END
+      AS PmsInstanceId) FROM resource_in),
+j AS (SELECT b.PmsInstanceId, trim(b.PmsResourceId) AS PmsResourceId,
+      CASE WHEN t.PmsResourceId IS NULL THEN 1
+           WHEN trim(b.ResourceName) IS DISTINCT FROM trim(t.ResourceName) THEN 2 END AS ActionPerformed
+      FROM b LEFT JOIN resource t ON lower(t.PmsInstanceId) = lower(b.PmsInstanceId)
+      AND trim(t.PmsResourceId) = trim(b.PmsResourceId))
+SELECT PmsInstanceId, PmsResourceId, {AS_OF_SQL} AS UtcCreatedDate, ActionPerformed FROM j
+WHERE ActionPerformed IS NOT NULL""",
 )
 
 

@@ -2,12 +2,15 @@
 
 Each ``*_upsert`` stages its input (reference resolution), then merges it into
 the entity snapshot and returns ``MergeResult(snapshot, delta, classified)``.
-Staging functions are public so they can be checked on their own.  Every
-function is pure: DataFrames in, DataFrames out; publishing is in
-``tessera.sources.sinks``.
+Staging functions are public so they can be checked on their own.  DataFrames
+in, DataFrames out; publishing is in ``tessera.sources.sinks``.  The staged batch
+is written once to the shared checkpoint folder, since it feeds the inserts, the
+updates and the change feed.
 
 Table arguments are snapshot DataFrames (``location``, ``provider``, ...); the
-input batch is ``inp``.  ``as_of`` is the call's clock.
+input batch is ``inp``.  ``as_of`` is the call's clock, ``mode`` the fingerprint
+comparison; ``options`` go to :func:`tessera.operators.merge.merge`
+(``collation``, ``time_resolution``, ``max_broadcast_rows``).
 """
 
 from __future__ import annotations
@@ -19,12 +22,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import is_blank
 from tessera.operators.diff import slot_mark_deleted, snapshot_diff
-from tessera.operators.broadcast import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from tessera.operators.broadcast import row_count_at_most
 from tessera.operators.merge import MergeResult, merge
 from tessera.operators.purge import PurgeResult, purge_tenant
 from tessera.operators.resolve import lookup, one_row, scalar_lookup
 from tessera.operators.rollup import apply_patient_facts, patient_facts
 from tessera.operators.softdelete import mark_deleted
+from tessera.operators.staged import written_once
 from tessera.plans import specs
 from tessera.plans.specs import TENANT
 
@@ -34,9 +38,9 @@ I = TENANT
 # ------------------------------------------------------------------ staging
 
 
-def batch_is_small(inp: DataFrame, known: bool | None = None) -> bool:
+def batch_is_small(inp: DataFrame, known: bool | None = None, max_rows: int | None = None) -> bool:
     """One bounded row count of the raw batch per call decides the plan shape."""
-    return known if known is not None else row_count_at_most(inp, DEFAULT_MAX_BROADCAST_ROWS)
+    return known if known is not None else row_count_at_most(inp, max_rows)
 
 
 def stage_appointment_block(
@@ -235,73 +239,86 @@ def stage_visit(
 # ------------------------------------------------------------------ procedures
 
 
-def location_upsert(location, inp, as_of=None, mode="collapse") -> MergeResult:
-    return merge(location, inp, specs.LOCATION, as_of, mode)
+def location_upsert(location, inp, as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(location, inp, specs.LOCATION, as_of, mode, **options)
 
 
-def provider_upsert(provider, inp, as_of=None, mode="collapse") -> MergeResult:
-    return merge(provider, inp, specs.PROVIDER, as_of, mode)
+def provider_upsert(provider, inp, as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(provider, inp, specs.PROVIDER, as_of, mode, **options)
 
 
-def resource_upsert(resource, inp, as_of=None, mode="collapse") -> MergeResult:
-    return merge(resource, inp, specs.RESOURCE, as_of, mode)
+def resource_upsert(resource, inp, as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(resource, inp, specs.RESOURCE, as_of, mode, **options)
 
 
-def insurer_upsert(insurer, inp, match_by="id", as_of=None, mode="collapse") -> MergeResult:
-    return merge(insurer, inp, specs.named_list(*specs.INSURER_COLS, match_by), as_of, mode)
+def insurer_upsert(insurer, inp, match_by="id", as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(insurer, inp, specs.named_list(*specs.INSURER_COLS, match_by), as_of, mode, **options)
 
 
-def appointment_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse") -> MergeResult:
-    return merge(reason, inp, specs.named_list(*specs.APPOINTMENT_REASON_COLS, match_by), as_of, mode)
+def appointment_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(reason, inp, specs.named_list(*specs.APPOINTMENT_REASON_COLS, match_by), as_of, mode, **options)
 
 
-def recall_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse") -> MergeResult:
-    return merge(reason, inp, specs.named_list(*specs.RECALL_REASON_COLS, match_by), as_of, mode)
+def recall_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse", **options) -> MergeResult:
+    return merge(reason, inp, specs.named_list(*specs.RECALL_REASON_COLS, match_by), as_of, mode, **options)
 
 
-def appointment_block_upsert(block, inp, location, provider, resource, as_of=None, mode="collapse") -> MergeResult:
-    small = batch_is_small(inp, None)
-    staged = stage_appointment_block(inp, location, provider, resource, small)
-    return merge(block, staged, specs.APPOINTMENT_BLOCK, as_of, mode)
+def _staged_merge(target, inp, stage, dims, spec, as_of, mode, options) -> tuple[MergeResult, DataFrame, bool]:
+    """Count the raw batch once, stage it once, merge it."""
+    small = batch_is_small(inp, max_rows=options.get("max_broadcast_rows"))
+    staged = written_once(stage(inp, *dims, small), "staged")
+    result = merge(target, staged, spec, as_of, mode, batch_small=small, batch_keys=inp, **options)
+    return result, staged, small
 
 
-def appointment_upsert(appointment, inp, location, provider, patient, reason, as_of=None, mode="collapse"):
-    small = batch_is_small(inp, None)
-    staged = stage_appointment(inp, location, provider, patient, reason, small)
-    return merge(appointment, staged, specs.APPOINTMENT, as_of, mode)
+def appointment_block_upsert(block, inp, location, provider, resource, as_of=None, mode="collapse", **options):
+    dims = (location, provider, resource)
+    return _staged_merge(block, inp, stage_appointment_block, dims, specs.APPOINTMENT_BLOCK, as_of, mode, options)[0]
 
 
-def patient_upsert(patient, inp, location, provider, insurer, as_of=None, mode="collapse") -> MergeResult:
-    small = batch_is_small(inp, None)
-    staged = stage_patient(inp, location, provider, insurer, small)
-    return merge(patient, staged, specs.PATIENT, as_of, mode)
+def appointment_upsert(
+    appointment, inp, location, provider, patient, reason, as_of=None, mode="collapse", **options
+) -> MergeResult:
+    dims = (location, provider, patient, reason)
+    return _staged_merge(appointment, inp, stage_appointment, dims, specs.APPOINTMENT, as_of, mode, options)[0]
 
 
-def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None, mode="collapse"):
+def patient_upsert(patient, inp, location, provider, insurer, as_of=None, mode="collapse", **options) -> MergeResult:
+    dims = (location, provider, insurer)
+    return _staged_merge(patient, inp, stage_patient, dims, specs.PATIENT, as_of, mode, options)[0]
+
+
+def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None, mode="collapse", **options):
     """Returns ``(MergeResult, patient_after_lens_rollup)``: two independent statements."""
-    small = batch_is_small(inp, None)
-    staged = stage_product_pickup(inp, location, provider, patient, small)
+    dims = (location, provider, patient)
+    result, staged, small = _staged_merge(
+        pickup, inp, stage_product_pickup, dims, specs.PRODUCT_PICKUP, as_of, mode, options
+    )
     facts = patient_facts(staged, lens=True, exam=False)
-    patient_after = apply_patient_facts(patient, facts, as_of)
-    return merge(pickup, staged, specs.PRODUCT_PICKUP, as_of, mode), patient_after
+    return result, apply_patient_facts(patient, facts, as_of, batch_small=small)
 
 
-def recall_upsert(recall, inp, location, provider, patient, reason, as_of=None, mode="collapse") -> MergeResult:
-    small = batch_is_small(inp, None)
-    staged = stage_recall(inp, location, provider, patient, reason, small)
-    return merge(recall, staged, specs.RECALL, as_of, mode)
+def recall_upsert(
+    recall, inp, location, provider, patient, reason, as_of=None, mode="collapse", **options
+) -> MergeResult:
+    dims = (location, provider, patient, reason)
+    return _staged_merge(recall, inp, stage_recall, dims, specs.RECALL, as_of, mode, options)[0]
 
 
-def visit_upsert(visit, inp, location, provider, patient, as_of=None, mode="collapse", use_staged=False):
+def visit_upsert(
+    visit, inp, location, provider, patient, as_of=None, mode="collapse", use_staged=False, **options
+):
     """Returns ``(MergeResult, patient_after_rollups)``.
 
     The rollups read the staged rows; the visit merge reads the raw input, as the
     reference does (``use_staged=True`` merges the resolved rows instead).
     """
-    small = batch_is_small(inp, None)
-    staged = stage_visit(inp, location, provider, patient, small)
-    patient_after = apply_patient_facts(patient, patient_facts(staged), as_of)
-    return merge(visit, staged if use_staged else inp, specs.VISIT, as_of, mode), patient_after
+    small = batch_is_small(inp, max_rows=options.get("max_broadcast_rows"))
+    staged = written_once(stage_visit(inp, location, provider, patient, small), "staged")
+    patient_after = apply_patient_facts(patient, patient_facts(staged), as_of, batch_small=small)
+    rows = staged if use_staged else inp
+    result = merge(visit, rows, specs.VISIT, as_of, mode, batch_small=small, batch_keys=inp, **options)
+    return result, patient_after
 
 
 def soft_delete(entity: str, target, ids, as_of=None) -> MergeResult:
@@ -309,13 +326,22 @@ def soft_delete(entity: str, target, ids, as_of=None) -> MergeResult:
     return mark_deleted(target, ids, specs.SOFT_DELETES[entity], as_of)
 
 
-def availability_slot_compare(current, previous) -> DataFrame:
-    return snapshot_diff(current, previous)
+def availability_slot_compare(current, previous, mode="collapse") -> DataFrame:
+    return snapshot_diff(current, previous, mode=mode)
 
 
 def availability_slot_mark_deleted(slots, ids, as_of=None) -> MergeResult:
     return slot_mark_deleted(slots, ids, as_of)
 
 
+#: The tables a tenant can be purged from; the slot table is archived, the others are logged.
+PURGE_TABLES = (
+    "location", "provider", "resource", "insurer", "appointment_reason", "recall_reason", "appointment_block",
+    "appointment", "patient", "product_pickup", "recall", "visit", "transaction_item", "availability_slot",
+)
+
+
 def batch_delete_tenant(table, tenant_id: str, table_name: str, as_of=None) -> PurgeResult:
+    if table_name not in PURGE_TABLES:
+        raise ValueError(f"unknown table {table_name!r}; one of {', '.join(PURGE_TABLES)}")
     return purge_tenant(table, tenant_id, table_name, is_slot_table=(table_name == "availability_slot"), as_of=as_of)

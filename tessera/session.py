@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,8 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder every executor
-    can reach; it is read, never overridden.  Tests and local runs get a fresh
-    temporary folder.
+    can reach; it is read, never overridden.  Where none is set, a run in one
+    local process (tests) gets a fresh temporary folder and a cluster an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -73,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -345,3 +345,7 @@ FIXTURE_VIEWS: dict[str, str] = {
         "SwimLanes FROM slot WHERE SlotType = 'R' AND Length % 5 = 0"
     ),
 }
+
+# The same tables whole, for the statements that need no unmatched rows.
+FIXTURE_VIEWS['visit_all'] = FIXTURE_VIEWS['visit'].removesuffix(' WHERE o_orderkey % 5 <> 0')
+FIXTURE_VIEWS['slot_all'] = FIXTURE_VIEWS['slot'].removesuffix(' WHERE l_orderkey % 6 <> 0')

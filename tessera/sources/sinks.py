@@ -1,133 +1,266 @@
-"""Publishing merge results: snapshot partitions and an append-only change feed.
-
-Storage layout (parquet, paths supplied by the caller):
-
-* snapshot: partitioned by tenant, and optionally by ``_bucket`` = a hash of the
-  normalised business key modulo ``buckets``.  A call rewrites only the
-  partitions its batch touches (``partitionOverwriteMode=dynamic``): whole
-  tenants without buckets, ``(tenant, bucket)`` pairs with them - so a tenant
-  holding a third of all rows is not rewritten whole for a small batch.  A
-  tenant purge drops the tenant.
-* delta:    partitioned by ``batch_id``; re-publishing a batch overwrites its own
-  partition, so a retried batch never duplicates change rows.
-
-Protocol for one batch (survives executor loss and a driver restart):
-
-1. stage: the new snapshot partitions and the delta are written under
-   ``<checkpoint dir>/tessera/<name>/batch=<id>/`` - a written table in the
-   cluster's shared checkpoint folder.  This cuts the lineage (the new snapshot
-   is computed from the old one, and a path may not be overwritten while it is
-   read) and fixes the result before anything visible changes.
-2. publish the delta partition, then the snapshot partitions, both from stage.
-3. write the commit marker ``_committed/batch=<id>``.
-
-A rerun of a committed batch does nothing; a rerun of a staged but uncommitted
-batch republishes from stage without recomputing (the snapshot may already be
-half-published, so recomputing from it would be wrong).
+"""Publishing merge results: versioned snapshot partitions and an append-only change feed.
+
+A published table is a folder (parquet throughout, paths supplied by the caller)::
+
+    data/_version=<v>/_tenant=.../[_bucket=...]/    rows that version v wrote
+    parts/v=<v>/                                    which version holds each partition
+    commits/v=<v>/                                  one row: batch id, run id, fingerprint
+
+and a change feed partitioned by ``batch``.  A batch writes the partitions it
+touches, whole tenants or (tenant, key bucket) pairs, under a version of their
+own; then the list of partitions, in which touched partitions point to the new
+version or, if no row is left in them, are gone; then its change rows; and last
+the commit, which switches readers to all of it at once.  Nothing that a reader
+or the merge itself reads is ever overwritten, so there is nothing to stage: a
+batch that fails before its commit left no trace that is read, and runs again
+from the old snapshot.  A committed batch that comes again is a no-op; the same
+batch id with other rows is an error.  One writer per table.
 """
 
 from __future__ import annotations
 
-import os
+import json
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.operators.broadcast import row_count_at_most
+from tessera.functions.exprs import tenant_key
+from tessera.operators.staged import written_once
 from tessera.plans.specs import TENANT
-from tessera.session import ensure_checkpoint_dir
 
-MAX_PARTITIONS_BROADCAST = 1_000_000
-BUCKET = "_bucket"
+VERSION, BUCKET = "_version", "_bucket"
+#: Touched partitions up to this many become literal filters (partition pruning); more are joined.
+MAX_LISTED_PARTITIONS = 2_000
+#: Partition lists up to this many rows (narrow: tenant, bucket, version) are broadcast.
+MAX_BROADCAST_PARTITIONS = 1_000_000
+_COMMIT = "version int, batch_id long, run_id string, fingerprint string, schema string, tenant string, bucketed boolean"
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The published snapshot without the layout column."""
-    df = spark.read.parquet(path)
-    return df.drop(BUCKET) if BUCKET in df.columns else df
+@dataclass(frozen=True)
+class Table:
+    """A published table at its current version; ``bucket`` is the key expression and bucket count, if any."""
 
+    spark: SparkSession
+    path: str
+    version: int
+    schema: T.StructType
+    tenant: str
+    bucketed: bool
+
+    @property
+    def part_cols(self) -> list[str]:
+        return [self.tenant, BUCKET] if self.bucketed else [self.tenant]
+
+    def parts(self) -> DataFrame:
+        """One row per partition: tenant (and bucket) and the version that holds it."""
+        fields = [T.StructField(self.tenant, T.StringType())]
+        fields += [T.StructField(BUCKET, T.IntegerType())] if self.bucketed else []
+        schema = T.StructType([*fields, T.StructField(VERSION, T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/parts/v={self.version}")
+
+    def rows(self, parts: DataFrame) -> DataFrame:
+        """The stored rows of the partitions in ``parts`` (as :meth:`parts` has them)."""
+        by = [VERSION, "_tenant", *([BUCKET] if self.bucketed else [])]
+        kinds = {VERSION: T.IntegerType(), "_tenant": T.StringType(), BUCKET: T.IntegerType()}
+        schema = T.StructType([*self.schema.fields, *[T.StructField(c, kinds[c]) for c in by]])
+        stored = self.spark.read.schema(schema).parquet(f"{self.path}/data")
+        keys = parts.withColumn("_tenant", _folder(self.tenant)).select(*by)
+        names = [f.name for f in self.schema.fields]
+        listed = keys.limit(MAX_LISTED_PARTITIONS + 1).collect()
+        if len(listed) > MAX_LISTED_PARTITIONS:
+            few = keys.count() <= MAX_BROADCAST_PARTITIONS
+            return stored.join(F.broadcast(keys) if few else keys, by, "left_semi").select(*names)
+        buckets: dict[tuple, list[int]] = {}
+        for r in listed:
+            buckets.setdefault((r[VERSION], r["_tenant"]), []).append(r[BUCKET] if self.bucketed else 0)
+        test = F.lit(False)
+        for (version, folder), within in buckets.items():
+            one = (F.col(VERSION) == version) & (F.col("_tenant") == folder)
+            test = test | (one & F.col(BUCKET).isin(within) if self.bucketed else one)
+        return stored.filter(test).select(*names)
+
+
+def _folder(tenant: str) -> Column:
+    """Name of a tenant's folder; a null tenant and an empty one have folders of their own."""
+    return F.coalesce(F.concat(F.lit("t_"), tenant_key(tenant)), F.lit("null"))
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches; none when it does not exist."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def _commits(spark: SparkSession, path: str) -> list:
+    """The rows of the finished commits, oldest first."""
+    done = sorted(int(n[2:]) for n in _names(spark, f"{path}/commits") if n.startswith("v="))
+    done = [v for v in done if "_SUCCESS" in _names(spark, f"{path}/commits/v={v}")]
+    if not done:
+        return []
+    rows = spark.read.schema(_COMMIT).parquet(*[f"{path}/commits/v={v}" for v in done]).collect()
+    return sorted(rows, key=lambda r: r["version"])
+
+
+def open_table(spark: SparkSession, path: str) -> Table:
+    commits = _commits(spark, path)
+    if not commits:
+        raise ValueError(f"no published table at {path}")
+    last = commits[-1]
+    schema = T.StructType.fromJson(json.loads(last["schema"]))
+    return Table(spark, path, last["version"], schema, last["tenant"], last["bucketed"])
+
+
+def _with_bucket(df: DataFrame, key: Column | None, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")) if buckets else df
+
+
+def create_snapshot(
+    spark: SparkSession, df: DataFrame, path: str, key: Column | None = None, buckets: int = 0, tenant: str = TENANT
+) -> None:
+    """Publish ``df`` as the first version of a table (an error where one is already)."""
+    if _commits(spark, path):
+        raise ValueError(f"{path} is published already")
+    if buckets and key is None:
+        raise ValueError("a bucketed layout needs the key expression")
+    table = Table(spark, path, 0, df.schema, tenant, bool(buckets))
+    _write_version(table, 1, _with_bucket(df, key, buckets), None)
+    _commit(table, 1, None, "", "")
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(1).count()
-        return True
-    except AnalysisException:
-        return False
 
+def _write_version(table: Table, version: int, rows: DataFrame, touched: DataFrame | None) -> None:
+    """The rows of the touched partitions (all, when None) and the list of partitions of ``version``."""
+    cols = table.part_cols
+    # The folder's name folds letter case; the tenant stays in the rows as it is.
+    stored = rows.withColumn("_tenant", _folder(table.tenant))
+    by = ["_tenant", BUCKET] if table.bucketed else ["_tenant"]
+    stored.write.mode("overwrite").partitionBy(*by).parquet(f"{table.path}/data/{VERSION}={version}")
+    new = rows.withColumn(table.tenant, tenant_key(table.tenant)).select(*cols).distinct()
+    new = new.withColumn(VERSION, F.lit(version))
+    if touched is not None and table.version:
+        old = table.parts()
+        new = old.join(touched, _same(old, touched, cols), "left_anti").unionByName(new)
+    new.write.mode("overwrite").parquet(f"{table.path}/parts/v={version}")
 
-def stage_dir(spark: SparkSession, name: str, batch_id: int) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "tessera", name, f"batch={batch_id}")
+
+def _same(x: DataFrame, y: DataFrame, cols: list[str]) -> Column:
+    """Null-safe equality on ``cols``."""
+    return reduce(lambda a, b: a & b, [x[c].eqNullSafe(y[c]) for c in cols])
+
+
+def _commit(table: Table, version: int, batch_id: int | None, run_id: str, fingerprint: str) -> None:
+    row = (version, batch_id, run_id, fingerprint, table.schema.json(), table.tenant, table.bucketed)
+    df = table.spark.createDataFrame([row], _COMMIT).coalesce(1)
+    df.write.mode("overwrite").parquet(f"{table.path}/commits/v={version}")
+
+
+def read_snapshot(spark: SparkSession, path: str, touched: DataFrame | None = None) -> DataFrame:
+    """The published rows, or those in the partitions ``touched`` (tenant and, if bucketed, bucket).
+
+    Up to MAX_LISTED_PARTITIONS touched partitions become literal filters on the
+    partition columns, so that the scan reads their files alone.
+    """
+    table = open_table(spark, path)
+    parts = table.parts()
+    if touched is not None:
+        parts = parts.join(touched, _same(parts, touched, table.part_cols), "left_semi")
+    return table.rows(parts)
+
+
+def touched_parts(table: Table, rows: DataFrame, key: Column | None, buckets: int) -> DataFrame:
+    """The distinct partitions that rows of a batch fall in, as a written table."""
+    own = _with_bucket(rows, key, buckets).withColumn(table.tenant, tenant_key(table.tenant))
+    return written_once(own.select(*table.part_cols).distinct(), "touched")
+
+
+def fingerprint_of(df: DataFrame) -> str:
+    """Order-free fingerprint of a batch's rows."""
+    h = F.xxhash64(*[F.col(c).cast("string") for c in sorted(df.columns)]).cast("decimal(38,0)")
+    row = df.agg(F.count("*").alias("n"), F.sum(h).alias("s")).first()
+    return f"{row['n']}:{row['s'] or 0}"
+
+
+def _committed(spark: SparkSession, path: str, batch_id: int, run_id: str, fingerprint: str) -> bool:
+    for row in _commits(spark, path):
+        if row["batch_id"] == batch_id and row["run_id"] == run_id:
+            if row["fingerprint"] != fingerprint:
+                raise ValueError(f"batch {batch_id} of run {run_id!r} was published at {path} with other rows")
+            return True
+    return False
 
 
 def publish(
     spark: SparkSession,
-    name: str,
+    path: str,
     batch_id: int,
-    snapshot: DataFrame,
-    delta: DataFrame,
-    touched: DataFrame,
-    snapshot_path: str,
-    delta_path: str,
-    tenant: str = TENANT,
+    batch: DataFrame,
+    change: Callable[[DataFrame], tuple[DataFrame, DataFrame | None]],
+    delta_path: str | None = None,
     key: Column | None = None,
     buckets: int = 0,
+    run_id: str = "",
 ) -> bool:
-    """Publish one batch's snapshot and delta; returns False when it was already committed.
+    """Apply one batch to the table at ``path``; False when it was committed before.
 
-    ``touched`` holds the batch rows; their tenants (and key buckets, when
-    ``buckets`` > 0 and ``key`` gives the normalised key expression) name the
-    snapshot partitions that are rewritten.  The snapshot is filtered to them
-    by a semi join against the (bounded, broadcast) partition list, which Spark
-    turns into partition pruning of the stored snapshot's scan.
+    ``batch`` names the touched partitions (by tenant, and by the bucket of
+    ``key`` when ``buckets`` > 0); ``change`` gets the snapshot rows of these
+    partitions and returns what they become, and the change rows, if any.
+    ``run_id`` tells apart runs that count their batches from 0 again, such as
+    streams with different checkpoints.
     """
-    marker = os.path.join(snapshot_path, "_committed", f"batch={batch_id}")
-    if _exists(spark, marker):
+    table = open_table(spark, path)
+    if table.bucketed != bool(buckets):
+        raise ValueError(f"{path} is {'' if table.bucketed else 'not '}bucketed")
+    fingerprint = fingerprint_of(batch)
+    if _committed(spark, path, batch_id, run_id, fingerprint):
         return False
-    stage = stage_dir(spark, name, batch_id)
-    s_snap, s_delta = os.path.join(stage, "snapshot"), os.path.join(stage, "delta")
-    part_cols = [tenant]
-    if buckets > 0:
-        if key is None:
-            raise ValueError("a bucketed layout needs the key expression")
-        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
-        touched, snapshot = touched.withColumn(BUCKET, bucket), snapshot.withColumn(BUCKET, bucket)
-        part_cols.append(BUCKET)
-    if not (_exists(spark, s_snap) and _exists(spark, s_delta)):
-        parts = touched.select(*part_cols).distinct()
-        # Partitions of one batch are few; broadcast them only when that holds.
-        if row_count_at_most(parts, MAX_PARTITIONS_BROADCAST):
-            parts = F.broadcast(parts)
-        part = snapshot.join(parts, part_cols, "left_semi")
-        part.write.mode("overwrite").partitionBy(*part_cols).parquet(s_snap)
-        delta.write.mode("overwrite").parquet(s_delta)
-    (
-        spark.read.parquet(s_delta)
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(delta_path)
-    )
-    (
-        spark.read.parquet(s_snap)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*part_cols)
-        .parquet(snapshot_path)
-    )
-    spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("overwrite").parquet(marker)
+    touched = touched_parts(table, batch, key, buckets)
+    snapshot, delta = change(read_snapshot(spark, path, touched))
+    version = table.version + 1
+    snapshot = snapshot.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+    _write_version(table, version, _with_bucket(snapshot, key, buckets), touched)
+    if delta is not None and delta_path is not None:
+        delta.write.mode("overwrite").parquet(f"{delta_path}/batch={run_id}-{batch_id}")
+    _commit(table, version, batch_id, run_id, fingerprint)
     return True
 
 
-def publish_purge(spark: SparkSession, kept: DataFrame, tenant_id: str, snapshot_path: str, tenant: str = TENANT) -> None:
-    """Publish a purge of a path-based snapshot: stage the kept rows, write them back.
+def read_delta(spark: SparkSession, path: str, delta_path: str) -> DataFrame:
+    """The change rows of the committed batches, with ``batch_id`` and ``run_id``; written but uncommitted ones stay out."""
+    done = [(r["run_id"], r["batch_id"]) for r in _commits(spark, path) if r["batch_id"] is not None]
+    there = set(_names(spark, delta_path))
+    out = None
+    for run_id, batch_id in done:
+        if f"batch={run_id}-{batch_id}" in there:
+            one = spark.read.parquet(f"{delta_path}/batch={run_id}-{batch_id}")
+            one = one.withColumns({"batch_id": F.lit(batch_id).cast("long"), "run_id": F.lit(run_id)})
+            out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError(f"no committed change rows at {delta_path}")
+    return out
+
 
-    Correct at any size but rewrites every partition.  For a snapshot registered
-    as a partitioned catalog table the cheap form is dropping the one partition
-    (``ALTER TABLE ... DROP PARTITION (PmsInstanceId = ...)``), which touches no
-    other tenant's files.
+def publish_purge(
+    spark: SparkSession, path: str, tenant_id: str, batch_id: int, archive: DataFrame | None = None,
+    archive_path: str | None = None, run_id: str = "purge",
+) -> bool:
+    """Remove a tenant (any letter case) from the table: its partitions leave the list, no file is rewritten.
+
+    ``archive`` rows, if any, are written under ``archive_path/batch=...`` before
+    the commit; a repeated purge overwrites them with the same rows.
     """
-    stage = os.path.join(ensure_checkpoint_dir(spark), "tessera", "purge", str(tenant_id))
-    kept.write.mode("overwrite").partitionBy(tenant).parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").partitionBy(tenant).parquet(snapshot_path)
+    table = open_table(spark, path)
+    if _committed(spark, path, batch_id, run_id, tenant_id.lower()):
+        return False
+    if archive is not None:
+        archive.write.mode("overwrite").parquet(f"{archive_path}/batch={run_id}-{batch_id}")
+    version = table.version + 1
+    kept = table.parts().filter(~F.col(table.tenant).eqNullSafe(F.lit(tenant_id.lower())))
+    kept.write.mode("overwrite").parquet(f"{path}/parts/v={version}")
+    _commit(table, version, batch_id, run_id, tenant_id.lower())
+    return True

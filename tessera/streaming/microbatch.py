@@ -4,9 +4,9 @@ Each stored-procedure call is already "apply one batch", so the stream form is
 ``readStream`` of the entity's input rows and ``foreachBatch`` running the same
 merge on every micro-batch, publishing through :func:`tessera.sources.sinks.publish`
 with the micro-batch id.  The stream's checkpoint records which batch ids were
-handed to ``foreachBatch``; the sink's commit marker makes a replayed batch id a
-no-op, so the change feed is exactly-once even when a batch is retried after a
-failure.
+handed to ``foreachBatch``; the table's commits make a replayed batch a no-op, so
+the change feed is exactly-once even when a batch is retried after a failure.  A
+stream with another checkpoint counts from 0 again and is another run.
 
 The snapshot is re-read from its published path at the start of each batch, so
 the lineage of batch ``n`` never contains batch ``n - 1``'s plan.
@@ -15,6 +15,7 @@ the lineage of batch ``n`` never contains batch ``n - 1``'s plan.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,14 +23,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tessera.operators.merge import MergeResult
+from tessera.operators.staged import written_once
 from tessera.sources.sinks import publish, read_snapshot
 
 MergeFn = Callable[[DataFrame, DataFrame, dt.datetime], MergeResult]
+MergeWithPatientFn = Callable[[DataFrame, DataFrame, DataFrame, dt.datetime], tuple[MergeResult, DataFrame]]
 
 
 def upsert_batch(
     spark: SparkSession,
-    name: str,
     batch: DataFrame,
     batch_id: int,
     merge_fn: MergeFn,
@@ -38,24 +40,57 @@ def upsert_batch(
     as_of: dt.datetime | None = None,
     key: Column | None = None,
     buckets: int = 0,
+    run_id: str = "",
 ) -> bool:
-    """Merge one batch into the published snapshot and publish the result.
+    """Merge one batch into the published snapshot and publish the result; False when it was published before.
 
     With ``buckets`` > 0 the snapshot is laid out by (tenant, hash bucket of
-    ``key``), ``key`` being the normalised key expression of the entity.
+    ``key``), ``key`` being the normalised key expression of the entity; only
+    the touched buckets are read and written.
     """
-    snapshot = read_snapshot(spark, snapshot_path)
     clock = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    result = merge_fn(snapshot, batch, clock)
-    return publish(
-        spark, name, batch_id, result.snapshot, result.delta, batch, snapshot_path, delta_path,
-        key=key, buckets=buckets,
-    )
+
+    def change(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        result = merge_fn(rows, batch, clock)
+        return result.snapshot, result.delta
+
+    return publish(spark, snapshot_path, batch_id, batch, change, delta_path, key, buckets, run_id)
+
+
+def upsert_batch_with_patients(
+    spark: SparkSession,
+    batch: DataFrame,
+    batch_id: int,
+    merge_fn: MergeWithPatientFn,
+    snapshot_path: str,
+    delta_path: str,
+    patient_path: str,
+    as_of: dt.datetime | None = None,
+    run_id: str = "",
+) -> bool:
+    """As :func:`upsert_batch` for the pickup and visit upserts, which also roll facts up into the patients.
+
+    Two commits, the patients first: they depend on the batch and the patient
+    table alone, so a call that fails between the two finds its patients
+    committed when it comes again, and goes on with the entity.
+    """
+    clock = as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    empty = read_snapshot(spark, snapshot_path).limit(0)
+    before = written_once(read_snapshot(spark, patient_path), "patients")  # the merge sees the patients as they were
+
+    def patients(rows: DataFrame) -> tuple[DataFrame, None]:
+        return merge_fn(empty, batch, rows, clock)[1], None
+
+    def change(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        result = merge_fn(rows, batch, before, clock)[0]
+        return result.snapshot, result.delta
+
+    publish(spark, patient_path, batch_id, batch, patients, run_id=f"{run_id}@{snapshot_path}")
+    return publish(spark, snapshot_path, batch_id, batch, change, delta_path, run_id=run_id)
 
 
 def start_upsert_stream(
     spark: SparkSession,
-    name: str,
     source_dir: str,
     schema: StructType | str,
     merge_fn: MergeFn,
@@ -73,8 +108,12 @@ def start_upsert_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
 
+    run_id = hashlib.sha1(checkpoint_location.encode()).hexdigest()[:12]
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(spark, name, batch, batch_id, merge_fn, snapshot_path, delta_path, key=key, buckets=buckets)
+        upsert_batch(
+            spark, batch, batch_id, merge_fn, snapshot_path, delta_path, key=key, buckets=buckets, run_id=run_id
+        )
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer

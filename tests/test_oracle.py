@@ -48,9 +48,9 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", sorted(n for n in catalog.queries() if "_upsert_" in n))
 def test_merge_queries_match_oracle_on_shuffle_plans(spark, sf_dir, duck, name, monkeypatch):
     """The same merges with the batch treated as large (sort-merge plans)."""
-    import tessera.plans.entities as ent
+    import tessera.operators.broadcast as bounds
 
-    monkeypatch.setattr(ent, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(bounds, "DEFAULT_MAX_BROADCAST_ROWS", 0)
     df = E.queries()[name](spark, sf_dir)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
     res = duck.execute(SQL[name])
