@@ -21,9 +21,10 @@ Large batch - the target's rows are shuffled once, its key columns twice::
 
     J         = T  LEFT JOIN  S1       on (tenant, key); + action + per-row window
                 (J keeps T's hash partitioning, so the window adds only a sort)
+    M         = T  INNER JOIN  S1, likewise
     inserts   = S  ANTI JOIN  keys(T)
     snapshot  = project(J, one row per target row)  UNION ALL  project(inserts)
-    delta     = project(J where action = 2)  UNION ALL  project(inserts)
+    delta     = project(M where action = 2)  UNION ALL  project(inserts)
 
 The tenant never partitions alone: the business key is always in the join key,
 so one huge tenant spreads over all partitions.  One hot business key is not
@@ -302,14 +303,15 @@ def merge(
             .unionByName(snapshot_rows(inserts))
         )
     else:
-        # Target rows keep their side: T LEFT JOIN S is hash-partitioned on the
-        # target's (tenant, key), so the per-row window needs no new exchange (a
-        # local sort).  New keys come from S ANTI JOIN keys(T): only the two key
-        # columns of the target move a second time.
-        classified = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "left").withColumn("_action", action))
+        # The pairs, and with them the change feed, come from an inner join: target
+        # rows that no batch row touches are neither sorted nor carried.  Only the
+        # snapshot needs them: T LEFT JOIN S keeps the target's hash partitioning,
+        # so its per-row window adds a local sort and no exchange.  New keys come
+        # from S ANTI JOIN keys(T), the target's two key columns.
+        classified = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "inner").withColumn("_action", action))
         inserts = with_null_target(s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti"))
-        snapshot = snapshot_rows(classified.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
+        whole = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "left").withColumn("_action", action))
+        snapshot = snapshot_rows(whole.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
     delta = delta_rows(classified).unionByName(delta_rows(inserts))
-    # The pairs are the same in either shape: target rows that no batch row touches are none.
-    classified = classified.filter(act.isNotNull()).unionByName(inserts, allowMissingColumns=True)
+    classified = classified.unionByName(inserts, allowMissingColumns=True)
     return MergeResult(snapshot=snapshot, delta=delta, classified=classified)
