@@ -54,9 +54,9 @@ def test_deletes_diff_purge(spark, sf_dir, v):
     q = E.queries()
     _same(entities.soft_delete("visit", v("visit"), v("order_ids"), AS_OF).delta, q["visit_mark_deleted_delta"](spark, sf_dir))
     _same(entities.availability_slot_compare(v("slot"), v("slot_cleared")), q["slot_diff"](spark, sf_dir))
-    _same(entities.availability_slot_mark_deleted(v("slot"), v("slot_ids"), AS_OF).snapshot,
+    _same(entities.availability_slot_mark_deleted(v("slot_all"), v("slot_ids"), AS_OF).snapshot,
           q["slot_mark_deleted_snapshot"](spark, sf_dir))
-    p = entities.batch_delete_tenant(v("slot"), "T1", "availability_slot", AS_OF)
+    p = entities.batch_delete_tenant(v("slot_all"), "T1", "availability_slot", AS_OF)
     _same(p.archive, q["purge_slot_archive"](spark, sf_dir))
     assert p.delta is None
 
