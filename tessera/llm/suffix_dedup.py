@@ -159,7 +159,9 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     # Compare: grams that stand in several documents, and whether their stretches are all equal.
     span = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
     grams = suffixes.groupBy("gram").agg(*span, F.min("stretch").alias("s"), F.max("stretch").alias("t"))
-    grams = grams.filter("low != high").select("gram", (F.col("s") != F.col("t")).alias("mixed"))
+    # Written, as all counts that are joined back, so that the join has a shuffle of its own on
+    # either side and a gram that a third of the suffixes share can be split over tasks.
+    grams = written(grams.filter("low != high").select("gram", (F.col("s") != F.col("t")).alias("mixed")), "grams")
     shared = written(suffixes.join(grams, "gram"), "shared")
     stretches = shared.groupBy("gram", "stretch", "mixed").agg(*span, F.min(F.struct("doc_id", "place", "first", "last")).alias("one"))
     stretches = written(stretches, "stretches")
@@ -176,7 +178,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     key = ["gram", "offset", "window"]
     alone = F.col("low") == F.col("high")
     met = windows.groupBy(key).agg(F.min("low").alias("low"), F.max("high").alias("high"), F.bool_or(alone).alias("alone"))
-    met = met.filter("alone and low != high").drop("alone")
+    met = written(met.filter("alone and low != high").drop("alone"), "met")
     ends = windows.filter(alone).drop("low", "high").join(met, key)
     ends = ends.select("doc_id", "start", (F.col("start") + length).alias("end"), _other())
     found = written(spans.union(ends), "spans")
