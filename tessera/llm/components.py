@@ -16,13 +16,14 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Written before it is joined back: the edges of a node with very many can then be split over tasks.
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """The smaller neighbours of a node, and the node, move to the smallest of them (edges point from a down to b)."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = written(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -43,7 +44,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        edges = written(_small_star(_large_star(edges)), "edges")
+        edges = written(_small_star(written(_large_star(edges), "stars")), "edges")
         state, before = _state(edges), state
         if state == before:
             break

@@ -209,7 +209,9 @@ def near_duplicates(
     key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))
     keys = sigs.select("node", F.posexplode(key).alias("band", "key"))
     ends = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
-    members = written(keys.join(ends.filter("lo != hi"), "key"), "buckets")
+    # Written before it is joined back: a hot key's rows can then be split over tasks.
+    ends = written(ends.filter("lo != hi"), "buckets")
+    members = written(keys.join(ends, "key"), "members")
     near = members.select("node", F.explode(F.array("lo", "hi")).alias("end")).filter("node != end")
     pairs = near.select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     pairs = written(_alike(pairs, sigs, least), "pairs")
@@ -227,7 +229,7 @@ def near_duplicates(
     split = large.groupBy("key").agg(F.max("n").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
     split = written(split.filter("x != y").select("key", "n"), "split")
     if not split.isEmpty():
-        large = written(large.drop("n").join(split.select("key"), "key", "left_semi"), "members")
+        large = written(large.drop("n").join(split.select("key"), "key", "left_semi"), "large")
         sets = _full_sets(texts, large.select("node").distinct(), k)
         more = _rest(large, split, sets.select("node", "short").join(sigs, "node"), least, rows, percent, block)
         more = written(_confirmed(written(more, "pairs"), sets, percent), "links")
