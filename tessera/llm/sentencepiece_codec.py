@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tessera.llm.common import pieces_of
 
 SPACE = "▁"
-_MAX_WORDS = 700_000
-_MAX_PAIRS = 500_000
+_MAX_WORDS = 500_000
+_MAX_PAIRS = 300_000
 
 
 class Codec:
