@@ -75,8 +75,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every input row, under the law ``rows``.
 
     Size is the UTF-8 length of the text (null: none) plus 8; the CRC of a null
-    text is 0, as of an empty one.  Rows with equal texts are linked, repeated
-    rows too; null texts link with nothing.  An empty table gives no rows.
+    text is 0, as of an empty one.  Rows with equal texts (by size and a 128-bit
+    hash) are linked, repeated rows too; null texts link with nothing.  An empty table gives no rows.
     Further columns are not read.
     """
     text = F.col("text")
@@ -102,7 +102,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # Members get their unit by rank in the group.
     to = Window.partitionBy(GROUP).orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     ends = units.withColumn("end", F.sum("n").over(to)).groupBy(GROUP)
-    ends = ends.agg(F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("ends"))
+    # Written before the join, so that the rows of a hot group can be split over tasks.
+    ends = written(ends.agg(F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("ends")), "ends")
     placed = nodes.join(ends, GROUP, "left")
     members = rank_within(placed.filter("ends is not null"), GROUP, parts, "r")
     own = F.get(F.filter("ends", lambda e: e["end"] > F.col("r")), F.lit(0))["shard"]

@@ -187,6 +187,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, min_revisit_bytes
     captures = captures.withColumns({"digest": payload_digest(F.col("payload")), "key": host_key(F.col("url"))})
     narrow = captures.filter(F.length("payload") >= min_revisit_bytes).select("page_id", "digest").distinct()
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    first = written(first, "first")  # so that a hot digest can be split over tasks in the join
     # Only the rows that revisit, keyed by page as well as digest: a payload that a third of the pages share is no hot key.
     revisits = narrow.join(first, "digest").filter("refers_to is not null and not (page_id <=> refers_to)")
     revisits = revisits.select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to")
