@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tessera.llm.common import pieces_of
 
 SPACE = "▁"
-_MAX_WORDS = 500_000
-_MAX_PAIRS = 300_000
+_MAX_WORDS = 300_000
+_MAX_PAIRS = 200_000
 
 
 class Codec:
@@ -60,7 +60,8 @@ class Codec:
                 self.automaton.add_word(p, p)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """The plain rule: merge the best-scored neighbours, the leftmost of equals, until none merges."""
@@ -150,22 +151,32 @@ class Codec:
             out.append(self.surface[i] or "")
         return "".join(out) + run.decode(errors="replace")
 
-    def _word(self, word: str) -> tuple[bytes, str]:
-        if len(self.known) >= _MAX_WORDS:
-            self.known.clear()
+    def _word(self, word: str) -> bytes:
         ids = self._ids(word)
-        found = self.known[word] = np.array(ids, dtype="<u4").tobytes(), self._decode(ids)
+        decoded = self._decode(ids)
+        if decoded != word.replace(SPACE, " "):
+            self.odd[word] = decoded
+        found = self.known[word] = np.array(ids, dtype="<u4").tobytes()
         return found
 
     def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids with begin and end (packed little-endian unsigned 32-bit), and the text they decode to."""
+        """Ids with begin and end (packed little-endian unsigned 32-bit), and the text they decode to.
+
+        Of a word's decoded text only what differs from the word is remembered.
+        """
+        if len(self.known) >= _MAX_WORDS:  # between texts, so that the two stay of one mind
+            self.known.clear()
+            self.odd.clear()
         get, new = self.known.get, self._word
         marked = SPACE + text.replace(" ", SPACE) if text else ""
         words = self.words.findall(marked) if self.by_word else [marked] * bool(marked)
-        found = [get(w) or new(w) for w in words]
-        ids = np.array([self.bos, self.eos], dtype="<u4").tobytes()
-        decoded = "".join([t for _, t in found])
-        return ids[:4] + b"".join([i for i, _ in found]) + ids[4:], decoded[1:] if decoded.startswith(" ") else decoded
+        ids = b"".join([get(w) or new(w) for w in words])
+        if self.odd:
+            decoded = "".join([self.odd.get(w) or w.replace(SPACE, " ") for w in words])
+        else:
+            decoded = marked.replace(SPACE, " ")
+        ends = np.array([self.bos, self.eos], dtype="<u4").tobytes()
+        return ends[:4] + ids + ends[4:], decoded[1:] if decoded.startswith(" ") else decoded
 
 
 @lru_cache(maxsize=1)
