@@ -55,3 +55,27 @@ def test_rank_within_counts_without_gaps(spark):
     for k in (True, False):
         assert sorted(r.r for r in rows if r.k == k) == list(range(sum(r.k == k for r in rows)))
     assert sorted(r.r for r in rank_within(df, [], 16, "r").collect()) == list(range(1000))
+
+
+def cut_share(rows, texts):
+    by = {}
+    for r in rows:
+        by.setdefault(texts[r.doc_id], []).append(r.shard)
+    linked = [set(x) for x in by.values() if len(x) > 1]
+    return sum(len(x) > 1 for x in linked) / len(linked)
+
+
+def test_full_shards_exchange_pairs(make_docs):
+    texts = [f"pair {i // 2}" for i in range(24_000)]
+    rows = shard_documents(make_docs(texts)).collect()  # every row is linked, every shard full
+    check_law(rows, 24, len(texts))
+    assert cut_share(rows, texts) <= 0.02
+
+
+def test_a_hot_third_fills_its_shards(make_docs):
+    texts = ["hot"] * 8_000 + ["warm"] * 2_400 + [f"pair {i // 2}" for i in range(13_600)]
+    rows = shard_documents(make_docs(texts)).collect()
+    check_law(rows, 24, len(texts))
+    by = {t: {r.shard for r in rows if texts[r.doc_id] == t} for t in ("hot", "warm")}
+    assert len(by["hot"]) == 8 and len(by["warm"]) <= 4  # of 1,000 rows each: eight and three at the least
+    assert cut_share(rows, texts) <= 0.02
