@@ -1,7 +1,8 @@
 """Secrets in texts: candidate strings, judged by a random forest.
 
-A candidate is a run of at least twelve key characters with a digit (or of an
-issued format that may have none).  Its
+A candidate is a run of at least twelve key characters with a digit, a run that
+begins as an issued format does, or what is assigned to the name of a secret:
+a quoted string or an unbroken run of six characters or more, whatever they are.  Its
 features are its length, how often its characters change class, shares of
 digits, capitals, vowels and distinct characters, how much of it dictionary
 words cover, the path it stands in (of the file and within its own token) and
@@ -25,7 +26,6 @@ from pyspark.sql import types as T
 from tessera.llm.common import written
 
 _KEY = "A-Za-z0-9+/_-"
-CANDIDATE = f"(?<![{_KEY}])(?:(?=[A-Za-z+/_-]*+[0-9])|(?=A[KS]IA[A-Z]{{16}}))[{_KEY}]{{12,}}+={{0,2}}"
 BEFORE, AFTER = 48, 24  # characters of context
 #: Fixed words: names of secrets in front of them, names of harmless things, and an everyday dictionary.
 SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "private_key", "bearer", "credential")
@@ -35,9 +35,22 @@ DICTIONARY = (
     "ist", "ein", "nicht", "les", "des", "une", "est", "que", "los", "las", "para", "con", "por", "user", "name", "file",
     "data", "test", "example", "page", "version", "image", "index", "admin", "item", "order", "http", "www", "com", "html",
 )
+_NAMES = "(?i:" + "|".join(SECRET_WORDS) + ")"
+_ASSIGN = _NAMES + r"[\"']?\s{0,8}[:=]\s{0,8}"
+#: Beginnings of the ISSUED formats, as long as the shortest of each.
+_ISSUED_START = r"A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[0-9A-Za-z-]{10}|sk_live_[0-9a-zA-Z]{16}|glpat-[A-Za-z0-9_-]{20}"
+CANDIDATE = (
+    r"(?:(?<=[:=][\s\"']{0,9})(?:"  # cheap to test, before the assignment itself
+    + rf"(?<={_ASSIGN}\")[^\"\r\n]{{6,200}}+(?=\")|(?<={_ASSIGN}')[^'\r\n]{{6,200}}+(?=')"
+    + rf"|(?<={_ASSIGN}[\"']?)[^\s\"'`,;<>]{{5,}}[^\s\"'`,;<>.:!?)\]}}])"
+    + f"|(?<![{_KEY}])(?:(?={_ISSUED_START})|(?=[A-Za-z+/_-]*+[0-9])"
+    + rf"(?![{_KEY}]*{_ASSIGN}[\"']?[^\s\"'=]))[{_KEY}]{{12,}}+={{0,2}})"  # not the name that a value is assigned to
+)
 #: Formats that only issued keys have; they label findings and are no features.
 ISSUED = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abp]-[0-9A-Za-z-]{10,}$|^sk_live_[0-9a-zA-Z]{16,}$|^glpat-[A-Za-z0-9_-]{20}$"
 ASSIGNED = r"(?i)(" + "|".join(SECRET_WORDS) + r")[\"']?\s*[:=]\s*[\"']?$"
+#: Short plain words, placeholders and calls; what is assigned may be prose or code, so these label nothing.
+UNSURE = r"^[A-Z]?[a-z]{0,11}$|^[$%]?[{<]|^[A-Za-z_.]+[(\[]"
 HARMLESS = r"^[0-9+/_-]+$|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^[A-Za-z]+([_/-][A-Za-z]+)+[_/-]?[0-9]{1,4}$"
 
 FEATURES = (
@@ -86,7 +99,7 @@ def features(before: Column, found: Column, after: Column, path: Column) -> list
 
 def _label(before: Column, found: Column) -> Column:
     """1 for issued formats and assigned secrets, 0 for plain numbers, UUIDs and numbered names, null when unsure."""
-    return F.when(found.rlike(ISSUED) | before.rlike(ASSIGNED), 1).when(found.rlike(HARMLESS), 0)
+    return F.when(found.rlike(ISSUED) | (before.rlike(ASSIGNED) & ~found.rlike(UNSURE)), 1).when(found.rlike(HARMLESS), 0)
 
 
 def with_candidates(docs: DataFrame, path: str = "source") -> DataFrame:

@@ -87,3 +87,35 @@ def test_whole_table_masks_what_it_reports(documents):
 def test_long_text_with_many_findings(make_docs, trained):
     text = " ".join(f"k{i:012d}" for i in range(3000))
     assert S.scan_documents(make_docs([text]), trained).count() == 3000
+
+
+def planted(rng, n):
+    """Texts with their secret, of every issued format and assignment, half of them without a digit."""
+    letters, both = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    out = []
+    for i in range(n):
+        run = lambda k: "".join(rng.choice(letters if i % 2 else both) for _ in range(k))  # noqa: B023, E731
+        kinds = [
+            ("key {} here", "AKIA" + run(16).upper()),
+            ("see {} there", rng.choice(["ghp_", "gho_", "ghs_"]) + run(36)),
+            ("use {}.", "glpat-" + run(20)),
+            ("pay {} now", "sk_live_" + run(rng.choice([16, 24]))),
+            ("hook {} for chat", "xoxb-" + run(24)),
+            ('password = "{}"', run(rng.choice([8, 24]))),
+            ("token={}, then", run(9)),
+            ("db2_prod_password: '{}'", "p@ss w!rd " + run(4)),
+            ("secret: {} is set", run(5) + "$%&" + run(5)),
+        ]
+        form, secret = kinds[i // 2 % len(kinds)]
+        out.append((f"words before {form.format(secret)} and words after", secret))
+    return out
+
+
+def test_masks_every_planted_secret_also_without_digits(make_docs):
+    rng = random.Random(5)
+    plants = planted(rng, 360)
+    harmless = [t for t, secret in corpus(rng, 360) if secret is False]
+    docs = make_docs([t for t, _ in plants] + harmless)
+    got = {r.doc_id: r.text for r in S.mask_secrets(docs).collect()}
+    assert [(t, got[i]) for i, (t, x) in enumerate(plants) if got[i] != t.replace(x, S.MASK)] == []
+    assert [got[len(plants) + k] for k in range(len(harmless))] == harmless
