@@ -59,6 +59,8 @@ FEATURES = (
 )
 #: Labelled findings of either class that the forest is fitted on, lowest hashes first.
 MAX_LABELLED = 20_000
+#: Weight of a repeated finding at most.
+MAX_WEIGHT = 8
 TREES, DEPTH, SEED, THRESHOLD = 24, 5, 11, 0.5
 MASK = "[secret]"
 
@@ -159,22 +161,32 @@ def labelled_findings(candidates: DataFrame) -> DataFrame:
     return one.filter("f.label is not null").select("f.label", F.col("f.finding").alias("finding"), "f.x.*")
 
 
-def fit_forest(findings: DataFrame, max_labelled: int = MAX_LABELLED) -> list | None:
-    """Random forest on labelled findings (``label`` 0 or 1, ``finding`` and the FEATURES); its trees as nested tuples.
+def training_sample(findings: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """``label, FEATURES, h, weight`` of the ``max_labelled`` findings of each class with the lowest hash ``h``.
 
-    At most ``max_labelled`` findings of each class are used, those with the
-    lowest hash.  None when either class has no finding.
+    Findings that are equal with equal features count once, with their number,
+    MAX_WEIGHT at most, as weight: a finding that many rows repeat takes one place.
     """
     rows = findings.select("label", *FEATURES, F.xxhash64("finding", *FEATURES).alias("h"))
+    rows = rows.groupBy("label", *FEATURES, "h").agg(F.least(F.count("*"), F.lit(MAX_WEIGHT)).cast("double").alias("weight"))
     rows = written(rows, "findings")
-    order = ["h", *FEATURES]
-    classes = [rows.filter(F.col("label") == c).orderBy(*order).limit(max_labelled) for c in (0, 1)]
-    train = written(classes[0].union(classes[1]), "labelled")
+    classes = [rows.filter(F.col("label") == c).orderBy("h", *FEATURES).limit(max_labelled) for c in (0, 1)]
+    return written(classes[0].union(classes[1]), "labelled")
+
+
+def fit_forest(findings: DataFrame, max_labelled: int = MAX_LABELLED) -> list | None:
+    """Random forest on labelled findings (``label`` 0 or 1, ``finding`` and the FEATURES); its trees as nested tuples.
+
+    At most ``max_labelled`` different findings of each class are used, those
+    with the lowest hash.  None when either class has no finding.
+    """
+    train = training_sample(findings, max_labelled)
     if train.select("label").distinct().count() < 2:
         return None
+    order = ["h", *FEATURES]
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train.orderBy(*order).coalesce(1))
-    data = data.select("features", F.col("label").cast("double").alias("label"))
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(data)
+    data = data.select("features", F.col("label").cast("double").alias("label"), "weight")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt", weightCol="weight").fit(data)
 
     def tree(node):
         if node.getClass().getSimpleName() == "LeafNode":

@@ -119,3 +119,12 @@ def test_masks_every_planted_secret_also_without_digits(make_docs):
     got = {r.doc_id: r.text for r in S.mask_secrets(docs).collect()}
     assert [(t, got[i]) for i, (t, x) in enumerate(plants) if got[i] != t.replace(x, S.MASK)] == []
     assert [got[len(plants) + k] for k in range(len(harmless))] == harmless
+
+
+def test_a_repeated_finding_takes_one_place_of_the_sample(make_docs):
+    texts = [t for t, _ in corpus(random.Random(6), 120)] + ["card 4929000000000000 "] * 300 + ["card 4111000000000000 "] * 3
+    rows = S.training_sample(S.labelled_findings(S.with_candidates(make_docs(texts))), 18).collect()
+    for c in (0, 1):
+        assert len({r.h for r in rows if r.label == c}) == 18 == sum(r.label == c for r in rows)
+    rows = S.training_sample(S.labelled_findings(S.with_candidates(make_docs(texts)))).collect()
+    assert sorted(r.weight for r in rows if r.weight > 1)[-1] == S.MAX_WEIGHT and 3.0 in {r.weight for r in rows}
