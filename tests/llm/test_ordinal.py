@@ -28,6 +28,15 @@ def test_held_out_selection(tables):
     assert all(0 <= r.tail_prob <= 1 and r.tail_prob <= r.expected_grade + 1e-9 for r in rows)
 
 
+def test_held_out_share_of_low_quality_that_is_kept(tables):
+    docs, ratings = tables
+    model = O.fit_grades(docs, ratings.filter("doc_id % 4 != 0"))
+    held = ratings.filter("doc_id % 4 = 0 and grade < 2")
+    rows = O.grade_documents(docs.join(held.select("doc_id"), "doc_id"), model).join(held, "doc_id").collect()
+    for grade in (0, 1):
+        assert np.mean([r.kept for r in rows if r.grade == grade]) <= 0.1
+
+
 def test_shared_weights_and_ordered_thresholds():
     rng = random.Random(7)
     features, samples, grades = O.Features(), [], []
