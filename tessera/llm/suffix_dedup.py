@@ -1,13 +1,15 @@
-"""Passages that repeat across documents, by a sparse suffix array over minimiser positions.
+"""Passages that repeat across documents, by the suffixes of a sparse suffix array over minimiser positions.
 
 Of all suffixes of a text only those at minimisers are retained: the word whose
 eight-word gram hashes lowest among the starts in some window of ``length``
 words, leftmost of equals.  Equal windows choose the same place, so no repeated
 passage of ``length`` words is without a common retained suffix.  Each retained
 suffix stands for a stretch: the windows that chose it and the words they cover.
-The suffixes are ordered by the fingerprint of their gram and compared within
-equal grams: suffixes whose whole stretch is equal are matched at once, to the
-left and to the right.  Where a gram stands in different stretches, at the edges
+The suffixes are not sorted and no neighbours are compared: the sorted order is
+replaced by grouping on hashes of gram and stretch, since a common passage would
+make one long run of neighbours in a sorted order, and the next suffix alone
+misses passages whose two sides have different partners.  Suffixes whose whole
+stretch is equal are matched at once, to the left and to the right.  Where a gram stands in different stretches, at the edges
 of a passage, a text of each different stretch is read again, and the match is
 extended window by window as far as it goes on either side.
 
