@@ -24,8 +24,10 @@ from tessera.llm.common import pieces_of
 BUCKETS, DIM = 1 << 15, 16
 #: Labelled documents that the model is fitted on (about; chosen by hash, evenly over the languages).
 MAX_SAMPLE = 2400
-#: Languages with the most labelled documents that are learned.
-MAX_LANGUAGES = 200
+#: Labelled documents of each language at least (about; all that there are, when fewer).
+LEAST_SAMPLE = 50
+#: More languages than this are an error, since the model and its sample grow with them; none is left out.
+MOST_LANGUAGES = 500
 EPOCHS, RATE, SEED = 6, 0.5, 3
 #: Accuracy that accepted predictions must reach on the documents kept aside.
 ACCEPT = 0.99
@@ -130,11 +132,13 @@ def held_out(doc_id: Column) -> Column:
 def fit_languages(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
     """Model from text and lang of the rows of ``docs`` that are not held out and have both and an id."""
     known = docs.filter("text is not null and lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in lang")
     if not counts:
         return Model([], np.zeros((BUCKETS, 0), dtype=np.float32), np.zeros(0), 1.0)
     languages = sorted(r["lang"] for r in counts)
-    per = max(1, max_sample // len(languages))
+    per = max(LEAST_SAMPLE, max_sample // len(languages))
     rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, per / r["n"]) * (1 << 32)))])
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 32))
     sample = known.filter(draw < F.element_at(rates, F.col("lang"))).select("doc_id", "lang", "text")
@@ -153,7 +157,7 @@ def fit_languages(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
                     names=["doc_id", "lang", "idx", "share"],
                 )
 
-    # Bounded by the sample and the buckets: at most 2,400 rows of a few kilobytes each as a rule.
+    # Bounded by the sample and the buckets: 2,400 rows of a few kilobytes each as a rule, 25,000 at most.
     rows = sample.mapInArrow(run, "doc_id long, lang string, idx array<int>, share array<float>").toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     idx, share = rows.column("idx").combine_chunks(), rows.column("share").combine_chunks()

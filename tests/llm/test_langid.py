@@ -64,3 +64,12 @@ def test_nulls_no_letters_repeated_rows_and_empty_tables(spark, make_docs):
     assert langid.predict_languages(docs.limit(0), model).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.predict_languages(unlabelled).collect()} == {"und"}
+
+
+def test_more_than_200_languages_are_all_learned(spark, monkeypatch):
+    rows = [(i, f"{chr(0x4E00 + i % 230) * 3} {chr(0x4E00 + i % 230) * 4}", f"l{i % 230:03d}") for i in range(230 * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit_languages(docs).languages == [f"l{k:03d}" for k in range(230)]
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 229)
+    with pytest.raises(ValueError):
+        langid.fit_languages(docs)
