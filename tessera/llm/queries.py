@@ -18,6 +18,7 @@ from tessera.llm import (
     sharding,
     suffix_dedup,
     warc,
+    word_bpe,
 )
 from tessera.llm.common import table
 
@@ -69,10 +70,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.grade_documents(docs, model)
 
 
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = word_bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return word_bpe.digests(word_bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), content))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_rules, op2_warc, op3_decontamination, op4_sentencepiece, op5_suffix_dedup, op6_sharding,
         op7_language_id, op8_secret_scan, op9_minhash_near_dedup, op10_quality_classifier,
+        op13_word_bpe,
     )
     return {f.__name__: f for f in found}
 
