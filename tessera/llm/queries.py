@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
     decontaminate,
+    filter_audit,
     langid,
     minhash,
     ordinal_quality,
@@ -70,6 +71,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.grade_documents(docs, model)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = word_bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     return word_bpe.digests(word_bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), content))
@@ -79,11 +84,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_rules, op2_warc, op3_decontamination, op4_sentencepiece, op5_suffix_dedup, op6_sharding,
         op7_language_id, op8_secret_scan, op9_minhash_near_dedup, op10_quality_classifier,
-        op13_word_bpe,
+        op11_filter_audit, op13_word_bpe,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     """Queries whose result SQL can state; the others are tested against brute force in tests/llm."""
-    return {"op1_quality_rules": quality_rules.oracle_sql(), "op2_warc": warc.oracle_sql()}
+    return {"op1_quality_rules": quality_rules.oracle_sql(), "op2_warc": warc.oracle_sql(), "op11_filter_audit": filter_audit.oracle_sql()}
