@@ -13,6 +13,7 @@ from tessera.llm import (
     langid,
     minhash,
     ordinal_quality,
+    prefix_trie,
     quality_rules,
     secrets_forest,
     sentencepiece_codec,
@@ -75,6 +76,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents", "doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = word_bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     return word_bpe.digests(word_bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), content))
@@ -84,7 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_rules, op2_warc, op3_decontamination, op4_sentencepiece, op5_suffix_dedup, op6_sharding,
         op7_language_id, op8_secret_scan, op9_minhash_near_dedup, op10_quality_classifier,
-        op11_filter_audit, op13_word_bpe,
+        op11_filter_audit, op12_prefix_trie, op13_word_bpe,
     )
     return {f.__name__: f for f in found}
 
