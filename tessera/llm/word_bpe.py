@@ -22,6 +22,7 @@ own normalizer and word pattern are applied by the library to each new run.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import re
 from functools import lru_cache
@@ -36,12 +37,34 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import pieces_of
 
-_MAX_RUNS = 300_000
+#: Entries of the younger of the two generations of remembered runs, and of words.
+_REMEMBERED = 350_000
+#: Symbols of a word up to which a plain list beats a queue.
+_SHORT = 48
 #: Symbols of new words that are encoded together; a longer word is a block of its own.
 _BLOCK = 200_000
+_ASCII_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
 _BYTE_CHARS = 512  # the byte alphabet's characters lie below
 
 
+class Memory:
+    """A dictionary that forgets what was not asked for lately: two generations, the older one is dropped."""
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys) -> set:
+        """Those of ``keys`` that are not known; the others are young from now on."""
+        if len(self.young) > _REMEMBERED:
+            self.young, self.old = {}, self.young
+        new = set(keys).difference(self.young)
+        old = self.old
+        again = [k for k in new if k in old]
+        self.young.update(zip(again, map(old.__getitem__, again), strict=True))
+        return new.difference(again)
+
+
 class WordBpe:
     """Encoder and decoder for the content of one tokenizer file.
 
@@ -64,7 +87,7 @@ class WordBpe:
         self._specials(specials)
         self._vocabulary(model["vocab"], model["merges"], suffix)
         self.names = {i: t for t, i in model["vocab"].items()} | {t["id"]: t["content"] for t in specials}
-        self.known: dict[bytes, bytes] = {}
+        self.runs, self.spelled = Memory(), Memory()
 
     def _specials(self, specials: list[dict]) -> None:
         self.special = {t["content"]: t["id"] for t in specials}
@@ -161,6 +184,31 @@ class WordBpe:
 
     def merged(self, symbols: list[int]) -> list[int]:
         """The plain rule: merge the best-ranked neighbours, the leftmost of equals, until none merges."""
+        if len(symbols) > _SHORT:
+            return self._merged_long(symbols)
+        return self._merged_short(symbols, self._ranks(np.array(symbols, dtype=np.int64)).tolist()[:-1])
+
+    def _ranks(self, symbols: np.ndarray) -> np.ndarray:
+        """Rank of each symbol's merge with the next (the number of tokens where there is none)."""
+        key = symbols * self.n + np.append(symbols[1:], 0)
+        i = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[i] == key, self.pair_made[i], self.n)
+
+    def _merged_short(self, parts: list[int], made: list[int]) -> list[int]:
+        """The same, given the ranks of the neighbours' merges; both lists are changed."""
+        get, n = self.merge_of.get, self.n
+        while made and (best := min(made)) < n:
+            i = made.index(best)
+            parts[i : i + 2] = [best]
+            del made[i]
+            if i:
+                made[i - 1] = get(parts[i - 1] * n + best, n)
+            if i < len(made):
+                made[i] = get(best * n + parts[i + 1], n)
+        return parts
+
+    def _merged_long(self, symbols: list[int]) -> list[int]:
+        """The same with a queue."""
         parts = list(symbols)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         queue: list[tuple[int, int, int]] = []
@@ -184,8 +232,8 @@ class WordBpe:
                 offer(before[i], i)
         return [p for p in parts if p >= 0]
 
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """Token ids of each word (a non-empty string of the byte alphabet)."""
+    def words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word (a non-empty string of the byte alphabet)."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         stops = np.cumsum(lengths)
         starts = stops - lengths
@@ -208,47 +256,70 @@ class WordBpe:
         tokens, word = best[at], np.searchsorted(stops, at, side="right")
         inner = np.flatnonzero(word[1:] == word[:-1])
         refused = np.unique(word[inner[~self.compatible(tokens[inner], tokens[inner + 1])]])
-        out = np.split(self.ids[tokens], np.searchsorted(word, np.arange(1, len(words))))
-        for w in refused.tolist():
-            out[w] = self.ids[self.merged(symbols[starts[w] : stops[w]].tolist())]
+        packed, bounds = self.ids[tokens].tobytes(), (4 * np.searchsorted(word, np.arange(len(words) + 1))).tolist()
+        out = [packed[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        if len(refused):
+            spelled, made = symbols.tolist(), self._ranks(symbols).tolist()
+            merged, sizes = [], []
+            for w, a, b in zip(refused.tolist(), starts[refused].tolist(), stops[refused].tolist(), strict=True):
+                parts = spelled[a:b]
+                parts = self._merged_short(parts, made[a : b - 1]) if b - a <= _SHORT else self._merged_long(parts)
+                merged += parts
+                sizes.append(4 * len(parts))
+            packed, at = self.ids[merged].tobytes(), 0
+            for w, size in zip(refused.tolist(), sizes, strict=True):
+                out[w] = packed[at : at + size]
+                at += size
         return out
 
-    def remember(self, runs: set[bytes]) -> None:
+    def _split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+        return self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
+
+    def _spell(self, runs: list[str]) -> list[list[str | int]]:
+        """Words of the byte alphabet, and ids of special tokens, of each run."""
+        joined = " ".join(runs)
+        if not (self.special_at and self.special_at.search(joined)) and joined.split() == runs:
+            # All go through the library in one text; blanks in the normalized text tell them apart.
+            text = self.normalizer.normalize_str(joined)
+            sizes = np.fromiter(map(len, text.split(" ")), dtype=np.int64)
+            if len(sizes) == len(runs):
+                found = self.splitter.pre_tokenize_str(text)
+                starts = np.fromiter([a for _, (a, _) in found], dtype=np.int64, count=len(found))
+                bounds = [0, *np.searchsorted(starts, np.cumsum(sizes + 1)).tolist()]
+                words = [w for w, _ in found]
+                return [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        if len(runs) > 1:  # a special token, or other white space inside a run
+            half = len(runs) // 2
+            return self._spell(runs[:half]) + self._spell(runs[half:])
+        parts = self.special_at.split(runs[0]) if self.special_at else runs
+        return [[x for k, part in enumerate(parts) for x in ([self.special[part]] if k % 2 else [w for w, _ in self._split(part)])]]
+
+    def remember(self, runs: list[str]) -> None:
         """Encode new runs and keep their packed ids."""
-        spelled: dict[bytes, list[str | int]] = {}
-        new: dict[str, np.ndarray | None] = {}
-        for run in runs:
-            text, out = run.decode(), []
-            for k, part in enumerate(self.special_at.split(text) if self.special_at else [text]):
-                if k % 2:
-                    out.append(self.special[part])
-                elif part:
-                    found = [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(part))]
-                    out.extend(found)
-                    new.update(dict.fromkeys(found))
-            spelled[run] = out
-        block, size = [], 0
-        for word in [*new, None]:
+        spelled = self._spell(runs)
+        words = set(itertools.chain.from_iterable(spelled))
+        special = words.intersection(self.special.values())
+        new, block, size = self.spelled.missing(words - special), [], 0
+        known = self.spelled.young
+        for word in itertools.chain(new, [None]):
             if block and (word is None or size + len(word) > _BLOCK):
-                new.update(zip(block, self.words(block), strict=True))
+                known.update(zip(block, self.words(block), strict=True))
                 block, size = [], 0
             if word is not None:
                 block.append(word)
                 size += len(word)
-        packed = {w: ids.tobytes() for w, ids in new.items()}
-        for run, out in spelled.items():
-            self.known[run] = b"".join(np.int32(x).tobytes() if isinstance(x, int) else packed[x] for x in out)
+        own = {i: np.int32(i).tobytes() for i in special}
+        get = (lambda x: own[x] if x in own else known[x]) if own else known.__getitem__
+        self.runs.young.update(zip(runs, [b"".join(map(get, out)) for out in spelled], strict=True))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Packed 32-bit ids of each text (none of a null)."""
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > _MAX_RUNS:
-            self.known.clear()
-        new = {run for runs in split for run in runs if run not in self.known}
-        if new:
-            self.remember(new)
-        known = self.known
-        return [b"".join([known[r] for r in runs]) for runs in split]
+        split = [_ASCII_SPACE.split(t) if t else [] for t in texts]
+        new = list(self.runs.missing(itertools.chain.from_iterable(split)))
+        for at in range(0, len(new), 50_000):
+            self.remember(new[at : at + 50_000])
+        known = self.runs.young.__getitem__
+        return [b"".join(map(known, runs)) for runs in split]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_batch([text])[0], dtype=np.int32).tolist()

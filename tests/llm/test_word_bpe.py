@@ -8,7 +8,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from tessera.llm.word_bpe import WordBpe, digests, encode_documents, read_tokenizer
+from tessera.llm.word_bpe import Memory, WordBpe, digests, encode_documents, read_tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -50,7 +50,7 @@ def test_words_of_joined_tokens(codec, library):
     tokens = [t.removesuffix("</w>") for t in library.get_vocab() if re.fullmatch("[a-z]+(</w>)?", t)]
     texts = ["".join(rng.choice(tokens) for _ in range(rng.randrange(1, 6))) for _ in range(20_000)]
     check(codec, library, texts)
-    codec.known.clear()
+    codec.runs, codec.spelled = Memory(), Memory()
     symbols = [[codec.symbol[ord(c)] for c in t[:-1]] + [codec.symbol[512 + ord(t[-1])]] for t in texts[:500]]
     merged = [codec.ids[codec.merged(s)].tolist() for s in symbols]
     assert merged == [codec.encode(t) for t in texts[:500]]
