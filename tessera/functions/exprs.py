@@ -90,6 +90,24 @@ def norm_key_sql(c: str, mode: str) -> str:
     return {"trim": f"trim({c})", "rtrim": f"rtrim({c})", "exact": c}[mode]
 
 
+# The collations that match keys may compare under, as normalisations of the key.
+_KEY_COLLATIONS = {
+    "UTF8_BINARY": lambda c: c,
+    "UTF8_BINARY_RTRIM": F.rtrim,
+    "UTF8_LCASE": F.lower,
+    "UTF8_LCASE_RTRIM": lambda c: F.lower(F.rtrim(c)),
+}
+
+
+def collated_key(c: Column, collation: str | None) -> Column:
+    """A match key under a collation, as a value that equal keys share (so joins, salts and hashes agree)."""
+    if collation is None:
+        return c
+    if collation not in _KEY_COLLATIONS:
+        raise ValueError(f"match keys compare under one of {', '.join(_KEY_COLLATIONS)}, not {collation!r}")
+    return _KEY_COLLATIONS[collation](c)
+
+
 def is_blank(c: Column) -> Column:
     """``TRIM(x) IS NULL OR TRIM(x) = ''`` (also the T-SQL meaning of ``x IS NULL OR x = ''``)."""
     return F.coalesce(F.trim(c), F.lit("")) == F.lit("")

@@ -15,8 +15,9 @@ at runtime from real statistics).
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a join key set / lookup list we are willing to broadcast.  Key rows are
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 # ``TESSERA_MAX_BROADCAST_ROWS`` overrides it (0 forces the shuffle plans, as the
 # tests do to check both plan shapes against the oracle).
 DEFAULT_MAX_BROADCAST_ROWS = int(os.environ.get("TESSERA_MAX_BROADCAST_ROWS", 2_000_000))
+# Bytes of the strings in such a key set; names may be of any width.
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def bound(max_rows: int | None = None) -> int:
@@ -37,8 +40,22 @@ def row_count_at_most(df: DataFrame, max_rows: int | None = None) -> bool:
     return bound(max_rows) > 0 and df.count() <= bound(max_rows)
 
 
+def keys_are_small(keys: DataFrame, max_rows: int | None = None, columns: list[str] | None = None) -> bool:
+    """True when rows and text bytes of a key set are both under their bounds (one partial aggregation).
+
+    ``columns``: the key columns, where ``keys`` has others too.
+    """
+    if bound(max_rows) <= 0:
+        return False
+    strings = [f.name for f in keys.schema.fields if f.dataType.typeName() == "string" and (columns is None or f.name in columns)]
+    widths: list[Column] = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c in strings]
+    size = reduce(lambda a, b: a + b, widths, F.lit(0).cast("long"))
+    row = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return row["n"] <= bound(max_rows) and (row["b"] or 0) <= MAX_BROADCAST_BYTES
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when the row bound holds, else ``(df, False)``."""
-    if row_count_at_most(df, max_rows):
+    if keys_are_small(df, max_rows):
         return F.broadcast(df), True
     return df, False

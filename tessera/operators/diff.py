@@ -5,12 +5,20 @@ absent from ``previous`` (action 1), every ``current`` row whose key is present
 but whose fingerprint differs (action 2, current values) and every ``previous``
 row whose key is absent from ``current`` (action 3, old values).
 
-The reference runs three statements (anti join, inner join, anti join).  One
-full outer join on the key gives exactly those three sets: a row that matches
-nothing comes out null-padded on the other side (so NULL keys, which never
-match, land in both 1 and 3, as in the reference), and matched pairs are the
-inner join (duplicate keys pair up the same way).  So the diff costs one
-shuffle of each side instead of three joins.
+The reference runs three statements (anti join, inner join, anti join).  Here
+both generations are tagged and counted together::
+
+    prints   = count per (key, fingerprint) of current and of previous rows
+    keys     = sum of these per key
+    changed  = the (key, fingerprint) pairs whose rows are in the feed, and how often
+
+A current row is new when its key has no previous row, and else comes out once
+for each previous row of its key with another fingerprint: a number, so no pair
+is ever built.  The counted rows are four hashes wide (128 bits of key, 128 of
+fingerprint) and both counts are partial aggregations, so a key that holds a
+third of the rows is a few rows per task; the wide rows join the changed pairs,
+one row each, and stay where they are when these are few.  Rows with a NULL in
+the key match nothing: they are new, or deleted, as in the reference.
 
 String key columns are compared with trailing blanks removed (the T-SQL ``=``
 rule); the tenant is compared as is.
@@ -20,12 +28,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import fingerprint_changed, form, tenant_key
+from tessera.functions.exprs import collated_key, concat_text, form, tenant_key
 from tessera.operators.broadcast import broadcast_if_small
 from tessera.operators.merge import DELETE, INSERT, UPDATE, MergeResult, clock
+from tessera.operators.staged import written_once
 from tessera.plans.specs import TENANT
 
 SLOT_COLUMNS = (
@@ -44,8 +53,17 @@ SLOT_ARCHIVE_COLUMNS = SLOT_COLUMNS[:10]
 _STRING_KEYS = ("PmsLocationId", "PmsProviderId")
 
 
-def _key_expr(c: str):
-    return F.rtrim(F.col(c)) if c in _STRING_KEYS else tenant_key(c) if c == TENANT else F.col(c)
+def _key_expr(c: str, collation: str | None = None) -> Column:
+    return collated_key(F.rtrim(F.col(c)), collation) if c in _STRING_KEYS else tenant_key(c) if c == TENANT else F.col(c)
+
+
+def _hashes(name: str, values: list[Column]) -> list[Column]:
+    """128 bits over the values, in order, a NULL being a value of its own."""
+    values = [*values, *[v.isNull() for v in values]]
+    return [F.xxhash64(*values).alias(f"{name}1"), F.xxhash64(F.lit(name), *values).alias(f"{name}2")]
+
+
+_KEY, _PRINT = ["_k1", "_k2"], ["_f1", "_f2"]
 
 
 def snapshot_diff(
@@ -55,37 +73,48 @@ def snapshot_diff(
     compare: tuple[str, ...] = SLOT_FINGERPRINT,
     columns: tuple[str, ...] = SLOT_COLUMNS,
     mode: str = "collapse",
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Insert / modify / delete feed between two snapshot generations."""
-    cur = current.select(
-        *[F.col(c).alias("c__" + c) for c in columns],
-        *[_key_expr(c).alias(f"_k{i}") for i, c in enumerate(key)],
-        F.lit(True).alias("_cur"),
-    )
-    prev = previous.select(
-        *[F.col(c).alias("p__" + c) for c in columns],
-        *[_key_expr(c).alias(f"_q{i}") for i, c in enumerate(key)],
-        F.lit(True).alias("_prev"),
-    )
-    cond = [F.col(f"_k{i}") == F.col(f"_q{i}") for i in range(len(key))]
-    j = cur.join(prev, cond, "full_outer")
-    items = [[(form("ttext", F.col("c__" + c)), form("ttext", F.col("p__" + c))) for c in compare]]
-    in_cur, in_prev = F.col("_cur").isNotNull(), F.col("_prev").isNotNull()
-    action = (
-        F.when(in_cur & ~in_prev, F.lit(INSERT))
-        .when(in_cur & in_prev & fingerprint_changed(items, mode), F.lit(UPDATE))
-        .when(~in_cur & in_prev, F.lit(DELETE))
+    keyed = [_key_expr(c, key_collation) for c in key]
+    texts = [form("ttext", F.col(c)) for c in compare]
+    if mode not in ("collapse", "null_safe"):
+        raise ValueError(f"unknown fingerprint mode {mode!r}")
+    prints = [concat_text(texts)] if mode == "collapse" else texts
+    null_key = F.greatest(*[k.isNull() for k in keyed])
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.select(*columns, null_key.alias("_null"), *_hashes("_k", keyed), *_hashes("_f", prints))
+
+    cur, prev = marked(current), marked(previous)
+
+    def counted(df: DataFrame, side: int) -> DataFrame:
+        one = [F.lit(int(side == n)).cast("long").alias(c) for n, c in enumerate(("_c", "_p"))]
+        return df.filter(~F.col("_null")).select(*_KEY, *_PRINT, *one)
+
+    both = counted(cur, 0).unionByName(counted(prev, 1))
+    by_print = both.groupBy(*_KEY, *_PRINT).agg(F.sum("_c").alias("_c"), F.sum("_p").alias("_p"))
+    by_key = by_print.groupBy(*_KEY).agg(F.sum("_c").alias("_cs"), F.sum("_p").alias("_ps"), F.count(F.lit(1)).alias("_n"))
+    # A key of one fingerprint on both sides is unchanged; that is nearly every key.
+    open_keys = by_key.filter((F.col("_cs") == 0) | (F.col("_ps") == 0) | (F.col("_n") > 1))
+    times = F.when(F.col("_ps") == 0, 1).otherwise(F.col("_ps") - F.col("_p")).cast("int")
+    changed = by_print.join(open_keys, _KEY).select(
+        *_KEY,
+        *_PRINT,
+        (F.col("_ps") == 0).alias("_new"),
+        F.when(F.col("_c") > 0, times).otherwise(0).alias("_times"),
+        ((F.col("_p") > 0) & (F.col("_cs") == 0)).alias("_gone"),
     )
+    changed = written_once(changed.filter((F.col("_times") > 0) | F.col("_gone")), "diff")
+
+    come = cur.filter(~F.col("_null")).join(changed.filter("_times > 0"), [*_KEY, *_PRINT])
+    action = F.when(F.col("_new"), F.lit(INSERT)).otherwise(F.lit(UPDATE))
+    come = come.select(*columns, F.explode(F.array_repeat(action, F.col("_times"))).alias("ActionPerformed"))
+    gone = prev.filter(~F.col("_null")).join(changed.filter("_gone"), [*_KEY, *_PRINT], "left_semi")
     return (
-        j.withColumn("ActionPerformed", action)
-        .filter(F.col("ActionPerformed").isNotNull())
-        .select(
-            *[
-                F.when(F.col("ActionPerformed") == DELETE, F.col("p__" + c)).otherwise(F.col("c__" + c)).alias(c)
-                for c in columns
-            ],
-            "ActionPerformed",
-        )
+        come.unionByName(cur.filter("_null").select(*columns, F.lit(INSERT).alias("ActionPerformed")))
+        .unionByName(gone.select(*columns, F.lit(DELETE).alias("ActionPerformed")))
+        .unionByName(prev.filter("_null").select(*columns, F.lit(DELETE).alias("ActionPerformed")))
     )
 
 

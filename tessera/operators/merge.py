@@ -3,48 +3,61 @@
 Every batch row gets an action: 1 (insert: no target row), 2 (update:
 fingerprint changed) or 0 (unchanged).  One target row may be updated by at
 most one batch row (``raise_error`` otherwise, the MERGE rule), and a target
-row hit by several batch rows is kept once.  Two plan shapes, chosen by one
-row count of the batch:
+row hit by several batch rows is kept once.
 
-First the batch ``S`` is collapsed to ``S1``: one row per (tenant, key,
-distinct change fingerprint) with its multiplicity (a partial aggregation), so
-a key that holds a third of the batch never forms one large group.
+First the batch ``S`` is collapsed to ``K``, one row per (tenant, key): how many
+distinct change fingerprints it has, and two of them with their multiplicity and
+a row each.  That is all a target row needs: rows with equal fingerprints act
+alike, so of three distinct ones two at least update it.  Both aggregations are
+partial, so a key that holds a third of the batch never forms one large group;
+and since a target row meets one row of ``K``, action and MERGE rule are
+expressions on the joined row - no window, no row number, nothing that has to
+stay together.  Two plan shapes, chosen by one size check of the batch:
 
 Small batch (under the broadcast bound) - the target is never shuffled::
 
-    matched   = S1  JOIN  (T  SEMI JOIN  broadcast(keys S))  + action + per-row window
+    matched   = (T  SEMI JOIN  broadcast(keys S))  JOIN  K  + action
     inserts   = S  ANTI JOIN  keys(matched targets)
     snapshot  = (T  ANTI JOIN  broadcast(keys S))  UNION ALL  project(matched)  UNION ALL  project(inserts)
     delta     = project(matched where action = 2)  UNION ALL  project(inserts)
 
 Large batch - the target's rows are shuffled once, its key columns twice::
 
-    J         = T  LEFT JOIN  S1       on (tenant, key); + action + per-row window
-                (J keeps T's hash partitioning, so the window adds only a sort)
-    M         = T  INNER JOIN  S1, likewise
-    inserts   = S  ANTI JOIN  keys(T)
-    snapshot  = project(J, one row per target row)  UNION ALL  project(inserts)
-    delta     = project(M where action = 2)  UNION ALL  project(inserts)
+    whole     = T  LEFT JOIN  K   on (tenant, key) + action
+    matched   = T  INNER JOIN  K, likewise
+    inserts   = S  ANTI JOIN  distinct keys(T)
+    snapshot  = project(whole)  UNION ALL  project(inserts)
+    delta     = project(matched where action = 2)  UNION ALL  project(inserts)
 
 The tenant never partitions alone: the business key is always in the join key,
-so one huge tenant spreads over all partitions.  One hot business key is not
-split in the large shape: the per-row window rides on the join's partitioning.
+so one huge tenant spreads over all partitions.  A hot business key of the
+target is found by a sketch of the target's keys; its rows are dealt by a salt
+and its row of ``K`` is copied for every salt.
+
+``settle=True`` writes the matched and inserted rows (as many as the batch hits)
+once and projects snapshot and delta from them: for callers that need both.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import concat_text, differs, fingerprint_changed, form, norm_key, tenant_key
-from tessera.operators.broadcast import row_count_at_most
+from tessera.functions.exprs import collated_key, concat_text, differs, fingerprint_changed, form, norm_key, tenant_key
+from tessera.operators.broadcast import keys_are_small
+from tessera.operators.staged import written_once
 from tessera.plans.specs import DeltaField, Field, MergeSpec
 
 S, T = "s__", "t__"
 INSERT, UPDATE, UNCHANGED, DELETE = 1, 2, 0, 3
+#: Keys that the sketch reports as the most frequent, and keys that it tracks.
+HOT_KEYS, TRACKED_KEYS = 1_000, 100_000
+#: Salts per shuffle partition's share of the rows: the more, the more evenly they fall.
+SALTS_PER_SHARE = 8
 
 
 @dataclass
@@ -52,6 +65,7 @@ class MergeResult:
     snapshot: DataFrame
     delta: DataFrame
     classified: DataFrame
+    conflicts: DataFrame | None = None
 
 
 def clock(as_of: dt.datetime | None) -> Column:
@@ -71,8 +85,8 @@ class _Sides:
     ``UTF8_LCASE_RTRIM``: case and trailing blanks do not count).
     """
 
-    def __init__(self, source: DataFrame, target: DataFrame, collation=None, time_resolution=None):
-        self._s = {c.lower(): S + c for c in source.columns}
+    def __init__(self, source: DataFrame, target: DataFrame, collation=None, time_resolution=None, inside: str = ""):
+        self._s = {c.lower(): inside + S + c for c in source.columns}
         self._t = {c.lower(): T + c for c in target.columns}
         self._ts = {f.name.lower(): f.dataType.typeName() for f in source.schema.fields}
         self._tt = {f.name.lower(): f.dataType.typeName() for f in target.schema.fields}
@@ -154,6 +168,33 @@ def _delta_value(
     return x.fs(d.rule, d.source)
 
 
+def hot_keys(keys: DataFrame, partitions: int) -> DataFrame | None:
+    """``_h, _copies``: keys with more than a shuffle partition's share of the rows, and into how many salts to deal them.
+
+    One pass over ``_i, _k`` with a sketch per task; None when no key is hot.  At
+    most HOT_KEYS rows, so the result may be broadcast.
+    """
+    found = keys.select(F.xxhash64("_i", "_k").alias("_h")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(_h, {HOT_KEYS}, {TRACKED_KEYS})").alias("top")
+    )
+    row = found.first()
+    share = row["n"] / partitions
+    hot = [(r[0], math.ceil(SALTS_PER_SHARE * r[1] / share)) for r in row["top"] or [] if r[1] > share / 2 and r[1] > 1]
+    return keys.sparkSession.createDataFrame(hot, "_h long, _copies int") if hot else None
+
+
+def _salted(df: DataFrame, hot: DataFrame | None, copy: bool) -> DataFrame:
+    """``df`` with ``_salt``: a hot key's rows dealt over its salts, or copied for each of them."""
+    if hot is None:
+        return df.withColumn("_salt", F.lit(0))
+    h = df.withColumn("_h", F.xxhash64("_i", "_k")).join(F.broadcast(hot), "_h", "left")
+    if copy:
+        salts = F.when(F.col("_copies").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_copies") - 1))
+        return h.withColumn("_salt", F.explode(salts)).drop("_h", "_copies")
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_copies")).cast("int")
+    return h.withColumn("_salt", F.coalesce(dealt, F.lit(0))).drop("_h", "_copies")
+
+
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -165,85 +206,63 @@ def merge(
     max_broadcast_rows: int | None = None,
     collation: str | None = None,
     time_resolution: str | None = None,
+    key_collation: str | None = None,
+    settle: bool = False,
+    split_hot_keys: bool | None = None,
+    on_conflict: str = "raise",
 ) -> MergeResult:
-    """Merge a staged batch into a snapshot; return new snapshot, delta and the classified pairs.
+    """Merge a staged batch into a snapshot; return new snapshot, delta and the classified rows.
 
     ``mode`` picks the fingerprint comparison: ``collapse`` (reference-faithful
     NULL handling) or ``null_safe`` (every operand compared on its own).
-    ``batch_small`` is the caller's bounded row count of the batch (taken on the
-    raw input, before staging); when ``None`` the staged keys are counted here.
+    ``batch_small`` is the caller's size check of the batch (taken on the raw
+    input, before staging); when ``None`` the staged keys are measured here.
     ``batch_keys`` is the raw batch before staging: staging keeps every input row
     and its key, so its keys are the staged keys, without re-running the lookups
     for the target probe and the anti join.
     ``collation`` / ``time_resolution`` change what counts as a change (see
-    ``_Sides``); the default compares full values exactly.
+    ``_Sides``), ``key_collation`` which keys are equal; the default compares
+    full values exactly.
+    ``settle`` writes matched and inserted rows once (see above).
+    ``split_hot_keys``: look for hot keys of the target; by default in the
+    large shape, where the target is shuffled.
+    ``on_conflict``: a target row that several batch rows would update fails the
+    call (``"raise"``), or stays as it is (``"report"``); ``conflicts`` lists the batch
+    rows of all such keys either way.
     """
+    if on_conflict not in ("raise", "report"):
+        raise ValueError(f"unknown conflict rule {on_conflict!r}")
     now = clock(as_of)
     tenant = spec.tenant
     x = _Sides(source, target, collation, time_resolution)
     tschema = {f.name.lower(): f.dataType for f in target.schema.fields}
 
+    def key_of(column: str) -> Column:
+        return collated_key(norm_key(F.col(column), spec.key_mode), key_collation)
+
     s = source.select(
         *[F.col(c).alias(S + c) for c in source.columns],
         tenant_key(tenant).alias("_i"),
-        norm_key(F.col(spec.source_key), spec.key_mode).alias("_k"),
+        key_of(spec.source_key).alias("_k"),
         F.lit(True).alias("_s"),
     )
     t = target.select(
         *[F.col(c).alias(T + c) for c in target.columns],
         tenant_key(tenant).alias("_i"),
-        norm_key(F.col(spec.key), spec.key_mode).alias("_k"),
+        key_of(spec.key).alias("_k"),
         F.lit(True).alias("_t"),
     )
-    # Row identity for the MERGE rule: stored keys may repeat ('7', '7 ', or
-    # exact duplicates), so the key alone cannot tell two target rows apart.
-    # Only the joins that feed the per-row window carry it (a non-deterministic
-    # column blocks filter pushdown, so the other target scans stay without it).
-    t_ided = t.withColumn("_tid", F.monotonically_increasing_id())
-
     if batch_keys is not None:
-        keys = batch_keys.select(
-            tenant_key(tenant).alias("_i"), norm_key(F.col(spec.source_key), spec.key_mode).alias("_k")
-        )
+        keys = batch_keys.select(tenant_key(tenant).alias("_i"), key_of(spec.source_key).alias("_k"))
     else:
         keys = s.select("_i", "_k")
-    small = batch_small if batch_small is not None else row_count_at_most(keys, max_broadcast_rows)
-
-    in_s, in_t = F.col("_s").isNotNull(), F.col("_t").isNotNull()
-    items = [[(x.cmp_s(c, f), x.cmp_t(c, f)) for c, f in item] for item in spec.fingerprint]
-    action = (
-        F.when(~in_t, F.lit(INSERT))
-        .when(~in_s, F.lit(None).cast("int"))  # target row no batch row touches
-        .when(fingerprint_changed(items, mode), F.lit(UPDATE))
-        .otherwise(F.lit(UNCHANGED))
-    )
-    act = F.col("_action")
-
-    def one_update_per_row(df: DataFrame) -> DataFrame:
-        """Per matched target row: fail on two updating batch rows, number the matches."""
-        # Both functions share one partitioning and order: one Window operator, one sort.
-        row = Window.partitionBy("_i", "_k", "_tid").orderBy(act.desc())
-        whole = row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return (
-            df.withColumn("_n_upd", F.sum(F.when(act == UPDATE, F.col("_mult")).otherwise(0)).over(whole))
-            .withColumn("_rn", F.row_number().over(row))
-            .filter(
-                F.when(
-                    F.col("_n_upd") > 1,
-                    F.raise_error(
-                        F.concat(
-                            F.lit(f"{spec.entity}: several source rows update one target row, key="),
-                            F.coalesce(x.t(spec.key).cast("string"), F.lit("NULL")),
-                        )
-                    ),
-                ).otherwise(F.lit(True))
-            )
-        )
+    small = batch_small if batch_small is not None else keys_are_small(keys, max_broadcast_rows)
 
     def typed(name: str, c: Column) -> Column:
         return c.cast(tschema[name.lower()]).alias(name)
 
     # Each projection is built once and applied to every branch that needs it.
+    act = F.col("_action")
     is_insert, is_update = act == INSERT, act == UPDATE
     snapshot_cols = [
         typed(
@@ -263,55 +282,105 @@ def merge(
     def delta_rows(df: DataFrame) -> DataFrame:
         return df.filter(is_change).select(*delta_cols)
 
-    # The batch collapsed to one row per (key, distinct change fingerprint) with
-    # its multiplicity: rows with equal fingerprints act alike against any target
-    # row (all no-ops, or several updates = the MERGE error), so the per-target-row
-    # window sees a handful of rows even when one key holds a third of the batch,
-    # and the aggregate is partial on the map side.  Inserts use the raw batch.
+    # K: the batch collapsed to one row per distinct change fingerprint with its
+    # multiplicity, then to one row per key with two of these (they differ when
+    # there are two).  Inserts use the raw batch.
     if mode == "collapse":
         fp = [concat_text([x.cmp_s(c, f) for c, f in item]) for item in spec.fingerprint]
     else:
         fp = [x.cmp_s(c, f) for item in spec.fingerprint for c, f in item]
     payload = [c for c in s.columns if c not in ("_i", "_k")]
-    s_one = (
-        s.groupBy("_i", "_k", *[e.alias(f"_f{n}") for n, e in enumerate(fp)])
-        .agg(F.count(F.lit(1)).alias("_mult"), F.first(F.struct(*payload)).alias("_row"))
-        .select("_i", "_k", "_mult", "_row.*")
+    matchable = s.filter(F.col("_i").isNotNull() & F.col("_k").isNotNull())
+    by_print = matchable.groupBy("_i", "_k", *[e.alias(f"_f{n}") for n, e in enumerate(fp)]).agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.first(F.struct(*payload)).alias("row")).alias("_c")
+    )
+    k = by_print.groupBy("_i", "_k").agg(
+        F.count(F.lit(1)).alias("_prints"), F.first("_c").alias("_c1"), F.last("_c").alias("_c2")
     )
 
+    # Classified: a target row beside the one batch row that may update it.
+    sides = [_Sides(source, target, collation, time_resolution, inside=f"_c{n}.row.") for n in (1, 2)]
+    prints, in_k = F.col("_prints"), F.col("_prints").isNotNull()
+    changed = [
+        fingerprint_changed([[(y.cmp_s(c, f), x.cmp_t(c, f)) for c, f in item] for item in spec.fingerprint], mode)
+        for y in sides
+    ]
+    second = (prints > 1) & F.col("_ch2")
+    updates = (
+        F.when(F.col("_ch1"), F.col("_c1.n")).otherwise(0)
+        + F.when(second, F.col("_c2.n")).otherwise(0)
+        + F.when(prints > 2, F.lit(2)).otherwise(0)
+    )
+
+    def classified_rows(joined: DataFrame) -> DataFrame:
+        tested = joined.withColumns({"_ch1": changed[0], "_ch2": F.when(prints > 1, changed[1]).otherwise(F.lit(False))})
+        counted = tested.withColumn("_n_upd", F.when(in_k, updates))
+        action = F.when(in_k, F.when(F.col("_n_upd") > 0, F.lit(UPDATE)).otherwise(F.lit(UNCHANGED)))
+        row = F.when(second & ~F.col("_ch1"), F.col("_c2.row")).otherwise(F.col("_c1.row"))
+        kept = [c for c in joined.columns if c not in ("_c1", "_c2", "_prints", "_salt")]
+        return counted.select(*kept, "_n_upd", action.alias("_action"), row.alias("_row")).select(
+            *kept, "_n_upd", "_action", "_row.*"
+        )
+
+    def ruled(df: DataFrame) -> DataFrame:
+        """The MERGE rule on classified rows."""
+        if on_conflict == "report":
+            return df.withColumn("_action", F.when(F.col("_n_upd") > 1, F.lit(UNCHANGED)).otherwise(act))
+        several = F.concat(
+            F.lit(f"{spec.entity}: several source rows update one target row, key="),
+            F.coalesce(x.t(spec.key).cast("string"), F.lit("NULL")),
+        )
+        return df.filter(F.when(F.col("_n_upd") > 1, F.raise_error(several)).otherwise(F.lit(True)))
+
     def with_null_target(df: DataFrame) -> DataFrame:
         return df.select(
             "*",
             *[F.lit(None).cast(f.dataType).alias(T + f.name) for f in target.schema.fields],
             F.lit(None).cast("boolean").alias("_t"),
-            F.lit(None).cast("long").alias("_tid"),
-            F.lit(1).cast("long").alias("_mult"),
+            F.lit(0).cast("long").alias("_n_upd"),
             F.lit(INSERT).alias("_action"),
         )
 
     if small:
         # Batch keys broadcast: the target is scanned and probed, never shuffled.
-        kb = F.broadcast(keys)
-        t_probe = t_ided.join(kb, ["_i", "_k"], "left_semi")
-        classified = one_update_per_row(s_one.join(t_probe, ["_i", "_k"], "inner").withColumn("_action", action))
-        untouched = t.join(kb, ["_i", "_k"], "left_anti").select(
-            *[x.t(f.name).alias(f.name) for f in spec.fields]
-        )
-        inserts = with_null_target(s.join(t_probe.select("_i", "_k"), ["_i", "_k"], "left_anti"))
-        snapshot = (
-            untouched.unionByName(snapshot_rows(classified.filter(F.col("_rn") == 1)))
-            .unionByName(snapshot_rows(inserts))
-        )
+        kb = F.broadcast(keys.distinct())
+        probed = t.join(kb, ["_i", "_k"], "left_semi")
+        present = probed.select("_i", "_k")
+        rest = t.join(kb, ["_i", "_k"], "left_anti")
+    else:
+        probed, present, rest = t, t.select("_i", "_k").distinct(), None
+    split = not small if split_hot_keys is None else split_hot_keys
+    hot = hot_keys(probed.select("_i", "_k"), _shuffle_partitions(target)) if split else None
+    on = ["_i", "_k"] if hot is None else ["_i", "_k", "_salt"]
+    probed, k = (probed, k) if hot is None else (_salted(probed, hot, copy=False), _salted(k, hot, copy=True))
+    pairs = classified_rows(probed.join(k, on, "inner"))
+    inserts = with_null_target(s.join(present, ["_i", "_k"], "left_anti"))
+    matched = ruled(pairs)
+    if settle:
+        settled = written_once(matched.unionByName(inserts), "settled")
+        matched, inserts = settled.filter(act != INSERT), settled.filter(act == INSERT)
+    if small or settle:
+        if rest is None:
+            rest = probed.join(k.select(*on), on, "left_anti")
+        untouched = rest.select(*[x.t(f.name).alias(f.name) for f in spec.fields])
+        snapshot = untouched.unionByName(snapshot_rows(matched))
     else:
-        # The pairs, and with them the change feed, come from an inner join: target
-        # rows that no batch row touches are neither sorted nor carried.  Only the
-        # snapshot needs them: T LEFT JOIN S keeps the target's hash partitioning,
-        # so its per-row window adds a local sort and no exchange.  New keys come
-        # from S ANTI JOIN keys(T), the target's two key columns.
-        classified = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "inner").withColumn("_action", action))
-        inserts = with_null_target(s.join(t.select("_i", "_k"), ["_i", "_k"], "left_anti"))
-        whole = one_update_per_row(t_ided.join(s_one, ["_i", "_k"], "left").withColumn("_action", action))
-        snapshot = snapshot_rows(whole.filter(F.col("_rn") == 1)).unionByName(snapshot_rows(inserts))
-    delta = delta_rows(classified).unionByName(delta_rows(inserts))
-    classified = classified.unionByName(inserts, allowMissingColumns=True)
-    return MergeResult(snapshot=snapshot, delta=delta, classified=classified)
+        # Target rows that no batch row touches come from the same join, from its left side.
+        snapshot = snapshot_rows(ruled(classified_rows(probed.join(k, on, "left"))))
+    snapshot = snapshot.unionByName(snapshot_rows(inserts))
+    delta = delta_rows(matched).unionByName(delta_rows(inserts))
+    classified = matched.unionByName(inserts, allowMissingColumns=True)
+    return MergeResult(snapshot, delta, classified, _conflicts(pairs, s, source))
+
+
+def _conflicts(pairs: DataFrame, s: DataFrame, source: DataFrame) -> DataFrame:
+    """The batch rows of every key with a target row that several of them would update.
+
+    Columns: the batch's own, and ``n_targets``, how many target rows they leave undecided.
+    """
+    undecided = pairs.filter(F.col("_n_upd") > 1).groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("n_targets"))
+    return s.join(undecided, ["_i", "_k"]).select(*[F.col(S + c).alias(c) for c in source.columns], "n_targets")
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

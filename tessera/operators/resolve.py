@@ -27,7 +27,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import norm_key, tenant_key
+from tessera.functions.exprs import collated_key, norm_key, tenant_key
 from tessera.plans.specs import TENANT
 
 _seq = itertools.count()
@@ -42,6 +42,7 @@ def lookup(
     key_mode: str = "trim",
     tenant: str = TENANT,
     probe: DataFrame | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Left-join ``dim`` on ``(tenant, key_mode(df[on]) = key_mode(dim[dim_key]))``.
 
@@ -52,13 +53,16 @@ def lookup(
     li, lk = f"_l{n}_i", f"_l{n}_k"
     d = dim.select(
         tenant_key(tenant).alias(li),
-        norm_key(F.col(dim_key), key_mode).alias(lk),
+        collated_key(norm_key(F.col(dim_key), key_mode), key_collation).alias(lk),
         *[F.col(c).alias(alias) for c, alias in take.items()],
     )
     if probe is not None:
-        keys = probe.select(tenant_key(tenant).alias(li), norm_key(F.col(on), key_mode).alias(lk))
-        d = d.join(F.broadcast(keys), [li, lk], "left_semi")
-    cond = (tenant_key(tenant) == F.col(li)) & (norm_key(F.col(on), key_mode) == F.col(lk))
+        keys = probe.select(
+            tenant_key(tenant).alias(li), collated_key(norm_key(F.col(on), key_mode), key_collation).alias(lk)
+        )
+        d = d.join(F.broadcast(keys.distinct()), [li, lk], "left_semi")
+    key = collated_key(norm_key(F.col(on), key_mode), key_collation)
+    cond = (tenant_key(tenant) == F.col(li)) & (key == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 
 
@@ -71,6 +75,7 @@ def scalar_lookup(
     dim_value: str,
     out: str,
     tenant: str = TENANT,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Add ``out`` (the matching ``dim_value``) and ``out + '_n'`` (how many dim rows match).
 
@@ -80,9 +85,9 @@ def scalar_lookup(
     """
     n = next(_seq)
     li, lk = f"_s{n}_i", f"_s{n}_k"
-    d = dim.select(tenant_key(tenant).alias(li), F.trim(F.col(dim_match)).alias(lk), F.col(dim_value).alias(out))
+    d = dim.select(tenant_key(tenant).alias(li), collated_key(F.trim(F.col(dim_match)), key_collation).alias(lk), F.col(dim_value).alias(out))
     d = d.groupBy(li, lk).agg(F.count(F.lit(1)).alias(out + "_n"), F.min(out).alias(out))
-    cond = (tenant_key(tenant) == F.col(li)) & (F.trim(on) == F.col(lk))
+    cond = (tenant_key(tenant) == F.col(li)) & (collated_key(F.trim(on), key_collation) == F.col(lk))
     return df.join(d, cond, "left").drop(li, lk)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.merge import clock
-from tessera.functions.exprs import tenant_key
+from tessera.functions.exprs import collated_key, tenant_key
 from tessera.plans.specs import TENANT
 
 # The literals the reference compares trimmed columns with.
@@ -30,7 +30,9 @@ CONTACT_LENSES = "Contact Lenses"
 EXAM = "Exam"
 
 
-def patient_facts(staged: DataFrame, lens: bool = True, exam: bool = True) -> DataFrame:
+def patient_facts(
+    staged: DataFrame, lens: bool = True, exam: bool = True, key_collation: str | None = None
+) -> DataFrame:
     """One row per ``(_i, _k)`` patient: ``_lens`` flag and ``_exam`` latest exam date."""
     aggs = []
     if lens:
@@ -51,7 +53,7 @@ def patient_facts(staged: DataFrame, lens: bool = True, exam: bool = True) -> Da
         wanted = e if wanted is None else (wanted | e)
     return (
         staged.filter(wanted & F.col("PmsPatientId").isNotNull())
-        .groupBy(tenant_key(TENANT).alias("_i"), F.trim(F.col("PmsPatientId")).alias("_k"))
+        .groupBy(tenant_key(TENANT).alias("_i"), collated_key(F.trim(F.col("PmsPatientId")), key_collation).alias("_k"))
         .agg(*aggs)
     )
 
@@ -61,6 +63,7 @@ def apply_patient_facts(
     facts: DataFrame,
     as_of: dt.datetime | None = None,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Patient snapshot after the rollups (same columns, same row count).
 
@@ -70,7 +73,7 @@ def apply_patient_facts(
     """
     now = clock(as_of)
     f = F.broadcast(facts) if batch_small else facts
-    p = patient.withColumn("_i", tenant_key(TENANT)).withColumn("_k", F.trim(F.col("PmsPatientId")))
+    p = patient.withColumn("_i", tenant_key(TENANT)).withColumn("_k", collated_key(F.trim(F.col("PmsPatientId")), key_collation))
     j = p.join(f, ["_i", "_k"], "left")
     lens = F.coalesce(F.col("_lens"), F.lit(False))
     advance = F.coalesce(F.col("_exam") > F.col("LastVisitOrExamDate"), F.lit(False))

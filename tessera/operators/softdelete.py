@@ -19,8 +19,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import tenant_key
-from tessera.operators.broadcast import row_count_at_most
+from tessera.functions.exprs import collated_key, tenant_key
+from tessera.operators.broadcast import keys_are_small
 from tessera.operators.merge import DELETE, MergeResult, clock
 from tessera.plans.specs import SoftDeleteSpec
 
@@ -32,19 +32,23 @@ def mark_deleted(
     as_of: dt.datetime | None = None,
     id_col: str = "PmsId",
     max_broadcast_rows: int | None = None,
+    key_collation: str | None = None,
 ) -> MergeResult:
     now = clock(as_of)
     tenant = spec.tenant
-    t = target.withColumn("_i", tenant_key(tenant)).withColumn("_k", F.trim(F.col(spec.key)))
+    t = target.withColumn("_i", tenant_key(tenant)).withColumn("_k", collated_key(F.trim(F.col(spec.key)), key_collation))
     t = t.withColumn("_own", F.col(spec.key).cast("string"))
-    keys = ids.select(F.col(tenant).alias("_t"), tenant_key(tenant).alias("_i"), F.trim(F.col(id_col)).alias("_k"))
-    small = row_count_at_most(ids, max_broadcast_rows)
+    given = F.trim(F.col(id_col))
+    keys = ids.select(
+        F.col(tenant).alias("_t"), tenant_key(tenant).alias("_i"), collated_key(given, key_collation).alias("_k"), given.alias("_g")
+    )
+    small = keys_are_small(keys.select("_i", "_k", "_t", "_g"), max_broadcast_rows)
 
     # The id list counted per key (a partial aggregation: an id listed a million
     # times is one row per map task before the shuffle).  One left join with it
     # marks the hit rows: broadcast when the id list is under the bound (the
     # target is scanned, not shuffled), else one sort-merge join.
-    counted = keys.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"))
+    counted = keys.groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t"), F.min("_g").alias("_g"))
     counted = F.broadcast(counted) if small else counted
     # The MERGE rule holds in both outputs: a target row hit by two id rows fails the call.
     # (The message names the target's own key, so that the check stays above the
@@ -68,7 +72,7 @@ def mark_deleted(
     classified = t.select("_i", "_k", "_own").join(counted, ["_i", "_k"], "inner").filter(hit)
     delta = classified.select(
         F.col("_t").alias(tenant),
-        F.col("_k").alias(spec.delta_key),
+        F.col("_g").alias(spec.delta_key),
         now.alias("UtcCreatedDate"),
         F.lit(DELETE).alias("ActionPerformed"),
     )

@@ -20,6 +20,7 @@ from tessera.plans import staging_sql as stg
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import sinks
 from tessera.sources.tables import oracle_with, register_fixtures
+from tessera.streaming.microbatch import upsert_batch_with_patients
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 0, 0)
 AS_OF_SQL = oracle.AS_OF_SQL
@@ -376,8 +377,135 @@ def _published_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_snapshot(spark, path)
 
 
+def _published_purge_swept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left on the disk after a purge and a sweep: every file under the table's data folder."""
+    path = _published_path(spark, "visits")
+    visits = _views(spark, sf_dir)("visit_all")
+    sinks.create_snapshot(spark, visits, path, key=F.trim(F.col("PmsVisitId")), buckets=4)
+    sinks.publish_purge(spark, path, PURGE_TENANT, 0)
+    sinks.sweep(spark, path, keep=1)
+    return spark.read.schema(visits.schema).option("recursiveFileLookup", "true").parquet(f"{path}/data")
+
+
+def _published_in_two(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The slots after two delete batches; the feed has their rows in two commits."""
+    v = _views(spark, sf_dir)
+    path = _published_path(spark, "slots")
+    sinks.create_snapshot(spark, v("slot_all"), path)
+    odd = F.col("Length") % 2 == 1
+    for batch_id, ids in enumerate((v("slot_ids").filter(odd), v("slot_ids").filter(~F.coalesce(odd, F.lit(False))))):
+
+        def change(slots: DataFrame, ids: DataFrame = ids) -> tuple[DataFrame, DataFrame]:
+            r = entities.availability_slot_mark_deleted(slots, ids, AS_OF)
+            return r.snapshot, r.delta
+
+        sinks.publish(spark, path, batch_id, ids, change, f"{path}-delta")
+    return path, f"{path}-delta"
+
+
+def _published_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole change feed of two published batches, one scan."""
+    return sinks.read_delta(spark, *_published_in_two(spark, sf_dir)).drop("batch_id", "run_id")
+
+
+def _resumed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed as a consumer sees that read up to the first batch, and later on from there."""
+    path, feed = _published_in_two(spark, sf_dir)
+    seen = sinks.latest_commit(spark, path) - 1
+    first, rest = sinks.read_feed(spark, path, feed, upto=seen), sinks.read_feed(spark, path, feed, after=seen)
+    return first.withColumn("reading", F.lit(1)).unionByName(rest.withColumn("reading", F.lit(2))).drop("batch_id", "run_id")
+
+
+def _published_with_patients(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the two tables after visits were published with their patients in one commit."""
+    v = _views(spark, sf_dir)
+    path = _published_path(spark, "practice")
+    sinks.create_snapshot(spark, v("visit"), path, key=F.trim(F.col("PmsVisitId")), buckets=2, name="visit")
+    sinks.create_snapshot(spark, v("patient"), path, key=F.trim(F.col("PmsPatientId")), buckets=2, name="patient")
+
+    def merged(visits: DataFrame, batch: DataFrame, patients: DataFrame, clock: dt.datetime):
+        return entities.visit_upsert(visits, batch, v("location"), v("provider"), patients, clock, settle=True)
+
+    upsert_batch_with_patients(
+        spark, v("visit_in"), 0, merged, path, "visit", f"{path}-delta", AS_OF,
+        key=F.trim(F.col("PmsVisitId")), buckets=2, patient_buckets=2,
+    )
+    return sinks.read_snapshot(spark, path, name=name)
+
+
 _register("published_slot_delete_snapshot", _published_slot_delete, _ORACLE["slot_mark_deleted_snapshot"])
 _register("published_purge_kept", _published_purge, _KEPT_SQL)
+_register("published_purge_swept", _published_purge_swept, _KEPT_SQL)
+_register("published_feed_delta", _published_feed, _ORACLE["slot_mark_deleted_delta"])
+_register(
+    "published_feed_resumed", _resumed_feed,
+    f"{_sd}\nSELECT s.PmsInstanceId, trim(s.PmsLocationId) AS PmsLocationId, trim(s.PmsProviderId) AS PmsProviderId, "
+    f"s.StartDateTime, s.Length, s.SwimLanes, {AS_OF_SQL} AS UtcCreatedDate, 3 AS ActionPerformed, "
+    f"CASE WHEN s.Length % 2 = 1 THEN 1 ELSE 2 END AS reading FROM slot_all s JOIN slot_ids d ON {_SLOT_ID_KEY}",
+)
+_register(
+    "published_visit_patient", lambda spark, sf_dir: _published_with_patients(spark, sf_dir, "patient"), _ORACLE["visit_patient_rollup"]
+)
+_register(
+    "published_visit_snapshot", lambda spark, sf_dir: _published_with_patients(spark, sf_dir, "visit"), _ORACLE["visit_upsert_snapshot"]
+)
+
+
+# ------------------------------------------------------------------ ambiguous batches
+
+
+def _conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch rows of every key that several rows of the batch would update in one target row."""
+    v = _views(spark, sf_dir)
+    batch = v("resource_in")
+    again = batch.filter(F.length(F.trim("ResourceName")) % 2 == 0)
+    again = again.withColumn("ResourceName", F.concat(F.trim("ResourceName"), F.lit("!")))
+    result = entities.resource_upsert(v("resource"), batch.unionByName(again), as_of=AS_OF, on_conflict="report")
+    return result.conflicts
+
+
+_register(
+    "merge_conflicts", _conflicts,
+    f"""{oracle_with("resource", "resource_in")},
+b AS (SELECT * FROM resource_in UNION ALL
+      SELECT * REPLACE (trim(ResourceName) || '!' AS ResourceName) FROM resource_in WHERE length(trim(ResourceName)) % 2 = 0),
+u AS (SELECT lower(t.PmsInstanceId) AS i, trim(t.PmsResourceId) AS k,
+      (SELECT count(*) FROM b WHERE lower(b.PmsInstanceId) = lower(t.PmsInstanceId)
+       AND trim(b.PmsResourceId) = trim(t.PmsResourceId) AND trim(b.ResourceName) IS DISTINCT FROM trim(t.ResourceName)) AS n
+      FROM resource t)
+SELECT b.*, g.n_targets FROM b JOIN (SELECT i, k, count(*) AS n_targets FROM u WHERE n > 1 GROUP BY i, k) g
+ON lower(b.PmsInstanceId) = g.i AND trim(b.PmsResourceId) = g.k""",
+)
+
+
+# ------------------------------------------------------------------ match keys under a collation
+
+
+def _mixed_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appointment reasons matched by name without letter case; every other name of the batch is in capitals."""
+    v = _views(spark, sf_dir)
+    odd = F.length(F.trim("ReasonName")) % 2 == 1
+    batch = v("appointment_reason_in").withColumn("ReasonName", F.when(odd, F.upper("ReasonName")).otherwise(F.lower("ReasonName")))
+    result = entities.appointment_reason_upsert(
+        v("appointment_reason"), batch, match_by="name", as_of=AS_OF, key_collation="UTF8_LCASE_RTRIM"
+    )
+    return result.delta
+
+
+_register(
+    "mixed_case_name_upsert_delta", _mixed_case_names,
+    f"""{oracle_with("appointment_reason", "appointment_reason_in")},
+b AS (SELECT * REPLACE (CASE WHEN length(trim(ReasonName)) % 2 = 1 THEN upper(ReasonName) ELSE lower(ReasonName) END AS ReasonName)
+      FROM appointment_reason_in),
+j AS (SELECT b.PmsInstanceId, trim(b.PmsReasonId) AS PmsReasonId,
+      CASE WHEN t.PmsInstanceId IS NULL THEN 1
+           WHEN trim(b.PmsReasonId) || trim(b.ReasonName) IS DISTINCT FROM trim(t.PmsReasonId) || trim(t.ReasonName) THEN 2
+      END AS ActionPerformed
+      FROM b LEFT JOIN appointment_reason t
+      ON lower(t.PmsInstanceId) = lower(b.PmsInstanceId) AND lower(trim(t.ReasonName)) = lower(trim(b.ReasonName)))
+SELECT PmsInstanceId, PmsReasonId, {AS_OF_SQL} AS UtcCreatedDate, ActionPerformed FROM j
+WHERE ActionPerformed IS NOT NULL""",
+)
 
 
 # ------------------------------------------------------------------ tenant ids in mixed letter case

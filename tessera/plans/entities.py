@@ -10,7 +10,8 @@ updates and the change feed.
 Table arguments are snapshot DataFrames (``location``, ``provider``, ...); the
 input batch is ``inp``.  ``as_of`` is the call's clock, ``mode`` the fingerprint
 comparison; ``options`` go to :func:`tessera.operators.merge.merge`
-(``collation``, ``time_resolution``, ``max_broadcast_rows``).
+(``collation``, ``time_resolution``, ``max_broadcast_rows``, ``key_collation``, ``settle``,
+``split_hot_keys``, ``on_conflict``).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import is_blank
 from tessera.operators.diff import slot_mark_deleted, snapshot_diff
-from tessera.operators.broadcast import row_count_at_most
+from tessera.operators.broadcast import keys_are_small
 from tessera.operators.merge import MergeResult, merge
 from tessera.operators.purge import PurgeResult, purge_tenant
 from tessera.operators.resolve import lookup, one_row, scalar_lookup
@@ -39,8 +40,9 @@ I = TENANT
 
 
 def batch_is_small(inp: DataFrame, known: bool | None = None, max_rows: int | None = None) -> bool:
-    """One bounded row count of the raw batch per call decides the plan shape."""
-    return known if known is not None else row_count_at_most(inp, max_rows)
+    """One size check of the raw batch per call (rows, and bytes of its ids) decides the plan shape."""
+    ids = [c for c in inp.columns if c.startswith("Pms") and c.endswith("Id")]
+    return known if known is not None else keys_are_small(inp, max_rows, ids)
 
 
 def stage_appointment_block(
@@ -49,12 +51,13 @@ def stage_appointment_block(
     provider: DataFrame,
     resource: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Three trimmed lookups; unresolved references become ``'0'``."""
     del batch_small  # no lookup into a table that grows with the data
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
-    df = lookup(df, resource, "PmsResourceId", "PmsResourceId", {"PmsResourceId": "_res"})
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_collation=key_collation)
+    df = lookup(df, resource, "PmsResourceId", "PmsResourceId", {"PmsResourceId": "_res"}, key_collation=key_collation)
     return df.select(
         I, "PmsAppointmentId",
         F.coalesce("_loc", F.lit("0")).alias("PmsLocationId"),
@@ -71,6 +74,7 @@ def stage_appointment(
     patient: DataFrame,
     reason: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Trimmed lookups (default ``'0'``), raw resource id, reason by id when given else by name.
 
@@ -78,13 +82,13 @@ def stage_appointment(
     left out (it could only duplicate rows).
     """
     small = batch_is_small(inp, batch_small)
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_collation=key_collation)
     df = lookup(
-        df, patient, "PmsPatientId", "PmsPatientId", {"PmsPatientId": "_pat"}, probe=inp if small else None
+        df, patient, "PmsPatientId", "PmsPatientId", {"PmsPatientId": "_pat"}, probe=inp if small else None, key_collation=key_collation
     )
-    df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsReasonId", "_rsn")
-    df = scalar_lookup(df, reason, F.col("PmsReasonId"), "PmsReasonId", "PmsReasonId", "_rsi")
+    df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsReasonId", "_rsn", key_collation=key_collation)
+    df = scalar_lookup(df, reason, F.col("PmsReasonId"), "PmsReasonId", "PmsReasonId", "_rsi", key_collation=key_collation)
     reason_id = F.when(is_blank(F.col("PmsReasonId")), one_row("_rsn", "reason by name")).otherwise(
         one_row("_rsi", "reason by id")
     )
@@ -110,15 +114,16 @@ def stage_patient(
     provider: DataFrame,
     insurer: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Raw-key lookups for location/provider (default ``'0'``), three insurers by id
     when given else by name, ``Deleted`` forced to 0."""
     del batch_small  # no lookup into a table that grows with the data
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim", key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim", key_collation=key_collation)
     for slot in _INSURER_SLOTS:
-        df = scalar_lookup(df, insurer, F.col(f"InsurerName{slot}"), "InsurerName", "PmsInsurerId", f"_in{slot}")
-        df = scalar_lookup(df, insurer, F.col(f"InsurerID{slot}"), "PmsInsurerId", "PmsInsurerId", f"_ii{slot}")
+        df = scalar_lookup(df, insurer, F.col(f"InsurerName{slot}"), "InsurerName", "PmsInsurerId", f"_in{slot}", key_collation=key_collation)
+        df = scalar_lookup(df, insurer, F.col(f"InsurerID{slot}"), "PmsInsurerId", "PmsInsurerId", f"_ii{slot}", key_collation=key_collation)
     out = []
     for c in (I, "PmsPatientId", *specs.PATIENT_COLUMNS):
         if c == "PmsLocationId":
@@ -152,17 +157,19 @@ def stage_product_pickup(
     provider: DataFrame,
     patient: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Raw-key lookups; blank location/provider fall back to the patient's; patient id
     is the stored one (NULL when unknown)."""
     small = batch_is_small(inp, batch_small)
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim")
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim")
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_mode="rtrim", key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_mode="rtrim", key_collation=key_collation)
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
         key_mode="rtrim",
         probe=inp if small else None,
+        key_collation=key_collation,
     )
     return df.select(
         I, "PmsOrderId",
@@ -182,18 +189,20 @@ def stage_recall(
     patient: DataFrame,
     reason: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Trimmed lookups with patient fallback; recall reason by id when given else by name."""
     small = batch_is_small(inp, batch_small)
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_collation=key_collation)
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
         probe=inp if small else None,
+        key_collation=key_collation,
     )
-    df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsRecallReasonId", "_rsn")
-    df = scalar_lookup(df, reason, F.col("PmsRecallReasonId"), "PmsRecallReasonId", "PmsRecallReasonId", "_rsi")
+    df = scalar_lookup(df, reason, F.col("ReasonName"), "ReasonName", "PmsRecallReasonId", "_rsn", key_collation=key_collation)
+    df = scalar_lookup(df, reason, F.col("PmsRecallReasonId"), "PmsRecallReasonId", "PmsRecallReasonId", "_rsi", key_collation=key_collation)
     reason_id = F.when(is_blank(F.col("PmsRecallReasonId")), one_row("_rsn", "recall reason by name")).otherwise(
         one_row("_rsi", "recall reason by id")
     )
@@ -214,15 +223,17 @@ def stage_visit(
     provider: DataFrame,
     patient: DataFrame,
     batch_small: bool | None = None,
+    key_collation: str | None = None,
 ) -> DataFrame:
     """Trimmed lookups with untrimmed patient fallback.  Feeds the rollups only."""
     small = batch_is_small(inp, batch_small)
-    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"})
-    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"})
+    df = lookup(inp, location, "PmsLocationId", "PmsLocationId", {"PmsLocationId": "_loc"}, key_collation=key_collation)
+    df = lookup(df, provider, "PmsProviderId", "PmsProviderId", {"PmsProviderId": "_prov"}, key_collation=key_collation)
     df = lookup(
         df, patient, "PmsPatientId", "PmsPatientId",
         {"PmsPatientId": "_pat", "PmsLocationId": "_pat_loc", "PmsProviderId": "_pat_prov"},
         probe=inp if small else None,
+        key_collation=key_collation,
     )
     return df.select(
         I, "PmsVisitId",
@@ -266,7 +277,7 @@ def recall_reason_upsert(reason, inp, match_by="id", as_of=None, mode="collapse"
 def _staged_merge(target, inp, stage, dims, spec, as_of, mode, options) -> tuple[MergeResult, DataFrame, bool]:
     """Count the raw batch once, stage it once, merge it."""
     small = batch_is_small(inp, max_rows=options.get("max_broadcast_rows"))
-    staged = written_once(stage(inp, *dims, small), "staged")
+    staged = written_once(stage(inp, *dims, small, options.get("key_collation")), "staged")
     result = merge(target, staged, spec, as_of, mode, batch_small=small, batch_keys=inp, **options)
     return result, staged, small
 
@@ -294,8 +305,9 @@ def product_pickup_upsert(pickup, inp, location, provider, patient, as_of=None,
     result, staged, small = _staged_merge(
         pickup, inp, stage_product_pickup, dims, specs.PRODUCT_PICKUP, as_of, mode, options
     )
-    facts = patient_facts(staged, lens=True, exam=False)
-    return result, apply_patient_facts(patient, facts, as_of, batch_small=small)
+    same = options.get("key_collation")
+    facts = patient_facts(staged, lens=True, exam=False, key_collation=same)
+    return result, apply_patient_facts(patient, facts, as_of, batch_small=small, key_collation=same)
 
 
 def recall_upsert(
@@ -314,20 +326,24 @@ def visit_upsert(
     reference does (``use_staged=True`` merges the resolved rows instead).
     """
     small = batch_is_small(inp, max_rows=options.get("max_broadcast_rows"))
-    staged = written_once(stage_visit(inp, location, provider, patient, small), "staged")
-    patient_after = apply_patient_facts(patient, patient_facts(staged), as_of, batch_small=small)
+    same = options.get("key_collation")
+    staged = stage_visit(inp, location, provider, patient, small, same)
+    if use_staged:  # else the patients alone read it, once
+        staged = written_once(staged, "staged")
+    facts = patient_facts(staged, key_collation=same)
+    patient_after = apply_patient_facts(patient, facts, as_of, batch_small=small, key_collation=same)
     rows = staged if use_staged else inp
     result = merge(visit, rows, specs.VISIT, as_of, mode, batch_small=small, batch_keys=inp, **options)
     return result, patient_after
 
 
-def soft_delete(entity: str, target, ids, as_of=None) -> MergeResult:
+def soft_delete(entity: str, target, ids, as_of=None, **options) -> MergeResult:
     """``sp_<Entity>MarkDeleted`` for the seven entities that have one."""
-    return mark_deleted(target, ids, specs.SOFT_DELETES[entity], as_of)
+    return mark_deleted(target, ids, specs.SOFT_DELETES[entity], as_of, **options)
 
 
-def availability_slot_compare(current, previous, mode="collapse") -> DataFrame:
-    return snapshot_diff(current, previous, mode=mode)
+def availability_slot_compare(current, previous, mode="collapse", **options) -> DataFrame:
+    return snapshot_diff(current, previous, mode=mode, **options)
 
 
 def availability_slot_mark_deleted(slots, ids, as_of=None) -> MergeResult:

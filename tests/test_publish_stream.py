@@ -180,19 +180,19 @@ def test_small_batch_reads_only_the_touched_partitions(spark, sf_dir):
 
 
 def test_visit_batch_publishes_the_patients_too(spark, sf_dir):
-    snap, delta, pats = _paths("visit", "delta", "patient")
+    path, delta = _paths("practice", "delta")
     v = lambda n: fixture(spark, sf_dir, n)
-    create_snapshot(spark, v("visit"), snap)
-    create_snapshot(spark, v("patient"), pats)
+    create_snapshot(spark, v("visit"), path, name="visit")
+    create_snapshot(spark, v("patient"), path, name="patient")
 
     def merge(visit, batch, patient, clock):
         return entities.visit_upsert(visit, batch, v("location"), v("provider"), patient, as_of=AS_OF)
 
     result, after = merge(v("visit"), v("visit_in"), v("patient"), AS_OF)
-    assert upsert_batch_with_patients(spark, v("visit_in"), 0, merge, snap, delta, pats)
-    assert not upsert_batch_with_patients(spark, v("visit_in"), 0, merge, snap, delta, pats)
-    assert rows(read_snapshot(spark, snap), *result.snapshot.columns) == rows(result.snapshot)
-    assert rows(read_snapshot(spark, pats), *after.columns) == rows(after)
+    assert upsert_batch_with_patients(spark, v("visit_in"), 0, merge, path, "visit", delta)
+    assert not upsert_batch_with_patients(spark, v("visit_in"), 0, merge, path, "visit", delta)
+    assert rows(read_snapshot(spark, path, name="visit"), *result.snapshot.columns) == rows(result.snapshot)
+    assert rows(read_snapshot(spark, path, name="patient"), *after.columns) == rows(after)
 
 
 def test_purge_of_the_other_letter_case(spark):
