@@ -8,16 +8,16 @@ row whose key is absent from ``current`` (action 3, old values).
 The reference runs three statements (anti join, inner join, anti join).  Here
 both generations are tagged and counted together::
 
-    prints   = count per (key, fingerprint) of current and of previous rows
-    keys     = sum of these per key
-    changed  = the (key, fingerprint) pairs whose rows are in the feed, and how often
+    keys     = per key: rows on either side, lowest and highest fingerprint of either side
+    open     = the keys whose two sides are not one and the same fingerprint
 
 A current row is new when its key has no previous row, and else comes out once
 for each previous row of its key with another fingerprint: a number, so no pair
-is ever built.  The counted rows are four hashes wide (128 bits of key, 128 of
-fingerprint) and both counts are partial aggregations, so a key that holds a
-third of the rows is a few rows per task; the wide rows join the changed pairs,
-one row each, and stay where they are when these are few.  Rows with a NULL in
+is ever built.  It follows from the open key, unless previous rows of the key
+differ among themselves; these are counted per fingerprint.  The counted rows are
+hashes (128 bits of key, 128 of fingerprint) and the counts partial aggregations,
+so a key that holds a third of the rows is a row per task; the wide rows join the
+open keys, one row each, and stay where they are when these are few.  Rows with a NULL in
 the key match nothing: they are new, or deleted, as in the reference.
 
 String key columns are compared with trailing blanks removed (the T-SQL ``=``
@@ -74,6 +74,7 @@ def snapshot_diff(
     columns: tuple[str, ...] = SLOT_COLUMNS,
     mode: str = "collapse",
     key_collation: str | None = None,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Insert / modify / delete feed between two snapshot generations."""
     keyed = [_key_expr(c, key_collation) for c in key]
@@ -93,24 +94,34 @@ def snapshot_diff(
         return df.filter(~F.col("_null")).select(*_KEY, *_PRINT, *one)
 
     both = counted(cur, 0).unionByName(counted(prev, 1))
-    by_print = both.groupBy(*_KEY, *_PRINT).agg(F.sum("_c").alias("_c"), F.sum("_p").alias("_p"))
-    by_key = by_print.groupBy(*_KEY).agg(F.sum("_c").alias("_cs"), F.sum("_p").alias("_ps"), F.count(F.lit(1)).alias("_n"))
+    ends = [f(F.when(side > 0, F.col(c))).alias(f"{s}{c}{n}") for s, side in (("_c", F.col("_c")), ("_p", F.col("_p")))
+            for c in _PRINT for n, f in (("a", F.min), ("z", F.max))]
+    by_key = both.groupBy(*_KEY).agg(F.sum("_c").alias("_cs"), F.sum("_p").alias("_ps"), *ends)
+
+    def one(side: str) -> Column:
+        return (F.col(f"{side}_f1a") == F.col(f"{side}_f1z")) & (F.col(f"{side}_f2a") == F.col(f"{side}_f2z"))
+
     # A key of one fingerprint on both sides is unchanged; that is nearly every key.
-    open_keys = by_key.filter((F.col("_cs") == 0) | (F.col("_ps") == 0) | (F.col("_n") > 1))
-    times = F.when(F.col("_ps") == 0, 1).otherwise(F.col("_ps") - F.col("_p")).cast("int")
-    changed = by_print.join(open_keys, _KEY).select(
-        *_KEY,
-        *_PRINT,
-        (F.col("_ps") == 0).alias("_new"),
-        F.when(F.col("_c") > 0, times).otherwise(0).alias("_times"),
-        ((F.col("_p") > 0) & (F.col("_cs") == 0)).alias("_gone"),
+    unchanged = one("_c") & one("_p") & (F.col("_c_f1a") == F.col("_p_f1a")) & (F.col("_c_f2a") == F.col("_p_f2a"))
+    open_keys = by_key.filter(~F.coalesce(unchanged, F.lit(False))).select(
+        *_KEY, "_cs", "_ps", F.col("_p_f1a").alias("_q1"), F.col("_p_f2a").alias("_q2"), (~one("_p")).alias("_mixed")
     )
-    changed = written_once(changed.filter((F.col("_times") > 0) | F.col("_gone")), "diff")
-
-    come = cur.filter(~F.col("_null")).join(changed.filter("_times > 0"), [*_KEY, *_PRINT])
-    action = F.when(F.col("_new"), F.lit(INSERT)).otherwise(F.lit(UPDATE))
-    come = come.select(*columns, F.explode(F.array_repeat(action, F.col("_times"))).alias("ActionPerformed"))
-    gone = prev.filter(~F.col("_null")).join(changed.filter("_gone"), [*_KEY, *_PRINT], "left_semi")
+    open_keys = written_once(open_keys, "diff")
+    hot = open_keys.filter("_mixed AND _cs > 0")
+    keys, _ = broadcast_if_small(open_keys.filter("_cs > 0"), max_broadcast_rows)
+    lost, _ = broadcast_if_small(open_keys.filter("_cs = 0").select(*_KEY), max_broadcast_rows)
+
+    come = cur.filter(~F.col("_null")).join(keys, _KEY)
+    # The key's previous rows with another fingerprint: all or none, unless these have several.
+    other = F.when((F.col("_f1") == F.col("_q1")) & (F.col("_f2") == F.col("_q2")), 0).otherwise(F.col("_ps"))
+    if not hot.isEmpty():
+        same = counted(prev, 1).join(hot.select(*_KEY), _KEY).groupBy(*_KEY, *_PRINT).agg(F.count(F.lit(1)).alias("_same"))
+        come = come.join(same, [*_KEY, *_PRINT], "left")
+        other = F.when(F.col("_mixed"), F.col("_ps") - F.coalesce("_same", F.lit(0))).otherwise(other)
+    times = F.when(F.col("_ps") == 0, 1).otherwise(other).cast("int")
+    action = F.when(F.col("_ps") == 0, F.lit(INSERT)).otherwise(F.lit(UPDATE))
+    come = come.select(*columns, F.explode(F.array_repeat(action, times)).alias("ActionPerformed"))
+    gone = prev.filter(~F.col("_null")).join(lost, _KEY, "left_semi")
     return (
         come.unionByName(cur.filter("_null").select(*columns, F.lit(INSERT).alias("ActionPerformed")))
         .unionByName(gone.select(*columns, F.lit(DELETE).alias("ActionPerformed")))

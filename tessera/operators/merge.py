@@ -48,6 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import collated_key, concat_text, differs, fingerprint_changed, form, norm_key, tenant_key
+from tessera.operators import prepared, replay
 from tessera.operators.broadcast import keys_are_small
 from tessera.operators.staged import written_once
 from tessera.plans.specs import DeltaField, Field, MergeSpec
@@ -66,6 +67,7 @@ class MergeResult:
     delta: DataFrame
     classified: DataFrame
     conflicts: DataFrame | None = None
+    changes: DataFrame | None = None
 
 
 def clock(as_of: dt.datetime | None) -> Column:
@@ -210,6 +212,9 @@ def merge(
     settle: bool = False,
     split_hot_keys: bool | None = None,
     on_conflict: str = "raise",
+    stored_print: bool = False,
+    stored_keys: bool = False,
+    changed_columns: bool = False,
 ) -> MergeResult:
     """Merge a staged batch into a snapshot; return new snapshot, delta and the classified rows.
 
@@ -229,11 +234,21 @@ def merge(
     ``on_conflict``: a target row that several batch rows would update fails the
     call (``"raise"``), or stays as it is (``"report"``); ``conflicts`` lists the batch
     rows of all such keys either way.
+    ``stored_print`` / ``stored_keys``: the target carries its row fingerprint or its
+    match keys (:mod:`tessera.operators.prepared`), and so does the new snapshot.
+    With a stored print the match reads keys and print alone, and only batch rows
+    whose key is new or changed meet the wide rows.
+    ``changed_columns``: also return ``changes``, a feed that can be replayed
+    (:mod:`tessera.operators.replay`).
     """
     if on_conflict not in ("raise", "report"):
         raise ValueError(f"unknown conflict rule {on_conflict!r}")
     now = clock(as_of)
     tenant = spec.tenant
+    if stored_print:
+        same = dict(collation=collation, time_resolution=time_resolution)
+        source = prepared.changed_rows(target, source, spec, mode, stored_keys, key_collation, **same)
+        batch_small, batch_keys = None, None  # what is left of the batch decides
     x = _Sides(source, target, collation, time_resolution)
     tschema = {f.name.lower(): f.dataType for f in target.schema.fields}
 
@@ -248,8 +263,7 @@ def merge(
     )
     t = target.select(
         *[F.col(c).alias(T + c) for c in target.columns],
-        tenant_key(tenant).alias("_i"),
-        key_of(spec.key).alias("_k"),
+        *prepared.match_keys(spec, key_of, stored_keys),
         F.lit(True).alias("_t"),
     )
     if batch_keys is not None:
@@ -276,8 +290,20 @@ def merge(
     delta_cols = [_delta_value(d, x, now, act, is_insert, is_update).alias(d.name) for d in spec.delta]
     is_change = act.isin(INSERT, UPDATE)
 
+    # Columns that the snapshot carries besides the entity's own.
+    carried = [prepared.PRINT] * stored_print + list(prepared.KEYS) * stored_keys
+    keep = [x.t(c).alias(c) for c in carried]
+
     def snapshot_rows(df: DataFrame) -> DataFrame:
-        return df.select(*snapshot_cols)
+        if not carried:
+            return df.select(*snapshot_cols)
+        keys_now = [F.col(c).alias(name) for c, name in zip(("_i", "_k"), prepared.KEYS, strict=True)] * stored_keys
+        prints = [x.t(prepared.PRINT).alias(prepared.PRINT)] * stored_print
+        out = df.select(*snapshot_cols, *prints, *keys_now, is_change.alias("_new"))
+        if stored_print:
+            fresh = prepared.row_print(out, spec, mode, time_resolution)
+            out = out.withColumn(prepared.PRINT, F.when(F.col("_new"), fresh).otherwise(F.col(prepared.PRINT)))
+        return out.drop("_new")
 
     def delta_rows(df: DataFrame) -> DataFrame:
         return df.filter(is_change).select(*delta_cols)
@@ -362,7 +388,7 @@ def merge(
     if small or settle:
         if rest is None:
             rest = probed.join(k.select(*on), on, "left_anti")
-        untouched = rest.select(*[x.t(f.name).alias(f.name) for f in spec.fields])
+        untouched = rest.select(*[x.t(f.name).alias(f.name) for f in spec.fields], *keep)
         snapshot = untouched.unionByName(snapshot_rows(matched))
     else:
         # Target rows that no batch row touches come from the same join, from its left side.
@@ -370,7 +396,11 @@ def merge(
     snapshot = snapshot.unionByName(snapshot_rows(inserts))
     delta = delta_rows(matched).unionByName(delta_rows(inserts))
     classified = matched.unionByName(inserts, allowMissingColumns=True)
-    return MergeResult(snapshot, delta, classified, _conflicts(pairs, s, source))
+    changes = None
+    if changed_columns:
+        both = matched.unionByName(inserts, allowMissingColumns=True).filter(is_change)
+        changes = replay.changes_of(both, spec, snapshot_cols, {f.name: x.t(f.name) for f in spec.fields}, act)
+    return MergeResult(snapshot, delta, classified, _conflicts(pairs, s, source), changes)
 
 
 def _conflicts(pairs: DataFrame, s: DataFrame, source: DataFrame) -> DataFrame:

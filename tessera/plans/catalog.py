@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import prepared, replay
 from tessera.operators.diff import SLOT_ARCHIVE_COLUMNS, SLOT_COLUMNS
 from tessera.plans import entities, oracle, specs
 from tessera.plans import staging_sql as stg
@@ -451,6 +452,52 @@ _register(
 )
 
 
+# ------------------------------------------------------------------ replayed feeds, prepared targets
+
+
+def _replayed(entity: str) -> QueryFn:
+    """The old snapshot brought up to date by the feeds of two batches, and by nothing else."""
+
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v = _views(spark, sf_dir)
+        upsert, spec, target = _FACT[entity]
+        _, inp, *dims = _STAGE_ARGS[entity]
+        half = F.pmod(F.xxhash64(F.trim(spec.key)), F.lit(2))
+        state, feed = v(target), None
+        for order in (0, 1):
+            batch = v(inp).filter(half == order)
+            r = upsert(state, batch, *[v(d) for d in dims], as_of=AS_OF, settle=True, changed_columns=True)
+            changes = r.changes.withColumn(replay.ORDER, F.lit(order))
+            feed = changes if feed is None else feed.unionByName(changes)
+            state = r.snapshot
+        return replay.replay(v(target), feed, spec)
+
+    return fn
+
+
+for _e in ("appointment", "patient"):
+    _register(f"{_e}_feed_replayed", _replayed(_e), _ORACLE[f"{_e}_upsert_snapshot"])
+
+
+def _prepared(entity: str, kind: str, mode: str) -> QueryFn:
+    """The upsert against a target with stored match keys and print: narrow match, then the changed rows."""
+
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        v = _views(spark, sf_dir)
+        upsert, spec, target = _FACT[entity]
+        _, inp, *dims = _STAGE_ARGS[entity]
+        ready = prepared.prepare(v(target), spec, mode)
+        r = upsert(ready, v(inp), *[v(d) for d in dims], as_of=AS_OF, mode=mode, stored_print=True, stored_keys=True)
+        return r.snapshot.drop(prepared.PRINT, *prepared.KEYS) if kind == "snapshot" else r.delta
+
+    return fn
+
+
+for _e, _kind, _mode in (("appointment", "delta", "collapse"), ("patient", "snapshot", "collapse"), ("patient", "delta", "null_safe")):
+    _suffix = "" if _mode == "collapse" else f"_{_mode}"
+    _register(f"{_e}_prepared_{_kind}{_suffix}", _prepared(_e, _kind, _mode), _ORACLE[f"{_e}_upsert{_suffix}_{_kind}"])
+
+
 # ------------------------------------------------------------------ ambiguous batches
 
 

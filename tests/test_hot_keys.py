@@ -1,0 +1,194 @@
+"""Keys that hold a large part of the rows: how they are split, and that the results do not change."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.operators import merge as merging
+from tessera.operators.diff import SLOT_COLUMNS, snapshot_diff
+from tessera.operators.merge import hot_keys, merge
+from tessera.plans import entities, specs
+from tests.util import AS_OF, rows
+
+RES = "PmsInstanceId string, PmsResourceId string, ResourceName string, UtcCreatedDate timestamp, UtcLastModifiedDate timestamp"
+BATCH = "PmsInstanceId string, PmsResourceId string, ResourceName string"
+
+
+def _half_on_one_key(spark, n=40_000):
+    """A target of which half is stored under one key, and a batch that hits it and others."""
+    hot = F.col("id") % 2 == 0
+    target = spark.range(n).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, "AB").otherwise("ab").alias("PmsInstanceId"),
+        F.when(hot, F.lit("7")).otherwise(F.col("id").cast("string")).alias("PmsResourceId"),
+        F.when(F.col("id") % 4 == 0, "same").otherwise(F.concat(F.lit("r"), "id")).alias("ResourceName"),
+        F.lit(AS_OF).alias("UtcCreatedDate"), F.lit(AS_OF).alias("UtcLastModifiedDate"),
+    )
+    batch = spark.range(0, n, 5).select(
+        F.lit("Ab").alias("PmsInstanceId"), F.concat(F.lit(" "), F.col("id").cast("string")).alias("PmsResourceId"), F.lit("new").alias("ResourceName")
+    )
+    batch = batch.unionByName(spark.createDataFrame([("AB", "7", "same"), (None, "7", "x"), ("AB", None, "y")], BATCH))
+    return target, batch
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("settle", [True, False])
+def test_a_hot_key_changes_no_result(spark, small, settle):
+    target, batch = _half_on_one_key(spark, 6_000)
+    plain = merge(target, batch, specs.RESOURCE, AS_OF, batch_small=True, split_hot_keys=False)
+    split = merge(target, batch, specs.RESOURCE, AS_OF, batch_small=small, split_hot_keys=True, settle=settle)
+    assert rows(split.snapshot) == rows(plain.snapshot)
+    assert rows(split.delta) == rows(plain.delta)
+    assert plain.snapshot.filter("PmsResourceId = '7' AND ResourceName = 'same'").count() == 3001  # and the row of id 7
+
+
+def test_the_sketch_finds_the_hot_key_and_no_other(spark):
+    target, _ = _half_on_one_key(spark)
+    keys = target.select(F.lower("PmsInstanceId").alias("_i"), F.trim("PmsResourceId").alias("_k"))
+    found = hot_keys(keys, 64)
+    want = spark.createDataFrame([("ab", "7")], "_i string, _k string").select(F.xxhash64("_i", "_k").alias("h")).first()["h"]
+    assert [r["_h"] for r in found.collect()] == [want]
+    assert found.first()["_copies"] >= 64 * merging.SALTS_PER_SHARE // 2 - 1
+    assert hot_keys(keys.filter("_k <> '7'"), 64) is None
+    assert hot_keys(keys.limit(0), 64) is None
+
+
+def test_no_task_of_the_match_has_twice_the_median(spark):
+    """Rows of the salted target per shuffle partition, dealt as the join deals them."""
+    target, _ = _half_on_one_key(spark)
+    keyed = target.select("*", F.lower("PmsInstanceId").alias("_i"), F.trim("PmsResourceId").alias("_k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for hot, limit in ((None, None), (hot_keys(keyed, 16), 2.0)):
+            dealt = merging._salted(keyed, hot, copy=False).repartition(16, "_i", "_k", "_salt")
+            sizes = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+            largest = sizes[-1] / sizes[len(sizes) // 2]
+            assert largest <= limit if limit else largest > 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_the_merge_has_no_window_and_settles_once(spark):
+    target, batch = _half_on_one_key(spark, 3_000)
+    for small in (True, False):
+        for settle in (True, False):
+            r = merge(target, batch, specs.RESOURCE, AS_OF, batch_small=small, settle=settle)
+            for df in (r.snapshot, r.delta):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert "Window" not in plan
+            if settle:  # the feed is read from the settled rows: no join is left in it
+                assert "Join" not in plan
+
+
+@pytest.mark.parametrize("bound", [100, 0])
+def test_conflicts_are_listed_and_raise_by_default(spark, bound):
+    target = spark.createDataFrame(
+        [(t, i, n, AS_OF, AS_OF) for t, i, n in [("T", "1", "a"), ("T", "2", "b"), ("T", "3", "c"), ("T", "3 ", "z"), ("U", "1", "a")]], RES
+    )
+    batch = spark.createDataFrame(
+        [("T", "1", "x"), ("T", " 1", "y"), ("T", "1", "a"), ("T", "2", "b"), ("T", "2", "n"), ("T", "3", "c"), ("T", "3", "z"),
+         ("T", "3", "q"), ("U", "1", "a"), ("U", "1", "a"), ("T", "9", "new"), ("T", "9", "newer")], BATCH,
+    )
+    quiet = entities.resource_upsert(target, batch, as_of=AS_OF, max_broadcast_rows=bound, on_conflict="report")
+    assert rows(quiet.conflicts, "PmsInstanceId", "PmsResourceId", "ResourceName", "n_targets") == [
+        ("T", " 1", "y", 1), ("T", "1", "a", 1), ("T", "1", "x", 1), ("T", "3", "c", 2), ("T", "3", "q", 2), ("T", "3", "z", 2),
+    ]
+    assert rows(quiet.snapshot, "PmsInstanceId", "PmsResourceId", "ResourceName") == [
+        ("T", "1", "a"), ("T", "2", "n"), ("T", "3", "c"), ("T", "3 ", "z"), ("T", "9", "new"), ("T", "9", "newer"), ("U", "1", "a"),
+    ]
+    assert rows(quiet.delta, "PmsResourceId", "ActionPerformed") == [("2", 2), ("9", 1), ("9", 1)]
+    loud = entities.resource_upsert(target, batch, as_of=AS_OF, max_broadcast_rows=bound)
+    for df in (loud.snapshot, loud.delta):
+        with pytest.raises(Exception, match="several source rows update one target row"):
+            df.collect()
+    with pytest.raises(ValueError):
+        merge(target, batch, specs.RESOURCE, AS_OF, on_conflict="ignore")
+
+
+def test_a_conflict_of_hot_sides_lists_rows_not_pairs(spark):
+    """A key in half of the target and half of the batch: as many conflict rows as batch rows."""
+    target, _ = _half_on_one_key(spark, 2_000)
+    batch = spark.range(1000).select(F.lit("ab").alias("PmsInstanceId"), F.lit("7").alias("PmsResourceId"), F.col("id").cast("string").alias("ResourceName"))
+    r = merge(target, batch, specs.RESOURCE, AS_OF, on_conflict="report", split_hot_keys=True)
+    found = r.conflicts.agg(F.count("*"), F.min("n_targets"), F.max("n_targets")).first()
+    assert tuple(found) == (1000, 1001, 1001)  # the row of id 7 too
+
+
+def test_names_match_without_letter_case(spark):
+    target = spark.createDataFrame([("T", "1", "Eye Exam"), ("T", "2", "eye"), ("T", "3", "Recall ")], "PmsInstanceId string, PmsReasonId string, ReasonName string")
+    target = target.withColumns({"UtcCreatedDate": F.lit(AS_OF), "UtcLastModifiedDate": F.lit(AS_OF)})
+    batch = spark.createDataFrame([("t", "9", "EYE EXAM"), ("T", "3", "recall"), ("T", "5", "Other")], "PmsInstanceId string, PmsReasonId string, ReasonName string")
+    options = dict(match_by="name", as_of=AS_OF)
+    for bound in (100, 0):
+        r = entities.appointment_reason_upsert(target, batch, key_collation="UTF8_LCASE_RTRIM", max_broadcast_rows=bound, **options)
+        assert rows(r.delta, "PmsReasonId", "ActionPerformed") == [("3", 2), ("5", 1), ("9", 2)]
+        assert r.snapshot.count() == 4
+    exact = entities.appointment_reason_upsert(target, batch, **options)
+    assert exact.snapshot.count() == 6
+    with pytest.raises(ValueError, match="match keys"):
+        entities.appointment_reason_upsert(target, batch, key_collation="DE_CI", **options)
+    ids = spark.createDataFrame([("t", "v1 ")], "PmsInstanceId string, PmsId string")
+    visits = spark.createDataFrame([("T", "V1", 0, AS_OF)], "PmsInstanceId string, PmsVisitId string, Deleted int, UtcLastModifiedDate timestamp")
+    r = entities.soft_delete("visit", visits, ids, AS_OF, key_collation="UTF8_LCASE")
+    assert rows(r.snapshot, "Deleted") == [(1,)] and rows(r.delta, "PmsVisitId") == [("v1",)]
+    assert rows(entities.soft_delete("visit", visits, ids, AS_OF).snapshot, "Deleted") == [(0,)]
+
+
+# ------------------------------------------------------------------ slot diff
+
+
+SLOT = (
+    "PmsInstanceId string, PmsLocationId string, PmsProviderId string, PmsResourceId string, PmsAltLocationId string, "
+    "StartDateTime timestamp, Length int, SlotType string, SwimLanes int, SlotInfo string, PmsCreatedDate timestamp, "
+    "PmsLastModifiedDate timestamp, UtcCreatedDate timestamp, UtcLastModifiedDate timestamp"
+)
+
+
+def _slot(tenant, loc, length, info, resource="r"):
+    return (tenant, loc, "p", resource, "a", AS_OF, length, "t", 1, info, AS_OF, AS_OF, AS_OF, AS_OF)
+
+
+def _three_statements(cur, prev):
+    """The reference's way on Python rows: two anti joins and an inner join of all pairs."""
+
+    def key(r):
+        k = (None if r[0] is None else r[0].lower(), r[1] and r[1].rstrip(" "), r[2] and r[2].rstrip(" "), r[5], r[6], r[8])
+        return None if None in k else k
+
+    def fp(r):
+        parts = [r[n] for n in (1, 2, 3, 4, 5, 6, 7, 8, 9)]
+        return None if None in parts else "".join(str(p).strip(" ") for p in parts)
+
+    out = [(*c, 1) for c in cur if key(c) is None or key(c) not in {key(p) for p in prev}]
+    out += [(*c, 2) for c in cur for p in prev if key(c) is not None and key(c) == key(p) and fp(c) != fp(p)]
+    out += [(*p, 3) for p in prev if key(p) is None or key(p) not in {key(c) for c in cur}]
+    return sorted(out, key=str)
+
+
+def test_diff_equals_the_three_statements(spark):
+    cur = [
+        _slot("T", "1", 10, "a"), _slot("t", "1 ", 10, "b"), _slot("T", "2", 10, None), _slot("T", None, 10, "n"), _slot("T", "3", 10, "x"),
+        _slot("T", "3", 10, "x"), _slot("T", "4", 10, "same"), _slot(None, "4", 10, "same"), _slot("T", "5", None, "z"), _slot("T", "6", 10, "q", None),
+    ]
+    prev = [
+        _slot("T", "1", 10, "a"), _slot("T", "1", 10, "c"), _slot("T", "1", 10, "c"), _slot("T", "2", 10, None), _slot("T", None, 10, "n"),
+        _slot("T", "3", 10, "y"), _slot("T", "3", 10, "x"), _slot("T", "4 ", 10, " same"), _slot("T", "7", 10, "gone"), _slot("T", "7", 10, "gone"),
+        _slot("T", "6", 10, None, "q"),
+    ]
+    a, b = spark.createDataFrame(cur, SLOT), spark.createDataFrame(prev, SLOT)
+    got = snapshot_diff(a, b)
+    assert got.columns == [*SLOT_COLUMNS, "ActionPerformed"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == _three_statements(cur, prev)
+    assert rows(snapshot_diff(a.limit(0), b), "ActionPerformed") == [(3,)] * len(prev)
+    assert rows(snapshot_diff(a, b.limit(0)), "ActionPerformed") == [(1,)] * len(cur)
+    # each operand on its own: NULLs in different places differ
+    changed = snapshot_diff(a, b, mode="null_safe").filter("ActionPerformed = 2 AND PmsLocationId = '6'").count()
+    assert changed == 1 and got.filter("ActionPerformed = 2 AND PmsLocationId = '6'").count() == 0
+
+
+def test_a_hot_slot_key_is_counted_not_paired(spark):
+    """Half of both generations on one key: a number per row instead of a million pairs, and no outer join."""
+    cur = spark.createDataFrame([_slot("T", "hot", 10, "same")] * 1000 + [_slot("T", str(i), 10, "i") for i in range(1000)], SLOT)
+    prev = spark.createDataFrame([_slot("T", "hot", 10, "same")] * 999 + [_slot("T", "hot", 10, "other")] + [_slot("T", str(i), 10, "i") for i in range(999)], SLOT)
+    diff = snapshot_diff(cur, prev)
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan
+    assert rows(diff.groupBy("ActionPerformed").count()) == [(1, 1), (2, 1000)]
