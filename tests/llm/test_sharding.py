@@ -79,3 +79,38 @@ def test_a_hot_third_fills_its_shards(make_docs):
     by = {t: {r.shard for r in rows if texts[r.doc_id] == t} for t in ("hot", "warm")}
     assert len(by["hot"]) == 8 and len(by["warm"]) <= 4  # of 1,000 rows each: eight and three at the least
     assert cut_share(rows, texts) <= 0.02
+
+
+def test_a_hot_group_is_ranked_part_by_part(spark):
+    """After a join on the group the window must not take the join's partitioning: its exchange names the part."""
+    rows = spark.range(3000).select(F.col("id").alias("rid"), F.lit(1).alias("g"))
+    held = spark.createDataFrame([(1, "x")], "g int, x string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = rank_within(rows.join(held, "g"), ["g"], 64, "r")
+        lines = ranked._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = next(n for n, x in enumerate(lines) if "row_number()" in x and "Window" in x)
+        exchange = next(x for x in lines[at:] if "Exchange" in x)
+        assert "_part" in exchange
+        assert sorted(r.r for r in ranked.select("r").collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_against_a_plain_count(make_docs):
+    """Every column that the law fixes, computed row by row."""
+    texts = ["a"] * 7 + ["b"] * 40 + [None] * 5 + [f"t{i % 9}" for i in range(60)]
+    rows = sorted(shard_documents(make_docs(texts), shards=5).collect(), key=lambda r: r.doc_id)
+    check_law(rows, 5, len(texts))
+    for r, t in zip(rows, texts, strict=True):
+        assert (r.size, r.text_crc32) == (len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))
+    assert all(len({r.shard for r, t in zip(rows, texts, strict=True) if t == f"t{k}"}) == 1 for k in range(9))
+
+
+def test_a_very_long_text(make_docs):
+    rows = shard_documents(make_docs(["x" * 2_000_000, "x" * 2_000_000, "y"]), shards=2).collect()
+    check_law(rows, 2, 3)
+    assert {r.size for r in rows} == {2_000_008, 9}
