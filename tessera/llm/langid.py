@@ -140,8 +140,10 @@ def fit_languages(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
     languages = sorted(r["lang"] for r in counts)
     per = max(LEAST_SAMPLE, max_sample // len(languages))
     rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, per / r["n"]) * (1 << 32)))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(1 << 32))
-    sample = known.filter(draw < F.element_at(rates, F.col("lang"))).select("doc_id", "lang", "text")
+    known = known.select("doc_id", "lang", "text", F.xxhash64("text").alias("h"))
+    draw = F.pmod(F.xxhash64("doc_id", "h", F.lit(SEED)), F.lit(1 << 32))
+    # Rows that repeat id, language and text are drawn together and learned once, however many there are.
+    sample = known.filter(draw < F.element_at(rates, F.col("lang"))).groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))
 
     def run(batches):
         for whole in batches:
@@ -153,13 +155,17 @@ def fit_languages(docs: DataFrame, max_sample: int = MAX_SAMPLE) -> Model:
                     idx.append(u.astype("<i4"))
                     share.append((n / max(1, n.sum())).astype("<f4"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("lang"), pa.array(idx, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))],
-                    names=["doc_id", "lang", "idx", "share"],
+                    [
+                        *[batch.column(c) for c in ("doc_id", "lang", "h")],
+                        pa.array(idx, pa.list_(pa.int32())),
+                        pa.array(share, pa.list_(pa.float32())),
+                    ],
+                    names=["doc_id", "lang", "h", "idx", "share"],
                 )
 
     # Bounded by the sample and the buckets: 2,400 rows of a few kilobytes each as a rule, 25,000 at most.
-    rows = sample.mapInArrow(run, "doc_id long, lang string, idx array<int>, share array<float>").toArrow()
-    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+    rows = sample.mapInArrow(run, "doc_id long, lang string, h long, idx array<int>, share array<float>").toArrow()
+    order = np.lexsort([rows.column("h").to_numpy(), rows.column("doc_id").to_numpy()])
     idx, share = rows.column("idx").combine_chunks(), rows.column("share").combine_chunks()
     langs = rows.column("lang").to_pylist()
     samples, truth = [], []

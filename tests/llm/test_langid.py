@@ -73,3 +73,15 @@ def test_more_than_200_languages_are_all_learned(spark, monkeypatch):
     monkeypatch.setattr(langid, "MOST_LANGUAGES", 229)
     with pytest.raises(ValueError):
         langid.fit_languages(docs)
+
+
+def test_a_repeated_document_sends_one_row_to_the_driver(spark, monkeypatch):
+    """3,000 rows of one id: equal texts are one row of the sample, different ones are drawn as any others."""
+    plain = [(i, f"the of and {i}", "en") for i in range(300)]
+    seen = []
+    real = langid.train
+    monkeypatch.setattr(langid, "train", lambda samples, *a: seen.append(len(samples)) or real(samples, *a))
+    for hot in ([(3, "same words here", "en")] * 3000, [(3, f"own words {i}", "en") for i in range(3000)]):
+        docs = spark.createDataFrame(plain + hot, "doc_id long, text string, lang string")
+        langid.fit_languages(docs, max_sample=10)
+    assert all(n <= 2 * langid.LEAST_SAMPLE for n in seen) and len(seen) == 2
