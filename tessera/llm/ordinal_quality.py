@@ -169,8 +169,9 @@ def fit_grades(docs: DataFrame, ratings: DataFrame, n_grades: int = GRADES, max_
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 32))
     chosen = rated.filter(draw < F.element_at(rate, F.col("grade")))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter("text is not null")
-    # The sample is bounded by max_per_grade, so its ids may go to every task.
-    sample = texts.join(F.broadcast(chosen), "doc_id")
+    # The sample is bounded by max_per_grade, so its ids may go to every task.  Of several rows of an
+    # id one is learned from: an id that fills a third of the table is one row on the driver.
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
 
     def run(batches):
         features = Features()

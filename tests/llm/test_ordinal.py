@@ -67,3 +67,15 @@ def test_nulls_repeated_rows_and_empty_tables(spark, make_docs):
     assert O.grade_documents(docs.limit(0), O.fit_grades(docs, ratings)).count() == 0
     none = O.grade_documents(docs, O.fit_grades(docs, ratings.limit(0))).collect()
     assert {(r.doc_id, r.expected_grade, r.kept) for r in none if r.doc_id == 4} == {(4, None, True)}
+
+
+def test_a_repeated_document_sends_one_row_to_the_driver(spark, monkeypatch):
+    rows = [(i, f"good words {i}") for i in range(100)] + [(3, f"hot text {i % 7}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(100)], "doc_id long, grade int")
+    seen = []
+    real = O.train
+    monkeypatch.setattr(O, "train", lambda samples, *a: seen.append(len(samples)) or real(samples, *a))
+    O.fit_grades(docs, ratings, max_per_grade=10)
+    O.fit_grades(docs, ratings, max_per_grade=1000)
+    assert seen[0] <= 3 * 25 and seen[1] == 100
