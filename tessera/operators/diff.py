@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import collated_key, concat_text, form, tenant_key
-from tessera.operators.broadcast import broadcast_if_small
+from tessera.operators.broadcast import bound, broadcast_if_small
 from tessera.operators.merge import DELETE, INSERT, UPDATE, MergeResult, clock
 from tessera.operators.staged import written_once
 from tessera.plans.specs import TENANT
@@ -107,15 +107,18 @@ def snapshot_diff(
         *_KEY, "_cs", "_ps", F.col("_p_f1a").alias("_q1"), F.col("_p_f2a").alias("_q2"), (~one("_p")).alias("_mixed")
     )
     open_keys = written_once(open_keys, "diff")
-    hot = open_keys.filter("_mixed AND _cs > 0")
-    keys, _ = broadcast_if_small(open_keys.filter("_cs > 0"), max_broadcast_rows)
-    lost, _ = broadcast_if_small(open_keys.filter("_cs = 0").select(*_KEY), max_broadcast_rows)
+    here, several = F.col("_cs") > 0, F.col("_mixed") & (F.col("_cs") > 0)
+    size = open_keys.agg(F.count_if(here).alias("here"), F.count_if(~here).alias("lost"), F.count_if(several).alias("several")).first()
+    keys, lost = open_keys.filter(here), open_keys.filter(~here).select(*_KEY)
+    # Rows of a few numbers: their count bounds their bytes.
+    keys = F.broadcast(keys) if size["here"] <= bound(max_broadcast_rows) else keys
+    lost = F.broadcast(lost) if size["lost"] <= bound(max_broadcast_rows) else lost
 
     come = cur.filter(~F.col("_null")).join(keys, _KEY)
     # The key's previous rows with another fingerprint: all or none, unless these have several.
     other = F.when((F.col("_f1") == F.col("_q1")) & (F.col("_f2") == F.col("_q2")), 0).otherwise(F.col("_ps"))
-    if not hot.isEmpty():
-        same = counted(prev, 1).join(hot.select(*_KEY), _KEY).groupBy(*_KEY, *_PRINT).agg(F.count(F.lit(1)).alias("_same"))
+    if size["several"]:
+        same = counted(prev, 1).join(open_keys.filter(several).select(*_KEY), _KEY, "left_semi").groupBy(*_KEY, *_PRINT).agg(F.count(F.lit(1)).alias("_same"))
         come = come.join(same, [*_KEY, *_PRINT], "left")
         other = F.when(F.col("_mixed"), F.col("_ps") - F.coalesce("_same", F.lit(0))).otherwise(other)
     times = F.when(F.col("_ps") == 0, 1).otherwise(other).cast("int")

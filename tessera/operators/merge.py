@@ -43,6 +43,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,19 @@ class MergeResult:
     changes: DataFrame | None = None
 
 
+class LazyMergeResult(MergeResult):
+    """A merge's outputs, each built when it is asked for: a wide entity has hundreds of expressions in each."""
+
+    def __init__(self, **build):
+        self._build = build
+
+    snapshot = cached_property(lambda self: self._build["snapshot"]())
+    delta = cached_property(lambda self: self._build["delta"]())
+    classified = cached_property(lambda self: self._build["classified"]())
+    conflicts = cached_property(lambda self: self._build["conflicts"]())
+    changes = cached_property(lambda self: self._build["changes"]())
+
+
 def clock(as_of: dt.datetime | None) -> Column:
     """The call's single clock (``GETUTCDATE()`` read once per call)."""
     if as_of is None:
@@ -275,39 +289,45 @@ def merge(
     def typed(name: str, c: Column) -> Column:
         return c.cast(tschema[name.lower()]).alias(name)
 
-    # Each projection is built once and applied to every branch that needs it.
+    # Each projection is built once, when an output asks for it.
     act = F.col("_action")
     is_insert, is_update = act == INSERT, act == UPDATE
-    snapshot_cols = [
-        typed(
-            f.name,
-            F.when(is_insert, _insert_value(f, x, now))
-            .when(is_update, _update_value(f, x, now))
-            .otherwise(x.t(f.name)),
-        )
-        for f in spec.fields
-    ]
-    delta_cols = [_delta_value(d, x, now, act, is_insert, is_update).alias(d.name) for d in spec.delta]
     is_change = act.isin(INSERT, UPDATE)
 
+    @cache
+    def snapshot_cols() -> list[Column]:
+        return [
+            typed(
+                f.name,
+                F.when(is_insert, _insert_value(f, x, now))
+                .when(is_update, _update_value(f, x, now))
+                .otherwise(x.t(f.name)),
+            )
+            for f in spec.fields
+        ]
+
+    @cache
+    def delta_cols() -> list[Column]:
+        return [_delta_value(d, x, now, act, is_insert, is_update).alias(d.name) for d in spec.delta]
+
+    def delta_rows(df: DataFrame) -> DataFrame:
+        return df.filter(is_change).select(*delta_cols())
+
     # Columns that the snapshot carries besides the entity's own.
     carried = [prepared.PRINT] * stored_print + list(prepared.KEYS) * stored_keys
     keep = [x.t(c).alias(c) for c in carried]
 
     def snapshot_rows(df: DataFrame) -> DataFrame:
         if not carried:
-            return df.select(*snapshot_cols)
+            return df.select(*snapshot_cols())
         keys_now = [F.col(c).alias(name) for c, name in zip(("_i", "_k"), prepared.KEYS, strict=True)] * stored_keys
         prints = [x.t(prepared.PRINT).alias(prepared.PRINT)] * stored_print
-        out = df.select(*snapshot_cols, *prints, *keys_now, is_change.alias("_new"))
+        out = df.select(*snapshot_cols(), *prints, *keys_now, is_change.alias("_new"))
         if stored_print:
             fresh = prepared.row_print(out, spec, mode, time_resolution)
             out = out.withColumn(prepared.PRINT, F.when(F.col("_new"), fresh).otherwise(F.col(prepared.PRINT)))
         return out.drop("_new")
 
-    def delta_rows(df: DataFrame) -> DataFrame:
-        return df.filter(is_change).select(*delta_cols)
-
     # K: the batch collapsed to one row per distinct change fingerprint with its
     # multiplicity, then to one row per key with two of these (they differ when
     # there are two).  Inserts use the raw batch.
@@ -385,22 +405,29 @@ def merge(
     if settle:
         settled = written_once(matched.unionByName(inserts), "settled")
         matched, inserts = settled.filter(act != INSERT), settled.filter(act == INSERT)
-    if small or settle:
-        if rest is None:
-            rest = probed.join(k.select(*on), on, "left_anti")
-        untouched = rest.select(*[x.t(f.name).alias(f.name) for f in spec.fields], *keep)
-        snapshot = untouched.unionByName(snapshot_rows(matched))
-    else:
+
+    def snapshot() -> DataFrame:
+        if small or settle:
+            others = probed.join(k.select(*on), on, "left_anti") if rest is None else rest
+            untouched = others.select(*[x.t(f.name).alias(f.name) for f in spec.fields], *keep)
+            return untouched.unionByName(snapshot_rows(matched)).unionByName(snapshot_rows(inserts))
         # Target rows that no batch row touches come from the same join, from its left side.
-        snapshot = snapshot_rows(ruled(classified_rows(probed.join(k, on, "left"))))
-    snapshot = snapshot.unionByName(snapshot_rows(inserts))
-    delta = delta_rows(matched).unionByName(delta_rows(inserts))
-    classified = matched.unionByName(inserts, allowMissingColumns=True)
-    changes = None
-    if changed_columns:
+        whole = ruled(classified_rows(probed.join(k, on, "left")))
+        return snapshot_rows(whole).unionByName(snapshot_rows(inserts))
+
+    def changes() -> DataFrame | None:
+        if not changed_columns:
+            return None
         both = matched.unionByName(inserts, allowMissingColumns=True).filter(is_change)
-        changes = replay.changes_of(both, spec, snapshot_cols, {f.name: x.t(f.name) for f in spec.fields}, act)
-    return MergeResult(snapshot, delta, classified, _conflicts(pairs, s, source), changes)
+        return replay.changes_of(both, spec, snapshot_cols(), {f.name: x.t(f.name) for f in spec.fields}, act)
+
+    return LazyMergeResult(
+        snapshot=snapshot,
+        delta=lambda: delta_rows(matched).unionByName(delta_rows(inserts)),
+        classified=lambda: matched.unionByName(inserts, allowMissingColumns=True),
+        conflicts=lambda: _conflicts(pairs, s, source),
+        changes=changes,
+    )
 
 
 def _conflicts(pairs: DataFrame, s: DataFrame, source: DataFrame) -> DataFrame:
