@@ -42,11 +42,11 @@ def rank_within(df: DataFrame, keys: list[str], parts: int, name: str) -> DataFr
     """Adds ``name``: 0, 1, 2 ... within each value of ``keys``, in no particular but a fixed order of ``rid`` (unique)."""
     df = df.withColumn("_part", F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int"))
     by = [*keys, "_part"]
+    # Dealt by key and part: a join on the keys below would satisfy count and window with a whole group in one task.
+    df = df.repartition(*by)
     counts = df.groupBy(by).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(keys or [F.lit(0)]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*by, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # Dealt by key and part: a join on the keys below would satisfy the window with a whole group in one task.
-    df = df.repartition(*by)
     ranked = df.withColumn("_own", F.row_number().over(Window.partitionBy(by).orderBy("rid")) - 1)
     return ranked.join(starts, by).withColumn(name, F.col("_start") + F.col("_own")).drop("_part", "_own", "_start")
 
