@@ -16,6 +16,7 @@ that has such entries is used on whole texts.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from functools import lru_cache
 
@@ -33,6 +34,7 @@ from tessera.llm.common import pieces_of
 SPACE = "▁"
 _MAX_WORDS = 300_000
 _MAX_PAIRS = 200_000
+_SHORT = 24
 
 
 class Codec:
@@ -57,14 +59,20 @@ class Codec:
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             if self.merged(p) == [p]:  # others never come out of a merge
-                self.automaton.add_word(p, p)
+                self.automaton.add_word(p, (len(p), p))
         self.automaton.make_automaton()
+        self.packed = {p: np.array([i], dtype="<u4").tobytes() for p, i in self.ids.items()}
+        # Of pairs and words two generations are remembered: what is met again moves to the new one, the rest goes.
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.older_pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.odd: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """The plain rule: merge the best-scored neighbours, the leftmost of equals, until none merges."""
+        if len(text) <= _SHORT:
+            return self._merged_short(text)
         parts: list[str | None] = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -90,24 +98,46 @@ class Codec:
                 offer(before[i], i)
         return [p for p in parts if p is not None]
 
+    def _merged_short(self, text: str) -> list[str]:
+        """The same rule by looking at all neighbours each time: quicker than a queue for a few characters."""
+        score, never = self.scores.get, -math.inf
+        parts = list(text)
+        offers = [score(a + b, never) for a, b in zip(parts, parts[1:])]
+        while offers:
+            best = max(offers)
+            if best == never:
+                break
+            i = offers.index(best)
+            parts[i] += parts.pop(i + 1)
+            del offers[i]
+            if i < len(offers):
+                offers[i] = score(parts[i] + parts[i + 1], never)
+            if i:
+                offers[i - 1] = score(parts[i - 1] + parts[i], never)
+        return parts
+
     def follows(self, first: str, second: str) -> bool:
         """Whether an encoding may hold ``second`` right after ``first`` (remembered in ``pairs``)."""
         if len(self.pairs) >= _MAX_PAIRS:
-            self.pairs.clear()
-        fits = self.pairs[first, second] = self.merged(first + second) == [first, second]
+            self.older_pairs = dict(self.pairs)
+            self.pairs.clear()  # not replaced: a text at work holds on to it
+        fits = self.older_pairs.get((first, second))
+        if fits is None:
+            fits = self.merged(first + second) == [first, second]
+        self.pairs[first, second] = fits
         return fits
 
     def tokens(self, text: str) -> list[str]:
         """Tokens of a text of known characters: fill the prefix table, read it backwards."""
         last: list[str | None] = [None] * (len(text) + 1)
         known = self.pairs.get
-        for end, token in self.automaton.iter(text):
-            if last[end + 1] is None:
-                start = end + 1 - len(token)
-                if not start:
-                    last[end + 1] = token
-                elif (fits := known((last[start], token))) or (fits is None and self.follows(last[start], token)):
-                    last[end + 1] = token
+        for end, (length, token) in self.automaton.iter(text):
+            end += 1
+            if last[end] is None:
+                if end == length:
+                    last[end] = token
+                elif (fits := known((before := last[end - length], token))) or (fits is None and self.follows(before, token)):
+                    last[end] = token
         out, at = [], len(text)
         while at:
             out.append(last[at])
@@ -152,6 +182,13 @@ class Codec:
         return "".join(out) + run.decode(errors="replace")
 
     def _word(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is not None:
+            self.known[word] = found
+            return found
+        if self.chars.issuperset(word):  # its tokens are the word, cut up
+            found = self.known[word] = b"".join([self.packed[t] for t in self.tokens(word)])
+            return found
         ids = self._ids(word)
         decoded = self._decode(ids)
         if decoded != word.replace(SPACE, " "):
@@ -165,8 +202,8 @@ class Codec:
         Of a word's decoded text only what differs from the word is remembered.
         """
         if len(self.known) >= _MAX_WORDS:  # between texts, so that the two stay of one mind
-            self.known.clear()
-            self.odd.clear()
+            self.older, self.known = self.known, {}
+            self.odd = {w: d for w, d in self.odd.items() if w in self.older}
         get, new = self.known.get, self._word
         marked = SPACE + text.replace(" ", SPACE) if text else ""
         words = self.words.findall(marked) if self.by_word else [marked] * bool(marked)

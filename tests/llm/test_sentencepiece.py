@@ -7,6 +7,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from tessera.llm import sentencepiece_codec
 from tessera.llm.sentencepiece_codec import Codec, digests, encode_documents, read_model
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,3 +70,25 @@ def test_nulls_long_texts_repeated_rows_and_clashing_columns(make_docs, library)
         assert r.n_tokens == len(want) and unpacked(r.ids) == want and r.decoded == library.decode(want)
         assert r.row["ids"] == "i" and r.row["n_tokens"] == 0
     assert encode_documents(docs.limit(0), read_model(PATH)).count() == 0
+
+
+def test_words_are_remembered_for_two_generations(monkeypatch, library):
+    """What a full memory drops is only what was not met since the last time; ids and texts stay those of the library."""
+    monkeypatch.setattr(sentencepiece_codec, "_MAX_WORDS", 20)
+    monkeypatch.setattr(sentencepiece_codec, "_MAX_PAIRS", 20)
+    c = Codec(read_model(PATH))
+    for n in range(40):
+        text = f"the word zq{n}x{n * 7} of\u0001 a  memory{'a' * n} 世界"
+        ids, decoded = c.encode(text)
+        want = library.encode(text, add_bos=True, add_eos=True)
+        assert unpacked(ids) == want and decoded == library.decode(want)
+        assert "▁the" in c.known
+    assert c.older and len(c.known) + len(c.older) <= 60
+
+
+def test_short_texts_merge_as_long_ones(monkeypatch):
+    c = Codec(read_model(PATH))
+    texts = ["▁interesting", "aaaaaaa", "▁▁▁x", "", "q", "zzyzx-9", "▁unbelievably"]
+    short = [c._merged_short(t) for t in texts]
+    monkeypatch.setattr(sentencepiece_codec, "_SHORT", -1)
+    assert [c.merged(t) for t in texts] == short
