@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import merge as merging
+from tessera.operators import staged
 from tessera.operators.diff import SLOT_COLUMNS, snapshot_diff
 from tessera.operators.merge import hot_keys, merge
 from tessera.plans import entities, specs
@@ -78,6 +79,24 @@ def test_the_merge_has_no_window_and_settles_once(spark):
                 assert "Join" not in plan
 
 
+def test_a_written_table_is_read_by_several_tasks(spark, monkeypatch):
+    """One task's rows become files of bounded size: no task that sorts them later has to hold them all."""
+    monkeypatch.setattr(staged, "CELLS_PER_FILE", 2_000)
+    one = spark.range(10_000).coalesce(1).select("id", (F.col("id") * 0).alias("packs_well"))
+    again = staged.written_once(one, "split")
+    assert len(again.inputFiles()) == 10 and again.rdd.getNumPartitions() > 1
+    assert rows(again) == rows(one)
+
+
+def test_untouched_rows_are_found_by_keys_alone(spark):
+    """With ``settle`` the rows that no batch row touches need the batch's keys, not its prints and rows again."""
+    target, batch = _half_on_one_key(spark, 3_000)
+    for split in (True, False):
+        r = merge(target, batch, specs.RESOURCE, AS_OF, batch_small=False, settle=True, split_hot_keys=split)
+        plan = r.snapshot._jdf.queryExecution().optimizedPlan().toString()
+        assert "first(" not in plan and "LeftAnti" in plan
+
+
 @pytest.mark.parametrize("bound", [100, 0])
 def test_conflicts_are_listed_and_raise_by_default(spark, bound):
     target = spark.createDataFrame(
@@ -192,3 +211,21 @@ def test_a_hot_slot_key_is_counted_not_paired(spark):
     plan = diff._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan
     assert rows(diff.groupBy("ActionPerformed").count()) == [(1, 1), (2, 1000)]
+
+
+def test_a_large_diff_moves_its_rows_once(spark):
+    """Beyond the bound: one exchange of the rows, no join, and the rows of the three statements; a hot key is counted."""
+    cur = [_slot("T", "1", 10, "a"), _slot("t", "1 ", 10, "b"), _slot("T", None, 10, "n"), _slot("T", "3", 10, "x"), _slot("T", "3", 10, "x"),
+           _slot("T", "6", 10, "q", None), _slot("T", "8", 10, "new")]
+    prev = [_slot("T", "1", 10, "a"), _slot("T", "1", 10, "c"), _slot("T", "1", 10, "c"), _slot("T", None, 10, "n"), _slot("T", "3", 10, "y"),
+            _slot("T", "3", 10, "x"), _slot("T", "7", 10, "gone"), _slot("T", "7", 10, "gone"), _slot("T", "6", 10, None, "q")]
+    cold = [_slot("T", f"c{i}", 10, "i") for i in range(40)]
+    for extra in ([], [_slot("T", "hot", 10, "same")] * 60):
+        c, p = [*cur, *cold, *extra], [*prev, *cold, *extra[1:], *[_slot("T", "hot", 10, "other")] * bool(extra)]
+        # Enough cold rows beside them that only the added key is hot.
+        got = snapshot_diff(spark.createDataFrame(c, SLOT), spark.createDataFrame(p, SLOT), max_broadcast_rows=0)
+        assert sorted((tuple(r) for r in got.collect()), key=str) == _three_statements(c, p)
+    c, p = spark.createDataFrame([*cur, *cold], SLOT), spark.createDataFrame([*prev, *cold], SLOT)
+    plan = snapshot_diff(c.filter("Length > 0"), p.filter("Length > 0"), max_broadcast_rows=0)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
