@@ -398,7 +398,9 @@ def merge(
     split = not small if split_hot_keys is None else split_hot_keys
     hot = hot_keys(probed.select("_i", "_k"), _shuffle_partitions(target)) if split else None
     on = ["_i", "_k"] if hot is None else ["_i", "_k", "_salt"]
-    probed, k = (probed, k) if hot is None else (_salted(probed, hot, copy=False), _salted(k, hot, copy=True))
+    hit = matchable.select("_i", "_k").distinct()  # the keys of K, without its prints and rows
+    if hot is not None:
+        probed, k, hit = _salted(probed, hot, copy=False), _salted(k, hot, copy=True), _salted(hit, hot, copy=True)
     pairs = classified_rows(probed.join(k, on, "inner"))
     inserts = with_null_target(s.join(present, ["_i", "_k"], "left_anti"))
     matched = ruled(pairs)
@@ -408,7 +410,7 @@ def merge(
 
     def snapshot() -> DataFrame:
         if small or settle:
-            others = probed.join(k.select(*on), on, "left_anti") if rest is None else rest
+            others = probed.join(hit, on, "left_anti") if rest is None else rest
             untouched = others.select(*[x.t(f.name).alias(f.name) for f in spec.fields], *keep)
             return untouched.unionByName(snapshot_rows(matched)).unionByName(snapshot_rows(inserts))
         # Target rows that no batch row touches come from the same join, from its left side.
