@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import collated_key, norm_key
 from tessera.operators.prepared import KEYS, match_keys
+from tessera.operators.staged import written_once
 from tessera.plans.specs import MergeSpec
 
 MASK, ORDER = "ChangedColumns", "ChangeOrder"
@@ -59,13 +60,14 @@ def fold(feed: DataFrame, spec: MergeSpec, order: str = ORDER) -> DataFrame:
         written = F.substring(F.col(MASK), position + 1, 1) == "1"
         return F.max(F.when(written, F.struct(F.col(order).alias("at"), F.col(name).alias("value")))).alias(f"_new_{name}")
 
-    at_once = feed.filter(_named()).groupBy(*KEYS, order)
+    named = feed.filter(_named())
+    # Only keys are counted, and no row of the count is left: it fails or it is empty.
+    twice = F.when(F.count(F.lit(1)) > 1, _fail("several changes of one key at once, key=")).otherwise(F.lit(False))
+    counted = named.groupBy(*KEYS, order).agg(twice.alias("_twice")).filter("_twice").drop("_twice")
     columns = [f.name for f in spec.fields]
-    single = at_once.agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in (*columns, MASK, "ActionPerformed")]
-    ).filter(F.when(F.col("_n") > 1, _fail("several changes of one key at once, key=")).otherwise(F.lit(True)))
+    changes = named.select(*KEYS, order, *columns, MASK, "ActionPerformed").unionByName(counted, allowMissingColumns=True)
     inserted = F.max(F.col("ActionPerformed") == _INSERT).alias("_inserted")
-    return single.groupBy(*KEYS).agg(*[latest(p, n) for p, n in enumerate(columns)], inserted)
+    return changes.groupBy(*KEYS).agg(*[latest(p, n) for p, n in enumerate(columns)], inserted)
 
 
 def replay(snapshot: DataFrame, feed: DataFrame, spec: MergeSpec, order: str = ORDER, key_collation: str | None = None) -> DataFrame:
@@ -81,6 +83,7 @@ def replay(snapshot: DataFrame, feed: DataFrame, spec: MergeSpec, order: str = O
 
     keyed = snapshot.select(*names, *match_keys(spec, key_of, stored=False))
     folded = fold(feed, spec, order).withColumnsRenamed(dict(zip(KEYS, ("_i", "_k"), strict=True)))
+    folded = written_once(folded, "folded")  # stored rows and added ones both read it
 
     def value(name: str, stored: bool) -> Column:
         new, kind = F.col(f"_new_{name}"), snapshot.schema[name].dataType
